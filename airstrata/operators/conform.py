@@ -6,15 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airstrata.config import API_SOURCE, CSV_SOURCE, POLLUTANT_SENTINEL
-from airstrata.functions.parsing import (
-    doc_child,
-    doc_double,
-    doc_int,
-    doc_string,
-    try_double,
-    try_int,
-    try_timestamp,
-)
+from airstrata.functions.parsing import doc_child, try_double, try_int, try_timestamp
 from airstrata.operators.quarantine import accepted, tag_rejects
 from airstrata.schemas import MEASUREMENT_COLUMNS, READINGS
 
@@ -33,25 +25,39 @@ DOCUMENT_KEYS = {
 }
 
 
+# the parts of a document that are read, in one cast; the index stays raw so
+# that a missing value and one that is not a number can be told apart
+BODY_TYPE = (
+    "struct<aqi: variant, idx: decimal(38,0), dominentpol: string, time: struct<iso: string>, "
+    "city: struct<name: string, url: string, geo: array<double>>, iaqi: struct<"
+    + ", ".join(f"{key}: struct<v: double>" for key in DOCUMENT_KEYS.values())
+    + ">>"
+)
+
+
 def _project_api(api_raw: DataFrame) -> DataFrame:
-    doc = F.col("doc")
+    """Typed columns of the documents that carry an index value.
+
+    Generating the body as a row of its own keeps the optimizer from copying the
+    cast into every filter on its fields: each document is walked once.
+    """
     body = F.coalesce(doc_child(F.col("raw_payload"), "$.data"), F.col("raw_payload"))
-    return api_raw.withColumn("doc", body).select(
-        doc_int(doc, "$.idx").alias("waqi_idx"),
-        doc_string(doc, "$.city.name").alias("station_name"),
-        doc_double(doc, "$.city.geo[0]").alias("lat"),
-        doc_double(doc, "$.city.geo[1]").alias("lon"),
-        doc_string(doc, "$.city.url").alias("url"),
+    typed = F.try_variant_get(body, "$", BODY_TYPE)
+    rows = api_raw.select("queried_city", "ingested_at", F.explode(F.array(typed)).alias("doc"))
+    has_aqi = F.col("doc.aqi").isNotNull() & ~F.is_variant_null("doc.aqi")
+    return rows.filter(has_aqi).select(
+        F.col("doc.idx").try_cast("int").alias("waqi_idx"),
+        F.col("doc.city.name").alias("station_name"),
+        F.get("doc.city.geo", F.lit(0)).alias("lat"),
+        F.get("doc.city.geo", F.lit(1)).alias("lon"),
+        F.col("doc.city.url").alias("url"),
         F.col("queried_city").alias("city_slug"),
         F.lit(API_SOURCE).alias("source"),
-        try_timestamp(F.left(doc_string(doc, "$.time.iso"), F.lit(19))).alias("measured_at"),
-        doc_double(doc, "$.aqi").alias("aqi"),
-        F.nullif(doc_string(doc, "$.dominentpol"), F.lit(POLLUTANT_SENTINEL)).alias(
-            "dominant_pollutant"
-        ),
-        *[doc_double(doc, f"$.iaqi.{DOCUMENT_KEYS[c]}.v").alias(c) for c in READINGS],
+        try_timestamp(F.left("doc.time.iso", F.lit(19))).alias("measured_at"),
+        F.try_variant_get("doc.aqi", "$", "double").alias("aqi"),
+        F.nullif(F.col("doc.dominentpol"), F.lit(POLLUTANT_SENTINEL)).alias("dominant_pollutant"),
+        *[F.col(f"doc.iaqi.{DOCUMENT_KEYS[c]}.v").alias(c) for c in READINGS],
         "ingested_at",
-        doc_child(doc, "$.aqi").isNotNull().alias("_has_aqi"),
     )
 
 
@@ -61,9 +67,8 @@ def tagged_api(api_raw: DataFrame) -> DataFrame:
     Documents without an index value are no measurements and drop out; an index
     that is not a number (and a station without id or name) is a reject.
     """
-    rows = _project_api(api_raw).filter("_has_aqi").drop("_has_aqi")
     return tag_rejects(
-        rows,
+        _project_api(api_raw),
         {
             "aqi_not_numeric": F.col("aqi").isNull(),
             "no_station_id": F.col("waqi_idx").isNull(),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airstrata.config import LEVEL_LABELS
@@ -155,55 +155,60 @@ def daily_summary(
     )
 
 
-def _days(label: str) -> Column:
-    return F.count_if(F.col("pollution_level") == label)
+# fixed values: name of the day count of each level
+DAY_COUNTS = dict(
+    zip(
+        LEVEL_LABELS,
+        [
+            "days_good",
+            "days_moderate",
+            "days_sensitive",
+            "days_unhealthy",
+            "days_very_unhealthy",
+            "days_hazardous",
+        ],
+    )
+)
 
 
 def monthly_from_daily(daily: DataFrame, decimals: int | None = None) -> DataFrame:
     """One row per city and month from the daily mart: averages of daily averages."""
     fine = None if decimals is None else decimals + _EXTRA_DECIMALS
     keys = ["queried_city", "city_name", "region", "year", "month"]
-    day_names = ["good", "moderate", "sensitive", "unhealthy", "very_unhealthy", "hazardous"]
-    dated = daily.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
     sums = []
     for m in CORE_MEASURES:
         value = F.col(f"avg_{m}")
         sums += [F.sum(addend(value, fine)).alias(f"sum_{m}"), F.count(value).alias(f"cnt_{m}")]
-    days = [_days(label).alias(f"days_{d}") for d, label in zip(day_names, LEVEL_LABELS)]
-    totals = dated.groupBy(*keys).agg(
-        *sums,
-        F.max("max_aqi").alias("max_aqi"),
-        F.min("min_aqi").alias("min_aqi"),
-        F.count("*").alias("record_count"),
-        *days,
-    )
-    labels = (
-        dated.groupBy("queried_city", "year", "month", LABEL)
-        .agg(F.count("*").alias("n"))
-        .groupBy("queried_city", "year", "month")
-        .agg(most_frequent().alias(LABEL))
-    )
-    means = [mean(F.col(f"sum_{m}"), F.col(f"cnt_{m}"), fine).alias(f"avg_{m}") for m in CORE_MEASURES]
-    return (
-        totals.join(labels, ["queried_city", "year", "month"])
-        .select(
-            *keys,
-            *means,
-            "max_aqi",
-            "min_aqi",
-            "record_count",
-            *[f"days_{d}" for d in day_names],
-            LABEL,
+    days = [
+        F.count_if(F.col("pollution_level") == level).alias(name)
+        for level, name in DAY_COUNTS.items()
+    ]
+    by_label = (
+        daily.withColumn("year", F.year("date"))
+        .withColumn("month", F.month("date"))
+        .groupBy(*keys, LABEL)
+        .agg(
+            F.count("*").alias("n"),
+            F.max("max_aqi").alias("max_aqi"),
+            F.min("min_aqi").alias("min_aqi"),
+            *sums,
+            *days,
         )
-        .withColumn("pollution_level", aqi_category(F.col("avg_aqi")))
     )
-
-
-def rank_cities(monthly: DataFrame) -> DataFrame:
-    """Rank all city months by average index and by fine dust."""
-    return dense_rank_desc(
-        dense_rank_desc(monthly, "avg_aqi", "aqi_rank"), "avg_pm25", "pm25_rank"
+    monthly = by_label.groupBy(*keys).agg(
+        *merge_partials(CORE_MEASURES),
+        *[F.sum(name).alias(name) for name in DAY_COUNTS.values()],
+        most_frequent().alias(LABEL),
     )
+    return monthly.select(
+        *keys,
+        *averages(CORE_MEASURES, fine),
+        "max_aqi",
+        "min_aqi",
+        F.col("n").alias("record_count"),
+        *DAY_COUNTS.values(),
+        LABEL,
+    ).withColumn("pollution_level", aqi_category(F.col("avg_aqi")))
 
 
 def city_ranking(
@@ -211,8 +216,9 @@ def city_ranking(
 ) -> DataFrame:
     """Monthly figures per city, ranked over all cities and months."""
     if daily is None:
-        daily = materialize(_daily(star, Partials.of(star, decimals).day, decimals), "daily")
-    return rank_cities(materialize(monthly_from_daily(daily, decimals), "monthly"))
+        daily = _daily(star, Partials.of(star, decimals).day, decimals)
+    monthly = materialize(monthly_from_daily(daily, decimals), "monthly")
+    return dense_rank_desc(monthly, {"avg_aqi": "aqi_rank", "avg_pm25": "pm25_rank"})
 
 
 def station_summary(

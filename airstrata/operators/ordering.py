@@ -7,7 +7,7 @@ every partition its offset, and offset + position is the global index.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,17 +64,47 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str]) -> D
     return placed.select(*df.columns, *[f"total_{c}" for c in value_cols])
 
 
-def dense_rank_desc(df: DataFrame, value_col: str, name: str) -> DataFrame:
-    """DENSE_RANK over all rows, highest value first, NULL above every value."""
-    distinct = df.select(
-        F.col(value_col).alias("_value"),
-        F.col(value_col).isNotNull().alias("_known"),
-        (-F.col(value_col)).alias("_descending"),
-    ).distinct()
-    ranks = global_index(distinct, ["_known", "_descending"], "_rank").select(
-        "_value", (F.col("_rank") + 1).cast("int").alias(name)
+def _rank_table(values: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Dense rank of each distinct ``_value`` per group: highest first, NULL on top.
+
+    A value's rank is its place in the global order of (group, value) less the
+    place of the first value of its group, so no task gathers a group.
+    """
+    distinct = values.distinct().select(
+        "*",
+        F.col("_value").isNotNull().alias("_known"),
+        (-F.col("_value")).alias("_descending"),
+    )
+    placed = global_index(distinct, [*groups, "_known", "_descending"], "_idx")
+    firsts = placed.groupBy(*groups).agg(F.min("_idx").alias("_first"))
+    firsts = firsts.select(*[F.col(g).alias(f"_f{g}") for g in groups], "_first")
+    match = [placed[g].eqNullSafe(firsts[f"_f{g}"]) for g in groups]
+    return placed.join(firsts, match).select(
+        *groups, "_value", (F.col("_idx") - F.col("_first") + 1).cast("int").alias("_rank")
+    )
+
+
+def dense_rank_desc(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
+    """DENSE_RANK over all rows for each ranked column, highest value first.
+
+    ``ranks`` maps a column to the name of its rank; a NULL ranks above every
+    value. All columns are put in order together, as groups of one ordering.
+    ``df`` should be a stored result, as it is read once to order the values and
+    once to attach the ranks.
+    """
+    stacked = F.array(
+        *[
+            F.struct(F.lit(column).alias("_column"), F.col(column).alias("_value"))
+            for column in ranks
+        ]
     )
-    return df.join(ranks, df[value_col].eqNullSafe(ranks["_value"])).drop("_value")
+    table = _rank_table(df.select(F.inline(stacked)), ["_column"])
+    for column, name in ranks.items():
+        mine = table.filter(F.col("_column") == column).select(
+            F.col("_value"), F.col("_rank").alias(name)
+        )
+        df = df.join(mine, df[column].eqNullSafe(mine["_value"])).drop("_value")
+    return df
 
 
 def dense_rank_desc_within(
@@ -84,33 +114,14 @@ def dense_rank_desc_within(
 
     ``df`` should be a stored result, as it is read more than once. Groups of up
     to ``window_rows`` rows are ranked by a window; if any group is larger, all
-    are ranked by their place in the global order of distinct values instead,
-    which never gathers a group in one task.
+    are ranked by their place in the global order of distinct values instead.
     """
     largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
     if largest <= window_rows:
         order = Window.partitionBy(*groups).orderBy(F.col(value_col).desc_nulls_first())
         return df.withColumn(name, F.dense_rank().over(order).cast("int"))
-    distinct = df.select(
-        *groups,
-        F.col(value_col).alias("_value"),
-        F.col(value_col).isNotNull().alias("_known"),
-        (-F.col(value_col)).alias("_descending"),
-    ).distinct()
-    places = materialize(
-        global_index(distinct, [*groups, "_known", "_descending"], "_idx").select(
-            *[F.col(g).alias(f"_g_{g}") for g in groups], "_value", "_idx"
-        ),
-        "places",
-    )
-    group_cols = [f"_g_{g}" for g in groups]
-    firsts = places.groupBy(*group_cols).agg(F.min("_idx").alias("_first"))
-    first_match = [places[g].eqNullSafe(firsts[g]) for g in group_cols]
-    ranks = places.join(firsts, first_match).select(
-        *[places[g] for g in group_cols],
-        "_value",
-        (F.col("_idx") - F.col("_first") + 1).cast("int").alias(name),
-    )
-    match = [df[g].eqNullSafe(ranks[f"_g_{g}"]) for g in groups]
-    match.append(df[value_col].eqNullSafe(ranks["_value"]))
-    return df.join(ranks, match).select(*df.columns, name)
+    values = df.select(*[F.col(g).alias(f"_g{g}") for g in groups], F.col(value_col).alias("_value"))
+    table = _rank_table(values, [f"_g{g}" for g in groups])
+    match = [df[g].eqNullSafe(table[f"_g{g}"]) for g in groups]
+    match.append(df[value_col].eqNullSafe(table["_value"]))
+    return df.join(table, match).select(*df.columns, F.col("_rank").alias(name))

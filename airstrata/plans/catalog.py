@@ -319,7 +319,7 @@ def global_dense_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = given.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice"
     )
-    return dense_rank_desc(lines, "l_extendedprice", "price_rank")
+    return dense_rank_desc(lines, {"l_extendedprice": "price_rank"})
 
 
 # ---- fact and marts ----------------------------------------------------------

@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A feed table; one that comes in fewer splits than cores is spread out first,
+    since building and parsing texts is work for the processors."""
+    rows, cores = table(spark, sf_dir, name), spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _slug() -> Column:
     return F.lower(F.regexp_replace("n_name", "_", "-"))
 
@@ -56,7 +63,7 @@ def located(spark: SparkSession, sf_dir: str, rows: DataFrame, customer: str) ->
 
 def api_bodies(spark: SparkSession, sf_dir: str, on_the_hour: bool = True) -> DataFrame:
     """Each event as the body of a response, next to the columns of the event."""
-    events = located(spark, sf_dir, table(spark, sf_dir, "events"), "user_id")
+    events = located(spark, sf_dir, feed(spark, sf_dir, "events"), "user_id")
     k = F.get_json_object("props", "$.k").cast("double")
     at = F.date_trunc("hour", "ts") if on_the_hour else F.col("ts")
 
@@ -105,7 +112,7 @@ def api_raw(spark: SparkSession, sf_dir: str, on_the_hour: bool = True) -> DataF
 
 def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a text record, with bad fields for some customers."""
-    orders = located(spark, sf_dir, table(spark, sf_dir, "orders"), "o_custkey")
+    orders = located(spark, sf_dir, feed(spark, sf_dir, "orders"), "o_custkey")
     priority, balance = F.col("o_orderpriority"), F.col("c_acctbal")
     aqi = F.col("o_totalprice") / 1000
     no_value = priority == "4-NOT SPECIFIED"
