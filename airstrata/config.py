@@ -66,9 +66,11 @@ class RunConfig:
     ``decimals`` fixes the number of decimals the readings carry. When set,
     averages are summed as scaled integers, so they come out bit-identical
     however the rows are partitioned; when None they are plain double averages.
+    ``keep_versions`` bounds the table versions a stream leaves behind.
     """
 
     gate: GateConfig = GateConfig()
     spine_start: str = SPINE_START
     spine_end: str = SPINE_END
     decimals: int | None = None
+    keep_versions: int = 100

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -357,14 +358,27 @@ def build_marts(
     """
     partials = partials or Partials.of(star, decimals)
     partials = replace(partials, day=materialize(partials.day, "day-partials"))
-    out = {}
 
-    def publish(name: str, mart: DataFrame) -> None:
-        out[name] = store.replace(f"gold/{name}", mart, version, LAYOUT[name])
-
-    publish("daily_summary", daily_summary(star, decimals, partials))
-    publish("city_ranking", city_ranking(star, decimals, out["daily_summary"]))
-    publish("station_summary", station_summary(star, decimals, partials))
-    publish("hourly_pattern", hourly_pattern(star, decimals, partials))
-    publish("seasonal_summary", seasonal_summary(star, decimals, partials))
-    return out
+    def publish(name: str, mart: DataFrame) -> DataFrame:
+        return store.replace(f"gold/{name}", mart, version, LAYOUT[name])
+
+    def daily_and_ranking() -> tuple[DataFrame, DataFrame]:
+        daily = publish("daily_summary", daily_summary(star, decimals, partials))
+        return daily, publish("city_ranking", city_ranking(star, decimals, daily))
+
+    def single(name: str, build) -> DataFrame:
+        return publish(name, build(star, decimals, partials))
+
+    # independent jobs: submitted together, they fill the cluster between them
+    with ThreadPoolExecutor(4) as pool:
+        pair = pool.submit(daily_and_ranking)
+        stations = pool.submit(single, "station_summary", station_summary)
+        hours = pool.submit(single, "hourly_pattern", hourly_pattern)
+        seasons = pool.submit(single, "seasonal_summary", seasonal_summary)
+    return {
+        "daily_summary": pair.result()[0],
+        "city_ranking": pair.result()[1],
+        "station_summary": stations.result(),
+        "hourly_pattern": hours.result(),
+        "seasonal_summary": seasons.result(),
+    }

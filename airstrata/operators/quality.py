@@ -30,48 +30,84 @@ class QualityGateError(RuntimeError):
         self.failed = failed
 
 
-def _profile(star: Star, config: GateConfig, as_of) -> DataFrame:
-    """All counters of the gate per station, city and missing-dimension flag.
+PROFILE_KEYS = ["station_key", "city_key", "no_time_row"]
+_ADDED = ["n", *[f"null_{c}" for c in CRITICAL], "out_of_range", "bad_source"]
 
-    Calendar, hours and cities are joined while scanning. Stations, the one
-    dimension that can be large, are joined to the counted rows afterwards.
+
+def _oldest(config: GateConfig, as_of) -> Column:
+    now = F.lit(as_of).cast("timestamp_ntz")
+    return now - F.expr(f"INTERVAL {int(config.freshness_hours)} HOURS")
+
+
+def profile(star: Star, config: GateConfig = GateConfig(), as_of=None) -> DataFrame:
+    """All counters of the gate, in one scan of the fact.
+
+    The counters are kept per station, city and whether the calendar or the
+    hours lack the row's key. Those two dimensions are fixed and small, and are
+    joined while scanning; stations and cities are joined to the counted rows.
     """
     aqi = F.col("aqi")
-    now = F.lit(as_of).cast("timestamp_ntz")
-    oldest = now - F.expr(f"INTERVAL {int(config.freshness_hours)} HOURS")
-    missing = F.col("_date").isNull() | F.col("_time").isNull() | F.col("_city").isNull()
     dates = star.dates.select(F.col("date_key").alias("_date"))
     times = star.times.select(F.col("time_key").alias("_time"))
-    cities = star.cities.select(F.col("city_key").alias("_city"))
     return (
         star.fact.join(dates, F.col("date_key") == F.col("_date"), "left")
         .join(times, F.col("time_key") == F.col("_time"), "left")
-        .join(cities, F.col("city_key") == F.col("_city"), "left")
-        .groupBy("station_key", "city_key", missing.alias("missing"))
+        .withColumn("no_time_row", F.col("_date").isNull() | F.col("_time").isNull())
+        .groupBy(*PROFILE_KEYS)
         .agg(
             F.count("*").alias("n"),
             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL],
             F.count_if((aqi < config.aqi_min) | (aqi > config.aqi_max)).alias("out_of_range"),
             F.count_if(~F.col("source").isin(*config.sources)).alias("bad_source"),
-            F.count_if(F.col("ingested_at") >= oldest).alias("fresh"),
+            F.count_if(F.col("ingested_at") >= _oldest(config, as_of)).alias("fresh"),
         )
     )
 
 
+def append_profile(store, star: Star, batch: int, config: GateConfig) -> None:
+    """Store the counters of one batch; ``star`` holds the batch's fact rows."""
+    counted = profile(star, config).drop("fresh")
+    store.append("control_state/gate_profile", counted, batch)
+
+
+def stored_profile(store, star: Star, upto: int, config: GateConfig, as_of) -> DataFrame:
+    """Counters of all batches without scanning the fact again.
+
+    Only freshness depends on the time of the check: its filter reaches the
+    scan, which skips the files of older loads.
+    """
+    merged = store.appended("control_state/gate_profile", upto=upto).groupBy(*PROFILE_KEYS).agg(
+        *[F.sum(c).alias(c) for c in _ADDED]
+    )
+    recent = star.fact.filter(F.col("ingested_at") >= _oldest(config, as_of))
+    fresh = recent.groupBy("station_key", "city_key").agg(F.count("*").alias("fresh"))
+    return merged.unionByName(
+        fresh.withColumn("no_time_row", F.lit(False)), allowMissingColumns=True
+    )
+
+
 def gate_counters(
-    star: Star, reference: DataFrame, config: GateConfig = GateConfig(), as_of=None
+    star: Star,
+    reference: DataFrame,
+    config: GateConfig = GateConfig(),
+    as_of=None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row with the number each check decides on."""
-    profile = materialize(_profile(star, config, as_of), "gate-profile")
+    counted = profile(star, config, as_of) if counted is None else counted
+    counted = materialize(counted, "gate-profile")
     stations = star.stations.select(F.col("station_key").alias("_station"))
-    orphan = F.col("missing") | F.col("_station").isNull()
-    summed = [f"null_{c}" for c in CRITICAL] + ["out_of_range", "bad_source", "fresh"]
-    totals = profile.join(stations, F.col("station_key") == F.col("_station"), "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed],
-        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("orphans"),
+    cities = star.cities.select(F.col("city_key").alias("_city"))
+    orphan = F.col("no_time_row") | F.col("_station").isNull() | F.col("_city").isNull()
+    totals = (
+        counted.join(stations, F.col("station_key") == F.col("_station"), "left")
+        .join(cities, F.col("city_key") == F.col("_city"), "left")
+        .agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*_ADDED, "fresh"]],
+            F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("orphans"),
+        )
     )
-    present = star.cities.join(profile.select("city_key"), "city_key", "left_semi")
+    present = star.cities.join(counted.select("city_key"), "city_key", "left_semi")
     absent = reference.join(present.select("city_slug"), "city_slug", "left_anti")
     counters = totals.unionByName(
         absent.agg(F.count("*").alias("missing_cities")), allowMissingColumns=True
@@ -94,9 +130,16 @@ def _number_text(value: Column) -> Column:
 
 
 def gate_results(
-    star: Star, reference: DataFrame, config: GateConfig = GateConfig(), as_of=None
+    star: Star,
+    reference: DataFrame,
+    config: GateConfig = GateConfig(),
+    as_of=None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Seven rows: check_name, passed, detail."""
+    """Seven rows: check_name, passed, detail.
+
+    ``counted`` is a profile made earlier; without it the fact is scanned.
+    """
     text = lambda name: F.col(name).cast("string")
     pct = _number_text(F.round("null_pct", 2))
 
@@ -153,9 +196,8 @@ def gate_results(
             F.concat(F.lit("orphan fact rows="), text("orphans")),
         ),
     ]
-    return gate_counters(star, reference, config, as_of).select(
-        F.inline(F.array(*checks))
-    )
+    counters = gate_counters(star, reference, config, as_of, counted)
+    return counters.select(F.inline(F.array(*checks)))
 
 
 def run_gate(
@@ -165,11 +207,11 @@ def run_gate(
     version: int,
     load_ts,
     config: GateConfig = GateConfig(),
-    run_id: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Log all seven results, then raise if any check failed."""
-    results = gate_results(star, reference, config, load_ts).select(
-        F.lit(run_id or f"run-{version}").alias("run_id"),
+    results = gate_results(star, reference, config, load_ts, counted).select(
+        F.lit(f"run-{version}").alias("run_id"),
         "check_name",
         "passed",
         "detail",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from airstrata.config import CITY_MAP, CITY_REFERENCE, RunConfig
-from airstrata.operators.conform import conform, conform_rejects
+from airstrata.operators.conform import tagged
 from airstrata.operators.dimensions import (
     dim_date,
     dim_time,
@@ -19,9 +21,11 @@ from airstrata.operators.dimensions import (
 from airstrata.operators.fact import build_fact
 from airstrata.operators.marts import Partials, Star, build_marts
 from airstrata.operators.quality import QualityGateError, run_gate
+from airstrata.operators.quarantine import REASON, accepted, rejected
 from airstrata.schemas import API_RAW, CSV_RAW
 from airstrata.schemas import CITY_MAP as CITY_MAP_SCHEMA
 from airstrata.schemas import CITY_REFERENCE as CITY_REFERENCE_SCHEMA
+from airstrata.session import scratch_scope
 from airstrata.sources.documents import JSON_GLOB, ingest_api
 from airstrata.sources.history import CSV_GLOB, ingest_csv
 from airstrata.sources.ledger import pending, record
@@ -95,10 +99,13 @@ def load_silver(store: Store, measurements: DataFrame, batch: int, load_ts) -> S
     """Upsert cities and stations, append the fact rows of one batch.
 
     ``measurements`` is stored first, as it feeds both the stations and the
-    fact. Versions carry the batch number and build on the versions before it,
-    so replaying a batch gives the same tables.
+    fact; its rejected rows stay there as the quarantine. Versions carry the
+    batch number and build on the versions before it, so replaying a batch gives
+    the same tables.
     """
-    snapshot = store.append("silver/measurement", measurements, batch)
+    if REASON not in measurements.columns:
+        measurements = measurements.withColumn(REASON, F.lit(None).cast("string"))
+    snapshot = accepted(store.append("silver/measurement", measurements, batch))
     cities = store.replace(
         "silver/dim_city",
         merge_city(
@@ -128,11 +135,16 @@ def finish(
     load_ts,
     config: RunConfig = RunConfig(),
     partials: Partials | None = None,
+    counted: DataFrame | None = None,
 ) -> RunStatus:
-    """Gate, then gold; gold is not touched when the gate fails."""
+    """Gate, then gold; gold is not touched when the gate fails.
+
+    ``partials`` and ``counted`` carry what earlier batches have stored; without
+    them the gate and the marts read the whole fact.
+    """
     reference = store.current("control/city_reference")
     try:
-        run_gate(silver, reference, store, batch, load_ts, config.gate)
+        run_gate(silver, reference, store, batch, load_ts, config.gate, counted)
     except QualityGateError as error:
         return RunStatus(1, tuple(error.failed))
     build_marts(silver, store, batch, config.decimals, partials)
@@ -148,11 +160,21 @@ def run_medallion(
     whole_files: bool = True,
 ) -> RunStatus:
     """Load new files and take them through all layers."""
-    load_bronze(store, roots, batch, load_ts, whole_files)
-    api = store.batch("bronze/api_raw", batch, API_RAW)
-    csv = store.batch("bronze/historical_csv", batch, CSV_RAW)
-    city_map = store.current("control/city_map")
-    good = api.filter("reject_reason is null")
-    store.append("quarantine/conform", conform_rejects(good, csv, city_map), batch)
-    silver = load_silver(store, conform(good, csv, city_map), batch, load_ts)
-    return finish(store, silver, batch, load_ts, config)
+    with scratch_scope(store.spark):
+        load_bronze(store, roots, batch, load_ts, whole_files)
+        api = store.batch("bronze/api_raw", batch, API_RAW).filter("reject_reason is null")
+        csv = store.batch("bronze/historical_csv", batch, CSV_RAW)
+        rows = tagged(api, csv, store.current("control/city_map"))
+        silver = load_silver(store, rows, batch, load_ts)
+        return finish(store, silver, batch, load_ts, config)
+
+
+def quarantine(store: Store) -> DataFrame:
+    """Everything that was refused: where, why and how often."""
+    counts = []
+    for layer, table in (("bronze", "bronze/api_raw"), ("silver", "silver/measurement")):
+        rows = store.appended(table)
+        if rows is not None:
+            refused = rejected(rows).groupBy(REASON).agg(F.count("*").alias("n_rows"))
+            counts.append(refused.select(F.lit(layer).alias("layer"), REASON, "n_rows"))
+    return reduce(DataFrame.unionByName, counts)

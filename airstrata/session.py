@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_SCRATCH: dict[str, str] = {}
+_SCOPES: list[str] = []
 
 
 def local_session(cores: int | str = 8, name: str = "airstrata") -> SparkSession:
@@ -44,7 +47,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch folder."""
-    return f"{scratch_root(spark)}/airstrata/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    folder = f"{scratch_root(spark)}/airstrata/{spark.sparkContext.applicationId}"
+    scope = f"/{_SCOPES[-1]}" if _SCOPES else ""
+    return f"{folder}{scope}/{label}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is materialized inside, for jobs that end by writing tables."""
+    name = f"scope-{uuid.uuid4().hex}"
+    _SCOPES.append(name)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(name)
+        folder = f"{scratch_root(spark)}/airstrata/{spark.sparkContext.applicationId}"
+        delete_path(spark, f"{folder}/{name}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airstrata.session import delete_path
+
 
 def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     try:
@@ -67,6 +69,16 @@ class Store:
             return None
         return self.spark.read.parquet(self._version_path(name, version))
 
+    def expire(self, name: str, before: int) -> None:
+        """Delete the versions of a replaced table older than ``before``."""
+        commits = read_if_exists(self.spark, f"{self.path('commits/' + name)}/*", "version bigint")
+        if commits is None:
+            return
+        old = commits.filter(F.col("version") < before).select("version").collect()
+        for version in (row["version"] for row in old):
+            delete_path(self.spark, f"{self.path('commits/' + name)}/v={version}")
+            delete_path(self.spark, self._version_path(name, version))
+
     def append(self, name: str, df: DataFrame, batch_id: int) -> DataFrame:
         """Write a batch of an append-only table; the same batch again replaces it."""
         target = f"{self.path(name)}/batch_id={batch_id}"

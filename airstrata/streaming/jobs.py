@@ -9,6 +9,7 @@ failure overwrites what it had written.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -16,11 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airstrata.config import RunConfig
-from airstrata.operators.conform import conform
-from airstrata.operators.marts import Partials, Star
-from airstrata.operators.quality import QualityGateError
+from airstrata.operators.conform import tagged
+from airstrata.operators.marts import LAYOUT, Partials
+from airstrata.operators.quality import QualityGateError, append_profile, stored_profile
 from airstrata.plans.medallion import RunStatus, finish, load_silver
 from airstrata.schemas import API_RAW, CSV_RAW
+from airstrata.session import scratch_scope
 from airstrata.sources.documents import JSON_GLOB, parse_documents, scan_text, tag_api
 from airstrata.sources.history import CSV_GLOB, clean_csv, scan_csv
 from airstrata.sources.store import Store
@@ -80,7 +82,7 @@ def bronze_changes(store: Store, files_per_batch: int | None = None) -> DataFram
         return reader.parquet(store.path(table))
 
     api = follow(API_BRONZE, API_RAW).filter("reject_reason is null")
-    return conform(api, follow(CSV_BRONZE, CSV_RAW), store.current("control/city_map"))
+    return tagged(api, follow(CSV_BRONZE, CSV_RAW), store.current("control/city_map"))
 
 
 def process_batch(
@@ -92,14 +94,26 @@ def process_batch(
 ) -> RunStatus:
     """Silver, gate and gold for one micro-batch.
 
-    Gold is refreshed from stored partial aggregates: each batch adds its own
-    and the marts merge them, so the fact is not aggregated again.
+    The gate and the marts work from counters and partial aggregates: each batch
+    adds its own, and the stored ones are merged, so the cost of a batch does
+    not grow with the fact. Table versions beyond ``keep_versions`` are deleted.
     """
-    silver = load_silver(store, measurements, batch, load_ts)
-    added = store.spark.read.parquet(f"{store.path('silver/fact_aqi')}/batch_id={batch}")
-    fresh = Star(silver.dates, silver.times, silver.cities, silver.stations, added)
-    Partials.of(fresh, config.decimals).append(store, batch)
-    return finish(store, silver, batch, load_ts, config, Partials.stored(store, batch))
+    with scratch_scope(store.spark):
+        silver = load_silver(store, measurements, batch, load_ts)
+        added = store.spark.read.parquet(f"{store.path('silver/fact_aqi')}/batch_id={batch}")
+        fresh = replace(silver, fact=added)
+        append_profile(store, fresh, batch, config.gate)
+        Partials.of(fresh, config.decimals).append(store, batch)
+        counted = stored_profile(store, silver, batch, config.gate, load_ts)
+        partials = Partials.stored(store, batch)
+        status = finish(store, silver, batch, load_ts, config, partials, counted)
+    if config.keep_versions and batch > config.keep_versions:
+        for table in ("silver/dim_city", "silver/dim_station", *(f"gold/{m}" for m in LAYOUT)):
+            # the newest version stays, even if the gate has held gold back
+            newest = store.current_version(table)
+            if newest is not None:
+                store.expire(table, min(batch - config.keep_versions + 1, newest))
+    return status
 
 
 def stream_gold(

@@ -47,7 +47,7 @@ def test_ranks_use_no_global_window(silver):
 
 
 def test_the_gate_scans_the_fact_once(silver):
-    text = plan(quality._profile(silver, GateConfig(), None))
+    text = plan(quality.profile(silver, GateConfig()))
     scans = [line for line in text.splitlines() if "FileScan" in line and "pm25" in line]
     assert len(scans) == 1
     assert "SinglePartition" not in text
