@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airstrata.session import materialize
@@ -27,15 +27,20 @@ def _ordered(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     )
 
 
-def _offsets(placed: DataFrame, size) -> DataFrame:
-    """Running total of ``size`` before each partition; one row per partition."""
-    spark = placed.sparkSession
+def _add_offset(placed: DataFrame, size: Column, name: str) -> DataFrame:
+    """Add the running total of ``size`` over all earlier partitions.
+
+    One row per partition comes to the driver and goes back as a broadcast.
+    """
     sizes = placed.groupBy("_part").agg(size.alias("n")).orderBy("_part").collect()
+    if len(sizes) < 2:
+        return placed.withColumn(name, F.lit(0).cast("bigint"))
     rows, before = [], 0
     for part in sizes:
         rows.append((part["_part"], before))
         before += part["n"]
-    return F.broadcast(spark.createDataFrame(rows, "_part int, _before bigint"))
+    offsets = placed.sparkSession.createDataFrame(rows, f"_part int, {name} bigint")
+    return placed.join(F.broadcast(offsets), "_part")
 
 
 def global_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx") -> DataFrame:
@@ -46,7 +51,7 @@ def global_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx") ->
     """
     placed = _ordered(df, order_cols)
     return (
-        placed.join(_offsets(placed, F.count("*")), "_part")
+        _add_offset(placed, F.count("*"), "_before")
         .withColumn(name, F.col("_before") + F.col("_pos"))
         .drop("_part", "_pos", "_before")
     )
@@ -57,8 +62,7 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str]) -> D
     placed = _ordered(df, [order_col])
     local = Window.partitionBy("_part").orderBy("_pos")
     for name in value_cols:
-        offsets = _offsets(placed, F.sum(name)).withColumnRenamed("_before", f"_before_{name}")
-        placed = placed.join(offsets, "_part").withColumn(
+        placed = _add_offset(placed, F.sum(name), f"_before_{name}").withColumn(
             f"total_{name}", F.col(f"_before_{name}") + F.sum(name).over(local)
         )
     return placed.select(*df.columns, *[f"total_{c}" for c in value_cols])

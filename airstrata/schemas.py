@@ -93,3 +93,31 @@ FACT_COLUMNS = [
     "source",
     "ingested_at",
 ]
+
+_READING_TYPES = ", ".join(f"{c} double" for c in READINGS)
+
+# stored tables that are read back by name
+TABLES = {
+    "control/city_map": CITY_MAP,
+    "control/city_reference": CITY_REFERENCE,
+    "silver/dim_date": (
+        "date_key int, full_date date, year int, month int, month_name string, "
+        "day_of_month int, day_of_week int, day_name string, quarter int, week_of_year int, "
+        "is_weekend boolean, season string"
+    ),
+    "silver/dim_time": "time_key int, hour int, minute int, time_of_day string",
+    "silver/dim_city": (
+        "city_key int, city_slug string, city_name string, region string, lat double, lon double"
+    ),
+    "silver/dim_station": (
+        "station_key int, waqi_idx int, city_key int, station_name string, lat double, "
+        "lon double, url string, source string, is_active boolean, first_seen timestamp_ntz, "
+        "last_seen timestamp_ntz, loaded_at timestamp_ntz"
+    ),
+    "silver/fact_aqi": (
+        "date_key int, time_key int, city_key int, station_key int, measured_at timestamp_ntz, "
+        f"aqi double, pollution_level string, dominant_pollutant string, {_READING_TYPES}, "
+        "source string, ingested_at timestamp_ntz"
+    ),
+    "control/loaded_files": LEDGER,
+}

@@ -24,6 +24,7 @@ def local_session(cores: int | str = 8, name: str = "airstrata") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -52,10 +53,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}{scope}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this package wrote, on whatever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, on whatever file system they are."""
+    files, target = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(target) or []]
 
 
 @contextmanager

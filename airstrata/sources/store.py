@@ -1,8 +1,9 @@
 """Parquet tables in a shared folder.
 
-A replaced table gets a folder per version and a commit record written last; an
-appended table gets a folder per batch. A replayed batch overwrites its own
-folders, so a run that died half-way is simply run again.
+A replaced table gets a folder per version, which counts once Spark has marked
+its write as successful; an appended table gets a folder per batch. A replayed
+batch overwrites its own folders, so a run that died half-way is simply run
+again.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.session import delete_path
+from airstrata.schemas import TABLES
+from airstrata.session import delete_path, glob_paths
 
 
 def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -50,34 +52,29 @@ class Store:
         if sort_by:
             df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
         df.write.mode("overwrite").parquet(target)
-        record = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
-        record.write.mode("overwrite").parquet(f"{self.path('commits/' + name)}/v={version}")
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def versions(self, name: str) -> list[int]:
+        """Versions whose write was completed, oldest first."""
+        done = glob_paths(self.spark, f"{self.path(name)}/v=*/_SUCCESS")
+        return sorted(int(path.split("/v=")[-1].split("/")[0]) for path in done)
+
     def current_version(self, name: str, before: int | None = None) -> int | None:
-        commits = read_if_exists(self.spark, f"{self.path('commits/' + name)}/*", "version bigint")
-        if commits is None:
-            return None
-        if before is not None:
-            commits = commits.filter(F.col("version") < before)
-        return commits.agg(F.max("version")).first()[0]
+        found = [v for v in self.versions(name) if before is None or v < before]
+        return found[-1] if found else None
 
     def current(self, name: str, before: int | None = None) -> DataFrame | None:
-        """The latest committed version, or the latest one before ``before``."""
+        """The latest complete version, or the latest one before ``before``."""
         version = self.current_version(name, before)
         if version is None:
             return None
-        return self.spark.read.parquet(self._version_path(name, version))
+        return read_if_exists(self.spark, self._version_path(name, version), TABLES.get(name))
 
     def expire(self, name: str, before: int) -> None:
         """Delete the versions of a replaced table older than ``before``."""
-        commits = read_if_exists(self.spark, f"{self.path('commits/' + name)}/*", "version bigint")
-        if commits is None:
-            return
-        old = commits.filter(F.col("version") < before).select("version").collect()
-        for version in (row["version"] for row in old):
-            delete_path(self.spark, f"{self.path('commits/' + name)}/v={version}")
-            delete_path(self.spark, self._version_path(name, version))
+        for version in self.versions(name):
+            if version < before:
+                delete_path(self.spark, self._version_path(name, version))
 
     def append(self, name: str, df: DataFrame, batch_id: int) -> DataFrame:
         """Write a batch of an append-only table; the same batch again replaces it."""
@@ -87,7 +84,10 @@ class Store:
 
     def appended(self, name: str, upto: int | None = None) -> DataFrame | None:
         """All batches of an append-only table, or those up to ``upto``."""
-        table = read_if_exists(self.spark, self.path(name))
+        schema = TABLES.get(name)
+        if schema is not None:
+            schema += ", batch_id int"
+        table = read_if_exists(self.spark, self.path(name), schema)
         if table is None:
             return None
         if upto is not None:

@@ -21,7 +21,7 @@ from airstrata.operators.conform import tagged
 from airstrata.operators.marts import LAYOUT, Partials
 from airstrata.operators.quality import QualityGateError, append_profile, stored_profile
 from airstrata.plans.medallion import RunStatus, finish, load_silver
-from airstrata.schemas import API_RAW, CSV_RAW
+from airstrata.schemas import API_RAW, CSV_RAW, TABLES
 from airstrata.session import scratch_scope
 from airstrata.sources.documents import JSON_GLOB, parse_documents, scan_text, tag_api
 from airstrata.sources.history import CSV_GLOB, clean_csv, scan_csv
@@ -100,7 +100,7 @@ def process_batch(
     """
     with scratch_scope(store.spark):
         silver = load_silver(store, measurements, batch, load_ts)
-        added = store.spark.read.parquet(f"{store.path('silver/fact_aqi')}/batch_id={batch}")
+        added = store.batch("silver/fact_aqi", batch, TABLES["silver/fact_aqi"])
         fresh = replace(silver, fact=added)
         append_profile(store, fresh, batch, config.gate)
         Partials.of(fresh, config.decimals).append(store, batch)

@@ -9,6 +9,7 @@ from airstrata.sources.store import Store
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "tests")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
