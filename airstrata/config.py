@@ -42,6 +42,10 @@ ALERT_LABELS = [
 POLLUTANT_SENTINEL = "aqi"
 API_SOURCE = "api"
 CSV_SOURCE = "kaggle"
+WET_MONTHS = (5, 10)
+WET, DRY = "Rainy", "Dry"
+HOUR_BANDS = [("Morning", 5, 11), ("Afternoon", 12, 17), ("Evening", 18, 22)]
+OTHER_HOURS = "Night"
 SPINE_START = "2019-01-01"
 SPINE_END = "2030-12-31"
 # ---- end of fixed values -----------------------------------------------------

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.config import API_SOURCE, SPINE_END, SPINE_START
+from airstrata.config import (
+    API_SOURCE,
+    DRY,
+    HOUR_BANDS,
+    OTHER_HOURS,
+    SPINE_END,
+    SPINE_START,
+    WET,
+    WET_MONTHS,
+)
 from airstrata.operators.upsert import allocate_keys, require_unique, upsert
 from airstrata.schemas import CITY_COLUMNS, STATION_COLUMNS
 
@@ -29,20 +38,16 @@ def dim_date(spark: SparkSession, start: str = SPINE_START, end: str = SPINE_END
             F.quarter(day).alias("quarter"),
             F.weekofyear(day).alias("week_of_year"),
             (F.weekday(day) >= 5).alias("is_weekend"),
-            F.when(F.month(day).between(5, 10), "Rainy").otherwise("Dry").alias("season"),
+            F.when(F.month(day).between(*WET_MONTHS), WET).otherwise(DRY).alias("season"),
         )
     )
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
     """One row per full hour; readings off the hour have no row here."""
-    hour = F.col("hour")
-    band = (
-        F.when(hour.between(5, 11), "Morning")
-        .when(hour.between(12, 17), "Afternoon")
-        .when(hour.between(18, 22), "Evening")
-        .otherwise("Night")
-    )
+    band = F.lit(OTHER_HOURS)
+    for name, first, last in HOUR_BANDS:
+        band = F.when(F.col("hour").between(first, last), name).otherwise(band)
     return spark.range(24).select(
         (F.col("id") * 100).cast("int").alias("time_key"),
         F.col("id").cast("int").alias("hour"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -371,10 +372,14 @@ def build_marts(
 
     # independent jobs: submitted together, they fill the cluster between them
     with ThreadPoolExecutor(4) as pool:
-        pair = pool.submit(daily_and_ranking)
-        stations = pool.submit(single, "station_summary", station_summary)
-        hours = pool.submit(single, "hourly_pattern", hourly_pattern)
-        seasons = pool.submit(single, "seasonal_summary", seasonal_summary)
+
+        def start(job, *args):
+            return pool.submit(copy_context().run, job, *args)
+
+        pair = start(daily_and_ranking)
+        stations = start(single, "station_summary", station_summary)
+        hours = start(single, "hourly_pattern", hourly_pattern)
+        seasons = start(single, "seasonal_summary", seasonal_summary)
     return {
         "daily_summary": pair.result()[0],
         "city_ranking": pair.result()[1],

@@ -23,17 +23,22 @@ def before(fact: DataFrame, moment) -> DataFrame:
     return fact.filter(F.col("ingested_at") < F.lit(moment).cast("timestamp_ntz"))
 
 
-def write_clustered(table: DataFrame, path: str, by: Sequence[str]) -> None:
+def write_clustered(
+    table: DataFrame, path: str, by: Sequence[str], files: int | None = None
+) -> None:
     """Rewrite a stored table so that each file covers a narrow key range.
 
+    Without a number of ``files`` adaptive execution sizes the partitions.
+
     A salt ends the range key, so that a key with much of the data, or many
     copies of a row, spreads over several files. Within a scan of stored files
     row numbers are repeatable, so a retried task salts its rows alike; call
     this on a table that was read, not on the result of a shuffle.
     """
     salted = table.withColumn("_salt", F.monotonically_increasing_id() % _SALTS)
+    target = () if files is None else (files,)
     (
-        salted.repartitionByRange(*by, "_salt")
+        salted.repartitionByRange(*target, *by, "_salt")
         .sortWithinPartitions(*by)
         .drop("_salt")
         .write.mode("overwrite")

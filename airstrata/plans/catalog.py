@@ -452,7 +452,7 @@ def restore_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "clustered")
-    snapshots.write_clustered(silver(spark, sf_dir).fact, path, ["city_key", "date_key"])
+    snapshots.write_clustered(silver(spark, sf_dir).fact, path, ["city_key", "date_key"], 16)
     return spark.read.parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# fixed values: the columns of the text feed, by position
 CSV_COLUMNS = [
     "station_id",
     "aqi_index",

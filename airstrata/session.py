@@ -6,11 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_SCRATCH: dict[str, str] = {}
-_SCOPES: list[str] = []
+_SCOPE: ContextVar[str] = ContextVar("scratch_scope", default="")
 
 
 def local_session(cores: int | str = 8, name: str = "airstrata") -> SparkSession:
@@ -49,8 +50,7 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch folder."""
     folder = f"{scratch_root(spark)}/airstrata/{spark.sparkContext.applicationId}"
-    scope = f"/{_SCOPES[-1]}" if _SCOPES else ""
-    return f"{folder}{scope}/{label}-{uuid.uuid4().hex}"
+    return f"{folder}{_SCOPE.get()}/{label}-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -73,14 +73,14 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete what is materialized inside, for jobs that end by writing tables."""
-    name = f"scope-{uuid.uuid4().hex}"
-    _SCOPES.append(name)
+    name = f"/scope-{uuid.uuid4().hex}"
+    outer = _SCOPE.set(name)
     try:
         yield
     finally:
-        _SCOPES.remove(name)
+        _SCOPE.reset(outer)
         folder = f"{scratch_root(spark)}/airstrata/{spark.sparkContext.applicationId}"
-        delete_path(spark, f"{folder}/{name}")
+        delete_path(spark, folder + name)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
