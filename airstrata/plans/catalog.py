@@ -291,7 +291,7 @@ def query_dim_city_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Measurements split by load time; the text feed comes in both batches."""
-    rows = given.measurements(spark, sf_dir)
+    rows = materialize(given.measurements(spark, sf_dir), "measurements")
     split = F.when(F.col("source") == "api", F.lit(EVENT_SPLIT)).otherwise(F.lit(ORDER_SPLIT))
     early = F.col("ingested_at") < split.cast("timestamp_ntz")
     return rows.filter(early), rows.filter(~early)
@@ -484,14 +484,14 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 def gated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status and marts of a run that fails the gate and of one that passes."""
-    rows = []
-    for name, gate in (("default", GateConfig()), ("relaxed", NOTHING_FAILS)):
-        store = new_store(spark, sf_dir, "run")
-        s = load_silver(store, given.measurements(spark, sf_dir), 1, LOAD_TS)
-        status = finish(store, s, 1, LOAD_TS, replace(CONFIG, gate=gate))
+    store = new_store(spark, sf_dir, "run")
+    s = load_silver(store, given.measurements(spark, sf_dir), 1, LOAD_TS)
+    runs = []
+    for batch, (name, gate) in enumerate((("default", GateConfig()), ("relaxed", NOTHING_FAILS)), 1):
+        status = finish(store, s, batch, LOAD_TS, replace(CONFIG, gate=gate))
         daily = store.current("gold/daily_summary")
         built = s.fact.limit(0) if daily is None else daily
-        rows.append(
+        runs.append(
             built.agg(
                 F.lit(name).alias("run"),
                 F.lit(status.code).alias("code"),
@@ -499,7 +499,7 @@ def gated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.count("*").alias("n_daily"),
             )
         )
-    return rows[0].unionByName(rows[1])
+    return runs[0].unionByName(runs[1])
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> Store:

@@ -65,3 +65,28 @@ def test_fact_joins_do_not_shuffle_the_measurements(spark, silver):
     rows = spark.read.parquet(catalog._SILVER[(spark.sparkContext.applicationId, SF)].path("silver/measurement"))
     text = plan(build_fact(rows, silver.dates, silver.times, silver.cities, silver.stations))
     assert "Exchange hashpartitioning" not in text
+
+
+def test_filters_on_load_time_reach_the_scan(silver):
+    from datetime import datetime
+
+    from airstrata.operators import snapshots
+
+    text = plan(snapshots.as_of(silver.fact, datetime(2024, 1, 16)))
+    assert "LessThanOrEqual(ingested_at" in text
+    recent = silver.fact.filter("aqi > 0").filter(
+        snapshots.F.col("ingested_at") >= quality._oldest(GateConfig(), datetime(2024, 1, 16))
+    )
+    assert "GreaterThanOrEqual(ingested_at" in plan(recent)
+
+
+def test_station_candidates_shrink_before_the_exchange(spark, silver):
+    from airstrata.operators.dimensions import station_candidates
+
+    rows = spark.read.parquet(
+        catalog._SILVER[(spark.sparkContext.applicationId, SF)].path("silver/measurement")
+    )
+    text = plan(station_candidates(rows, silver.cities))
+    first = text[: text.index("FileScan")]
+    assert first.rindex("partial_max(measured_at") > first.rindex("Exchange hashpartitioning")
+    assert "Window" not in text
