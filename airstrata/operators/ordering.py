@@ -68,11 +68,13 @@ def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str]) -> D
     return placed.select(*df.columns, *[f"total_{c}" for c in value_cols])
 
 
-def _rank_table(values: DataFrame, groups: Sequence[str]) -> DataFrame:
+def _rank_table(values: DataFrame, groups: Sequence[str], few_groups: bool = False) -> DataFrame:
     """Dense rank of each distinct ``_value`` per group: highest first, NULL on top.
 
     A value's rank is its place in the global order of (group, value) less the
-    place of the first value of its group, so no task gathers a group.
+    place of the first value of its group, so no task gathers a group. With
+    ``few_groups``, a number fixed by the caller, the first places are broadcast;
+    a shuffle would bring all values of a group together.
     """
     distinct = values.distinct().select(
         "*",
@@ -82,6 +84,8 @@ def _rank_table(values: DataFrame, groups: Sequence[str]) -> DataFrame:
     placed = global_index(distinct, [*groups, "_known", "_descending"], "_idx")
     firsts = placed.groupBy(*groups).agg(F.min("_idx").alias("_first"))
     firsts = firsts.select(*[F.col(g).alias(f"_f{g}") for g in groups], "_first")
+    if few_groups:
+        firsts = F.broadcast(firsts)
     match = [placed[g].eqNullSafe(firsts[f"_f{g}"]) for g in groups]
     return placed.join(firsts, match).select(
         *groups, "_value", (F.col("_idx") - F.col("_first") + 1).cast("int").alias("_rank")
@@ -98,13 +102,13 @@ def dense_rank_desc(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     """
     stacked = F.array(
         *[
-            F.struct(F.lit(column).alias("_column"), F.col(column).alias("_value"))
-            for column in ranks
+            F.struct(F.lit(place).alias("_column"), F.col(column).alias("_value"))
+            for place, column in enumerate(ranks)
         ]
     )
-    table = _rank_table(df.select(F.inline(stacked)), ["_column"])
-    for column, name in ranks.items():
-        mine = table.filter(F.col("_column") == column).select(
+    table = _rank_table(df.select(F.inline(stacked)), ["_column"], few_groups=True)
+    for place, (column, name) in enumerate(ranks.items()):
+        mine = table.filter(F.col("_column") == place).select(
             F.col("_value"), F.col("_rank").alias(name)
         )
         df = df.join(mine, df[column].eqNullSafe(mine["_value"])).drop("_value")

@@ -42,8 +42,10 @@ def test_marts_aggregate_before_the_exchange_and_read_few_columns(silver):
     assert "partial_count" in text
 
 
-def test_ranks_use_no_global_window(silver):
-    assert "Window" not in plan(marts.city_ranking(silver, 5))
+def test_ranks_use_no_global_window_and_gather_no_column(silver):
+    text = plan(marts.city_ranking(silver, 5))
+    assert "Window" not in text
+    assert "Exchange hashpartitioning(coalesce(_column" not in text
 
 
 def test_the_gate_scans_the_fact_once(silver):
