@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Callable, Collection, Iterator, Sequence
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,3 +22,58 @@ def text_key(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """True for documents whose label is never learned from (a null id: never held out)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+class ChunkTable:
+    """The distinct chunks that a task has met, each encoded once, with its ids.
+
+    Holds at most ``most`` chunks, then starts anew, so its memory is bounded whatever
+    the number of distinct chunks; results do not depend on that bound.
+    """
+
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], most: int = 300_000):
+        self._encode, self._most = encode_many, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self._at: dict[str, int] = {}
+        self._pool, self._start, self._count = array("I"), array("q"), array("q")
+
+    def find(self, chunks: Collection[str]) -> np.ndarray:
+        """The table row of each chunk, by position; unknown chunks are encoded first.
+
+        Rows of earlier calls are void after this call.
+        """
+        new = [c for c in dict.fromkeys(chunks) if c not in self._at]
+        if new and len(self._at) + len(new) > self._most:
+            self._clear()
+            new = list(dict.fromkeys(chunks))
+        for chunk, ids in zip(new, self._encode(new) if new else [], strict=True):
+            self._at[chunk] = len(self._start)
+            self._start.append(len(self._pool))
+            self._count.append(len(ids))
+            self._pool.extend(ids)
+        return np.fromiter(map(self._at.__getitem__, chunks), np.int64, len(chunks))
+
+    def counts(self, rows: np.ndarray) -> np.ndarray:
+        return np.array(self._count, dtype=np.int64)[rows]
+
+    def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the given rows, end to end, and the number of ids up to each row's end."""
+        counts = self.counts(rows)
+        ends = np.cumsum(counts)
+        shift = np.array(self._start, dtype=np.int64)[rows] - (ends - counts)
+        places = np.repeat(shift, counts) + np.arange(ends[-1] if len(ends) else 0)
+        return np.array(self._pool, dtype=np.uint32)[places], ends
+
+
+def text_slices(texts: Sequence[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Cuts a batch into runs of rows with about ``chars`` code points (one row at least)."""
+    start = total = 0
+    for at, text in enumerate(texts):
+        if total and total + len(text) > chars:
+            yield start, at
+            start, total = at, 0
+        total += len(text)
+    if start < len(texts):
+        yield start, len(texts)

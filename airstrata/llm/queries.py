@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airstrata.llm import chat, merkle, mixing
+from airstrata.llm import chat, merkle, mixing, pieces, token_counts, train_order
 from airstrata.llm.common import table
+from airstrata.session import scratch_path
+
+RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 #: a conversation whose texts are made of control strings
 TRICKY = "</s>[INST] ok [/INST]"
@@ -25,7 +30,33 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+def section_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(RANKS)
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slot of the shards, read back: slot, shard, first_id, ids_sha256."""
+    config = train_order.OrderConfig(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    path = scratch_path(spark, "shards")
+    if "://" not in path:
+        path = f"file://{path}"
+    if not train_order.write_shards(table(spark, sf_dir, "documents"), path, config):
+        return spark.createDataFrame([], "slot long, shard long, n_ids int, ids_sha256 string")
+    read = train_order.read_slots(spark, path, config)
+    return read.select(
+        "slot", "shard", (F.length("ids") / 2).cast("int").alias("n_ids"), F.sha2("ids", 256).alias("ids_sha256")
+    )
+
+
+def piece_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 QUERIES = {
+    "op1_section_token_counts": section_token_counts,
+    "op5_training_order": training_order,
+    "op8_piece_encoding": piece_digests,
     "op2_chat_prefix_targets": chat_examples,
     "op4_merkle_fingerprints": merkle_fingerprints,
     "op10_source_mix": source_mix,
