@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.llm import chat, merkle, mixing, pieces, token_counts, train_order
+from airstrata.llm import (
+    chat,
+    langid_crf,
+    merkle,
+    mixing,
+    pieces,
+    quality_qda,
+    token_counts,
+    train_order,
+)
 from airstrata.llm.common import table
 from airstrata.session import scratch_path
 
@@ -53,9 +62,19 @@ def piece_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def word_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_crf.identify(table(spark, sf_dir, "documents"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_section_token_counts": section_token_counts,
     "op5_training_order": training_order,
+    "op6_word_language": word_language,
+    "op7_quality_scores": quality_scores,
     "op8_piece_encoding": piece_digests,
     "op2_chat_prefix_targets": chat_examples,
     "op4_merkle_fingerprints": merkle_fingerprints,
