@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from airstrata.llm import (
     chat,
+    embed_dedup,
     langid_crf,
     merkle,
     mixing,
@@ -70,6 +71,10 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_section_token_counts": section_token_counts,
     "op5_training_order": training_order,
@@ -77,6 +82,7 @@ QUERIES = {
     "op7_quality_scores": quality_scores,
     "op8_piece_encoding": piece_digests,
     "op2_chat_prefix_targets": chat_examples,
+    "op3_embedding_dedup": embedding_dedup,
     "op4_merkle_fingerprints": merkle_fingerprints,
     "op10_source_mix": source_mix,
 }
