@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from airstrata.llm import (
     chat,
     embed_dedup,
+    jaccard_join,
     langid_crf,
     merkle,
     mixing,
@@ -75,6 +76,10 @@ def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
 QUERIES = {
     "op1_section_token_counts": section_token_counts,
     "op5_training_order": training_order,
@@ -84,6 +89,7 @@ QUERIES = {
     "op2_chat_prefix_targets": chat_examples,
     "op3_embedding_dedup": embedding_dedup,
     "op4_merkle_fingerprints": merkle_fingerprints,
+    "op9_jaccard_groups": jaccard_groups,
     "op10_source_mix": source_mix,
 }
 
