@@ -333,11 +333,11 @@ def deduplicate(documents: DataFrame, config: JoinConfig | None = None) -> DataF
     """The documents without near duplicates: of each group the document with the smallest id."""
     decided = near_duplicates(documents, config)
     keep = decided.filter("kept").select(_name(F.col("doc_id"), F.col("key")).alias("_keep")).distinct()
-    name = _name(F.col("doc_id"), text_key(F.col("text")))
-    names = documents.columns
     # rows without words are no copies of each other; repeated rows with words are
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S")) > 0
-    marked = documents.withColumn("_name", name).withColumn("_words", words)
+    marked = documents.select(
+        F.struct("*").alias("row"), _name(F.col("doc_id"), text_key(F.col("text"))).alias("_name"), words.alias("_words")
+    )
     kept = marked.join(keep, F.col("_name") == F.col("_keep"), "left_semi")
     once = kept.filter("_words").dropDuplicates(["_name"])
-    return once.unionByName(kept.filter("NOT _words")).select(*names)
+    return once.union(kept.filter("NOT _words")).select("row.*")

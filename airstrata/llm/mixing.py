@@ -258,20 +258,22 @@ def mixed_documents(documents: DataFrame, config: MixConfig | None = None) -> Da
     took = took.select(
         F.col("source").alias("_s"), F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "_takes"
     )
-    names = documents.columns
-    keyed = documents.withColumn("_key", F.md5(F.coalesce("text", F.lit(""))))
+    keyed = documents.select(
+        F.struct("*").alias("row"), "doc_id", "source", F.md5(F.coalesce("text", F.lit(""))).alias("_key")
+    )
     once = keyed.dropDuplicates(["doc_id", "source", "_key"])
     match = [
         once["doc_id"].eqNullSafe(took["_id"]),
         once["source"].eqNullSafe(took["_s"]),
         once["_key"] == took["_k"],
     ]
-    rows = once.join(took, match).withColumn("_words", F.explode("_takes"))
-    rows = rows.withColumn("_size", word_count(F.col("text")))
-    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    rows = once.join(took, match).select("row", F.explode("_takes").alias("_words"))
+    text = F.col("row.text")
+    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     first = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), "")
-    cut = F.when(F.col("_words") < F.col("_size"), first).otherwise(F.col("text"))
-    rows = rows.withColumn("text", cut)
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
-    return rows.select(*names)
+    cut = F.when(F.col("_words") < word_count(text), first).otherwise(text)
+    row = F.col("row").withField("text", cut)
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        row = row.withField("n_chars", F.length(cut).cast(kind))
+    return rows.select(row.alias("row")).select("row.*")

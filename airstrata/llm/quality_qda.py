@@ -53,6 +53,7 @@ class QdaModel:
     factors: np.ndarray
     log_dets: np.ndarray
     log_priors: np.ndarray
+    learned: int  # labels it rests on
 
     def score(self, values: np.ndarray) -> np.ndarray:
         density = []
@@ -130,7 +131,7 @@ def shrink(counts: np.ndarray, totals: np.ndarray, squares: np.ndarray, config:
         factors.append(np.linalg.inv(lower))
         log_dets.append(2 * np.log(np.diag(lower)).sum())
     priors = np.log((counts + 1) / (n + 2))
-    return QdaModel(means, np.array(factors).reshape(2, d, d), np.array(log_dets), priors)
+    return QdaModel(means, np.array(factors).reshape(2, d, d), np.array(log_dets), priors, int(n))
 
 
 def score(documents: DataFrame, model: QdaModel, name: str = "score") -> DataFrame:
