@@ -67,14 +67,16 @@ class GateConfig:
 class RunConfig:
     """Settings of one medallion run.
 
-    ``decimals`` fixes the number of decimals the readings carry. When set,
-    averages are summed as scaled integers, so they come out bit-identical
-    however the rows are partitioned; when None they are plain double averages.
-    ``keep_versions`` bounds the table versions a stream leaves behind.
+    ``decimals`` is the number of decimals up to which readings are summed as decimals,
+    so that averages come out bit-identical however the rows are partitioned; readings
+    that have more, and all readings when it is None, are summed as doubles.
+    ``order_free_stations`` makes stations the same in whatever order batches come.
+    ``keep_versions`` bounds the table versions a stream leaves behind; None keeps all.
     """
 
     gate: GateConfig = GateConfig()
     spine_start: str = SPINE_START
     spine_end: str = SPINE_END
     decimals: int | None = None
-    keep_versions: int = 100
+    keep_versions: int | None = None
+    order_free_stations: bool = False

@@ -1,23 +1,57 @@
-"""Mergeable sums and averages, exact when the readings have fixed decimals."""
+"""Mergeable sums and averages that do not depend on the order of the rows.
+
+A sum has two parts: ``sum_x`` adds, as decimals and so exactly, the values that a decimal
+of the agreed scale represents; ``odd_x`` adds all others as doubles (NaN, infinities,
+values of 1e16 and more, values with more decimals). ``cnt_x`` counts both. No value is
+rounded, clamped or left out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_DIGITS = 28
+# up to 1e12 such values add up within the 38 digits of a decimal
+_LIMIT = 16
 
-def addend(value: Column, decimals: int | None) -> Column:
-    """What is summed: the double itself, or the reading in units of its last decimal.
 
-    The units are whole numbers held as doubles: their sums are exact, and so do
-    not depend on the row order, up to 2**53 units, and never overflow.
-    """
+def _exact(value: Column, decimals: int | None) -> Column:
+    """The value as a decimal where that loses nothing, else NULL."""
+    scale = 0 if decimals is None else decimals
+    kind = f"decimal({_DIGITS},{scale})"
     if decimals is None:
-        return value
-    return F.floor(value * F.lit(float(10**decimals)) + F.lit(0.5)).cast("double")
+        return F.lit(None).cast(kind)
+    value = value.cast("double")
+    fits = F.abs(value) < float(10 ** min(_LIMIT, _DIGITS - scale))
+    number = F.when(fits, value).try_cast(kind)
+    return F.when(number.cast("double") == value, number)
+
+
+def sums(value: Column, name: str, decimals: int | None) -> list[Column]:
+    """Aggregates sum_name, odd_name and cnt_name; without decimals all values are odd."""
+    exact = _exact(value, decimals)
+    return [
+        F.sum(exact).alias(f"sum_{name}"),
+        F.sum(F.when(exact.isNull(), value)).alias(f"odd_{name}"),
+        F.count(value).alias(f"cnt_{name}"),
+    ]
+
+
+def merged_sums(name: str) -> list[Column]:
+    """The same aggregates over their own results."""
+    return [F.sum(f"{part}_{name}").alias(f"{part}_{name}") for part in ("sum", "odd", "cnt")]
+
+
+def mean(name: str) -> Column:
+    """Average of what was summed; NULL for a group without values."""
+    total = F.coalesce(F.col(f"sum_{name}").cast("double"), F.lit(0.0)) + F.coalesce(
+        F.col(f"odd_{name}"), F.lit(0.0)
+    )
+    return F.when(F.col(f"cnt_{name}") > 0, total / F.col(f"cnt_{name}"))
 
 
-def mean(total: Column, count: Column, decimals: int | None) -> Column:
-    """Average from a sum of addends; NULL for a group without values."""
-    unit = 1.0 if decimals is None else float(10**decimals)
-    return F.when(count > 0, total / (count * F.lit(unit)))
+def ordered_mean(values: Column) -> Column:
+    """Average of a short array of doubles, added from the smallest up."""
+    total = F.aggregate(F.sort_array(values), F.lit(0.0), lambda a, x: a + x)
+    return F.when(F.size(values) > 0, total / F.size(values))

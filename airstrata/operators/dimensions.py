@@ -43,15 +43,20 @@ def dim_date(spark: SparkSession, start: str = SPINE_START, end: str = SPINE_END
     )
 
 
-def dim_time(spark: SparkSession) -> DataFrame:
-    """One row per full hour; readings off the hour have no row here."""
+def dim_time(spark: SparkSession, minutes: bool = False) -> DataFrame:
+    """One row per full hour, or per minute of the day.
+
+    With full hours, readings off the hour have no row here.
+    """
+    step, rows = (1, 1440) if minutes else (60, 24)
     band = F.lit(OTHER_HOURS)
     for name, first, last in HOUR_BANDS:
         band = F.when(F.col("hour").between(first, last), name).otherwise(band)
-    return spark.range(24).select(
-        (F.col("id") * 100).cast("int").alias("time_key"),
-        F.col("id").cast("int").alias("hour"),
-        F.lit(0).alias("minute"),
+    hour, minute = F.floor(F.col("id") * step / 60), F.col("id") * step % 60
+    return spark.range(rows).select(
+        (hour * 100 + minute).cast("int").alias("time_key"),
+        hour.cast("int").alias("hour"),
+        minute.cast("int").alias("minute"),
     ).withColumn("time_of_day", band)
 
 
@@ -102,11 +107,16 @@ def station_candidates(measurements: DataFrame, cities: DataFrame) -> DataFrame:
     )
 
 
-def merge_station(current: DataFrame | None, candidates: DataFrame, load_ts) -> DataFrame:
+def merge_station(
+    current: DataFrame | None, candidates: DataFrame, load_ts, order_free: bool = False
+) -> DataFrame:
     """Next version of the station dimension.
 
     The key and the first sighting of a known station never change; missing
-    coordinates, address and time keep what is known.
+    coordinates, address and time keep what is known. With ``order_free`` the sightings
+    are the earliest and latest of all batches, the source is the API if any batch had it,
+    and name, address and coordinates are the highest of any batch, so the order of the
+    batches does not matter. ``candidates`` should be a stored result, as it is read twice.
     """
     source = candidates.withColumn("is_active", F.lit(True)).withColumn(
         "loaded_at", F.lit(load_ts).cast("timestamp_ntz")
@@ -117,4 +127,13 @@ def merge_station(current: DataFrame | None, candidates: DataFrame, load_ts) ->
     taken = {c: F.col(f"s.{c}") for c in ("station_name", "source", "is_active", "loaded_at")}
     for c in ("lat", "lon", "url", "last_seen"):
         taken[c] = F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}"))
+    if order_free:
+        # each by itself is the same in whatever order versions meet; "api" sorts first
+        pick = {"source": F.least, "station_name": F.greatest, "url": F.greatest}
+        for c, choose in pick.items():
+            taken[c] = choose(f"s.{c}", f"t.{c}")
+        sides = [F.when(F.col(f"{x}.lat").isNotNull(), F.struct(f"{x}.lat", f"{x}.lon")) for x in "st"]
+        taken["lat"], taken["lon"] = F.greatest(*sides)["lat"], F.greatest(*sides)["lon"]
+        taken["first_seen"] = F.least("s.first_seen", "t.first_seen")
+        taken["last_seen"] = F.greatest("s.last_seen", "t.last_seen")
     return upsert(current.select(*STATION_COLUMNS), source, natural, taken, "station_key")

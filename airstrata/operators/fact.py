@@ -45,9 +45,20 @@ def build_fact(
     times: DataFrame,
     cities: DataFrame,
     stations: DataFrame,
+    dedup: bool = False,
 ) -> DataFrame:
-    """Fact rows of the measurements that resolve in every dimension."""
+    """Fact rows of the measurements that resolve in every dimension.
+
+    With ``dedup`` one row stays per station, city, time and source: the one loaded last,
+    and among these the one with the highest readings, so that the choice is fixed.
+    """
     timed = measurements.filter(F.col("measured_at").isNotNull())
+    if dedup:
+        keys = ["waqi_idx", "city_slug", "measured_at", "source"]
+        others = [c for c in timed.columns if c not in keys]
+        order = ["ingested_at", *[c for c in others if c != "ingested_at"]]
+        newest = F.max(F.struct(*order)).alias("_row")
+        timed = timed.groupBy(*keys).agg(newest).select(*keys, "_row.*")
     return (
         _with_keys(timed, dates, times, cities, stations, "inner")
         .withColumn("pollution_level", aqi_category(F.col("aqi")))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass, replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airstrata.config import LEVEL_LABELS
-from airstrata.functions.exact import addend, mean
+from airstrata.functions.exact import mean, merged_sums, ordered_mean, sums
 from airstrata.functions.levels import aqi_category
 from airstrata.operators.ordering import dense_rank_desc, dense_rank_desc_within
 from airstrata.operators.rollups import (
@@ -26,9 +27,6 @@ from airstrata.session import materialize
 DAY_MEASURES = ["aqi", "pm25", "pm10", "humidity", "temperature"]
 CORE_MEASURES = ["aqi", "pm25", "pm10"]
 
-# the second average runs over averages, which have more decimals than readings
-_EXTRA_DECIMALS = 4
-
 
 @dataclass(frozen=True)
 class Star:
@@ -73,25 +71,27 @@ class Partials:
             star.fact.groupBy(*cls.KEYS["hour"]).agg(*start_partials(CORE_MEASURES, decimals)),
         )
 
-    def append(self, store, batch: int) -> None:
-        for name in self.KEYS:
-            store.append(f"gold_state/{name}", getattr(self, name), batch)
-
-    @classmethod
-    def stored(cls, store, upto: int) -> Partials:
-        """Merge the partials of all batches up to ``upto``."""
-
-        def merged(name: str, measures) -> DataFrame:
-            table = store.appended(f"gold_state/{name}", upto=upto)
-            return table.groupBy(*cls.KEYS[name]).agg(*merge_partials(measures))
-
-        station_day = store.appended("gold_state/station_day", upto=upto).distinct()
-        return cls(
-            merged("day", DAY_MEASURES),
-            station_day,
-            merged("station_month", DAY_MEASURES),
-            merged("hour", CORE_MEASURES),
-        )
+    def advance(self, store, batch: int) -> Partials:
+        """Fold these partials of one batch into the stored state of the batches before it.
+
+        The state is one version per batch, built from the version before and the batch,
+        so its size follows the number of groups and not the number of batches.
+        """
+        folded = {}
+        for name, keys in self.KEYS.items():
+            fresh, table = getattr(self, name), f"gold_state/{name}"
+            before = store.current(table, before=batch)
+            if before is not None:
+                both = before.unionByName(fresh)
+                measures = CORE_MEASURES if name == "hour" else DAY_MEASURES
+                fresh = (
+                    both.distinct()
+                    if name == "station_day"
+                    else both.groupBy(*keys).agg(*merge_partials(measures))
+                )
+            folded[name] = store.replace(table, fresh, batch)
+            store.expire(table, batch - 1)
+        return Partials(**folded)
 
 
 def _city_names(star: Star) -> DataFrame:
@@ -104,7 +104,7 @@ def _calendar(star: Star, *columns: str) -> DataFrame:
     return star.dates.select("date_key", *columns)
 
 
-def _daily(star: Star, day: DataFrame, decimals: int | None) -> DataFrame:
+def _daily(star: Star, day: DataFrame) -> DataFrame:
     return (
         roll_up(day, ["city_key", "date_key"], DAY_MEASURES)
         .join(_city_names(star), "city_key")
@@ -116,7 +116,7 @@ def _daily(star: Star, day: DataFrame, decimals: int | None) -> DataFrame:
             "city_name",
             "region",
             "date",
-            *averages(DAY_MEASURES, decimals),
+            *averages(DAY_MEASURES),
             "max_aqi",
             "min_aqi",
             F.col("n").alias("record_count"),
@@ -135,7 +135,7 @@ def daily_summary(
         F.count("station_key").alias("station_count")
     )
     return (
-        _daily(star, partials.day, decimals)
+        _daily(star, partials.day)
         .join(stations, ["city_key", "date_key"])
         .select(
             "queried_city",
@@ -173,14 +173,14 @@ DAY_COUNTS = dict(
 )
 
 
-def monthly_from_daily(daily: DataFrame, decimals: int | None = None) -> DataFrame:
-    """One row per city and month from the daily mart: averages of daily averages."""
-    fine = None if decimals is None else decimals + _EXTRA_DECIMALS
+def monthly_from_daily(daily: DataFrame) -> DataFrame:
+    """One row per city and month from the daily mart: averages of daily averages.
+
+    A month of a city has at most 31 days, so its daily averages are brought together
+    and added in order of size: the result does not depend on how the rows were spread.
+    """
     keys = ["queried_city", "city_name", "region", "year", "month"]
-    sums = []
-    for m in CORE_MEASURES:
-        value = F.col(f"avg_{m}")
-        sums += [F.sum(addend(value, fine)).alias(f"sum_{m}"), F.count(value).alias(f"cnt_{m}")]
+    values = [F.collect_list(f"avg_{m}").alias(f"days_of_{m}") for m in CORE_MEASURES]
     days = [
         F.count_if(F.col("pollution_level") == level).alias(name)
         for level, name in DAY_COUNTS.items()
@@ -193,18 +193,19 @@ def monthly_from_daily(daily: DataFrame, decimals: int | None = None) -> DataFra
             F.count("*").alias("n"),
             F.max("max_aqi").alias("max_aqi"),
             F.min("min_aqi").alias("min_aqi"),
-            *sums,
+            *values,
             *days,
         )
     )
     monthly = by_label.groupBy(*keys).agg(
-        *merge_partials(CORE_MEASURES),
+        *merge_partials([]),
+        *[F.flatten(F.collect_list(f"days_of_{m}")).alias(f"days_of_{m}") for m in CORE_MEASURES],
         *[F.sum(name).alias(name) for name in DAY_COUNTS.values()],
         most_frequent().alias(LABEL),
     )
     return monthly.select(
         *keys,
-        *averages(CORE_MEASURES, fine),
+        *[ordered_mean(F.col(f"days_of_{m}")).alias(f"avg_{m}") for m in CORE_MEASURES],
         "max_aqi",
         "min_aqi",
         F.col("n").alias("record_count"),
@@ -218,8 +219,8 @@ def city_ranking(
 ) -> DataFrame:
     """Monthly figures per city, ranked over all cities and months."""
     if daily is None:
-        daily = _daily(star, Partials.of(star, decimals).day, decimals)
-    monthly = materialize(monthly_from_daily(daily, decimals), "monthly")
+        daily = _daily(star, Partials.of(star, decimals).day)
+    monthly = materialize(monthly_from_daily(daily), "monthly")
     return dense_rank_desc(monthly, {"avg_aqi": "aqi_rank", "avg_pm25": "pm25_rank"})
 
 
@@ -247,7 +248,7 @@ def station_summary(
         "lon",
         "year",
         "month",
-        *averages(DAY_MEASURES, decimals),
+        *averages(DAY_MEASURES),
         "max_aqi",
         "min_aqi",
         F.col("n").alias("record_count"),
@@ -275,7 +276,7 @@ def hourly_pattern(
             "region",
             "hour",
             "time_of_day",
-            *averages(CORE_MEASURES, decimals),
+            *averages(CORE_MEASURES),
             F.col("n").alias("record_count"),
         )
     )
@@ -301,7 +302,7 @@ def seasonal_summary(
             "region",
             "year",
             "season",
-            *averages(CORE_MEASURES, decimals),
+            *averages(CORE_MEASURES),
             "max_aqi",
             "min_aqi",
             F.col("n").alias("record_count"),
@@ -312,21 +313,17 @@ def seasonal_summary(
 
 def star_slice(star: Star, decimals: int | None = None) -> DataFrame:
     """Average index by city, season and time of day, to one decimal, sorted."""
-    sums = (
+    totals = (
         star.fact.groupBy("city_key", "date_key", "time_key")
-        .agg(
-            F.sum(addend(F.col("aqi"), decimals)).alias("sum_aqi"),
-            F.count("aqi").alias("cnt_aqi"),
-        )
+        .agg(*sums(F.col("aqi"), "aqi", decimals))
         .join(_city_names(star), "city_key")
         .join(_calendar(star, "season"), "date_key")
         .join(star.times.select("time_key", "time_of_day"), "time_key")
         .groupBy("city_name", "season", "time_of_day")
-        .agg(F.sum("sum_aqi").alias("sum_aqi"), F.sum("cnt_aqi").alias("cnt_aqi"))
+        .agg(*merged_sums("aqi"))
     )
-    average = mean(F.col("sum_aqi"), F.col("cnt_aqi"), decimals)
-    return sums.select(
-        "city_name", "season", "time_of_day", F.round(average, 1).alias("avg_aqi")
+    return totals.select(
+        "city_name", "season", "time_of_day", F.round(mean("aqi"), 1).alias("avg_aqi")
     ).orderBy(*[F.col(c).asc_nulls_last() for c in ("city_name", "season", "time_of_day")])
 
 
@@ -351,21 +348,27 @@ def build_marts(
     version: int,
     decimals: int | None = None,
     partials: Partials | None = None,
+    at=None,
 ) -> dict[str, DataFrame]:
     """Write all five marts as one version and return what was written.
 
+    Every row carries ``aggregated_at``, the time ``at`` or else that of the write (UTC).
+
     The day partials are stored once and feed two marts; the ranking reads the
     stored daily mart.
     """
     partials = partials or Partials.of(star, decimals)
     partials = replace(partials, day=materialize(partials.day, "day-partials"))
 
+    now = at or datetime.now(timezone.utc).replace(tzinfo=None)
+
     def publish(name: str, mart: DataFrame) -> DataFrame:
+        mart = mart.withColumn("aggregated_at", F.lit(now).cast("timestamp_ntz"))
         return store.replace(f"gold/{name}", mart, version, LAYOUT[name])
 
     def daily_and_ranking() -> tuple[DataFrame, DataFrame]:
         daily = publish("daily_summary", daily_summary(star, decimals, partials))
-        return daily, publish("city_ranking", city_ranking(star, decimals, daily))
+        return daily, publish("city_ranking", city_ranking(star, decimals, daily.drop("aggregated_at")))
 
     def single(name: str, build) -> DataFrame:
         return publish(name, build(star, decimals, partials))

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airstrata.session import materialize
 
 
-
 def _ordered(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     spread = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order_cols])
     placed = spread.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_cols])
@@ -57,19 +56,8 @@ def global_index(df: DataFrame, order_cols: Sequence[str], name: str = "idx") ->
     )
 
 
-def running_total(df: DataFrame, order_col: str, value_cols: Sequence[str]) -> DataFrame:
-    """Inclusive running totals of ``value_cols`` over unique ``order_col`` values."""
-    placed = _ordered(df, [order_col])
-    local = Window.partitionBy("_part").orderBy("_pos")
-    for name in value_cols:
-        placed = _add_offset(placed, F.sum(name), f"_before_{name}").withColumn(
-            f"total_{name}", F.col(f"_before_{name}") + F.sum(name).over(local)
-        )
-    return placed.select(*df.columns, *[f"total_{c}" for c in value_cols])
-
-
 def _rank_table(values: DataFrame, groups: Sequence[str], few_groups: bool = False) -> DataFrame:
-    """Dense rank of each distinct ``_value`` per group: highest first, NULL on top.
+    """Dense rank of each distinct ``_value`` per group: NULL, NaN, then highest first.
 
     A value's rank is its place in the global order of (group, value) less the
     place of the first value of its group, so no task gathers a group. With
@@ -79,16 +67,17 @@ def _rank_table(values: DataFrame, groups: Sequence[str], few_groups: bool = Fal
     distinct = values.distinct().select(
         "*",
         F.col("_value").isNotNull().alias("_known"),
+        (~F.isnan(F.col("_value").cast("double"))).alias("_number"),
         (-F.col("_value")).alias("_descending"),
     )
-    placed = global_index(distinct, [*groups, "_known", "_descending"], "_idx")
+    placed = global_index(distinct, [*groups, "_known", "_number", "_descending"], "_idx")
     firsts = placed.groupBy(*groups).agg(F.min("_idx").alias("_first"))
     firsts = firsts.select(*[F.col(g).alias(f"_f{g}") for g in groups], "_first")
     if few_groups:
         firsts = F.broadcast(firsts)
     match = [placed[g].eqNullSafe(firsts[f"_f{g}"]) for g in groups]
     return placed.join(firsts, match).select(
-        *groups, "_value", (F.col("_idx") - F.col("_first") + 1).cast("int").alias("_rank")
+        *groups, "_value", (F.col("_idx") - F.col("_first") + 1).alias("_rank")
     )
 
 
@@ -116,18 +105,13 @@ def dense_rank_desc(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
 
 
 def dense_rank_desc_within(
-    df: DataFrame, groups: Sequence[str], value_col: str, name: str, window_rows: int = 1_000_000
+    df: DataFrame, groups: Sequence[str], value_col: str, name: str
 ) -> DataFrame:
-    """DENSE_RANK per group, highest value first, NULL above every value.
+    """DENSE_RANK per group, highest value first, NULL above NaN above every number.
 
-    ``df`` should be a stored result, as it is read more than once. Groups of up
-    to ``window_rows`` rows are ranked by a window; if any group is larger, all
-    are ranked by their place in the global order of distinct values instead.
+    ``df`` should be a stored result, as it is read twice. Groups of any size are ranked by
+    their place in the global order of distinct values.
     """
-    largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-    if largest <= window_rows:
-        order = Window.partitionBy(*groups).orderBy(F.col(value_col).desc_nulls_first())
-        return df.withColumn(name, F.dense_rank().over(order).cast("int"))
     values = df.select(*[F.col(g).alias(f"_g{g}") for g in groups], F.col(value_col).alias("_value"))
     table = _rank_table(values, [f"_g{g}" for g in groups])
     match = [df[g].eqNullSafe(table[f"_g{g}"]) for g in groups]

@@ -64,10 +64,21 @@ def profile(star: Star, config: GateConfig = GateConfig(), as_of=None) -> DataFr
     )
 
 
-def append_profile(store, star: Star, batch: int, config: GateConfig) -> None:
-    """Store the counters of one batch; ``star`` holds the batch's fact rows."""
+_STATE = "control_state/gate_profile"
+
+
+def advance_profile(store, star: Star, batch: int, config: GateConfig) -> None:
+    """Fold the counters of one batch into those of the batches before it.
+
+    ``star`` holds the batch's fact rows. The state is one version per batch.
+    """
     counted = profile(star, config).drop("fresh")
-    store.append("control_state/gate_profile", counted, batch)
+    before = store.current(_STATE, before=batch)
+    if before is not None:
+        both = before.unionByName(counted)
+        counted = both.groupBy(*PROFILE_KEYS).agg(*[F.sum(c).alias(c) for c in _ADDED])
+    store.replace(_STATE, counted, batch)
+    store.expire(_STATE, batch - 1)
 
 
 def stored_profile(store, star: Star, upto: int, config: GateConfig, as_of) -> DataFrame:
@@ -76,9 +87,7 @@ def stored_profile(store, star: Star, upto: int, config: GateConfig, as_of) -> D
     Only freshness depends on the time of the check: its filter reaches the
     scan, which skips the files of older loads.
     """
-    merged = store.appended("control_state/gate_profile", upto=upto).groupBy(*PROFILE_KEYS).agg(
-        *[F.sum(c).alias(c) for c in _ADDED]
-    )
+    merged = store.current(_STATE, before=upto + 1)
     recent = star.fact.filter(F.col("ingested_at") >= _oldest(config, as_of))
     fresh = recent.groupBy("station_key", "city_key").agg(F.count("*").alias("fresh"))
     return merged.unionByName(

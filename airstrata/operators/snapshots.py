@@ -1,4 +1,4 @@
-"""Earlier states of the fact, its layout, and a report on the layout."""
+"""Earlier states of the fact, and its layout."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airstrata.operators.ordering import running_total
-from airstrata.session import materialize
-
-_SALTS = 64
-
 
 def as_of(fact: DataFrame, moment) -> DataFrame:
     """The fact as it was at ``moment``: it only grows, so load time decides."""
@@ -30,12 +25,12 @@ def write_clustered(
 
     Without a number of ``files`` adaptive execution sizes the partitions.
 
-    A salt ends the range key, so that a key with much of the data, or many
-    copies of a row, spreads over several files. Within a scan of stored files
+    The row number ends the range key, so that a key with much of the data, or many
+    copies of a row, spreads over as many files as it fills. Within a scan of stored files
     row numbers are repeatable, so a retried task salts its rows alike; call
     this on a table that was read, not on the result of a shuffle.
     """
-    salted = table.withColumn("_salt", F.monotonically_increasing_id() % _SALTS)
+    salted = table.withColumn("_salt", F.monotonically_increasing_id())
     target = () if files is None else (files,)
     (
         salted.repartitionByRange(*target, *by, "_salt")
@@ -44,44 +39,3 @@ def write_clustered(
         .write.mode("overwrite")
         .parquet(path)
     )
-
-
-def file_ranges(table: DataFrame, key) -> DataFrame:
-    """Row count and key range of each file; ``key`` is one orderable column."""
-    return (
-        table.select(F.col("_metadata.file_path").alias("file"), key.alias("_key"))
-        .groupBy("file")
-        .agg(F.count("*").alias("n_rows"), F.min("_key").alias("lo"), F.max("_key").alias("hi"))
-    )
-
-
-def layout_report(table: DataFrame, key) -> DataFrame:
-    """Files, files with a single key, overlaps per file and greatest depth.
-
-    The number of files whose range meets that of a file is the number of
-    ranges that start up to its end less those that end before its start, both
-    read off running totals over the range ends.
-    """
-    ranges = materialize(file_ranges(table, key).filter(F.col("lo").isNotNull()), "file-ranges")
-    starts = ranges.select(F.col("lo").alias("at"), F.lit(1).alias("opened"), F.lit(0).alias("closed"))
-    ends = ranges.select(F.col("hi").alias("at"), F.lit(0).alias("opened"), F.lit(1).alias("closed"))
-    steps = starts.union(ends).groupBy("at").agg(
-        F.sum("opened").alias("opened"), F.sum("closed").alias("closed")
-    )
-    totals = materialize(running_total(steps, "at", ["opened", "closed"]), "range-totals")
-    at_hi = totals.select(F.col("at").alias("hi"), F.col("total_opened").alias("started"))
-    at_lo = totals.select(
-        F.col("at").alias("lo"), (F.col("total_closed") - F.col("closed")).alias("ended")
-    )
-    overlaps = ranges.join(at_hi, "hi").join(at_lo, "lo")
-    per_file = overlaps.agg(
-        F.count("*").alias("total_files"),
-        F.count_if(F.col("lo") == F.col("hi")).alias("constant_files"),
-        F.avg(F.col("started") - F.col("ended") - 1).alias("average_overlaps"),
-    )
-    depth = F.col("total_opened") - F.col("total_closed") + F.col("closed")
-    deepest = totals.agg(F.max(depth).alias("max_depth"))
-    return (
-        per_file.unionByName(deepest, allowMissingColumns=True)
-        .agg(*[F.max(c).alias(c) for c in [*per_file.columns, "max_depth"]])
-    )

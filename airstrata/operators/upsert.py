@@ -18,7 +18,7 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
 def allocate_keys(new_rows: DataFrame, natural: Sequence[str], name: str, start: int) -> DataFrame:
     """Number new rows from ``start`` in the order of their natural key."""
     return global_index(new_rows, natural, "_idx").select(
-        (F.col("_idx") + F.lit(start)).cast("int").alias(name), *new_rows.columns
+        (F.col("_idx") + F.lit(start)).cast("bigint").alias(name), *new_rows.columns
     )
 
 

@@ -20,8 +20,8 @@ from airstrata.operators.dimensions import (
     merge_station,
     station_candidates,
 )
-from airstrata.operators.fact import fact_outcomes
-from airstrata.operators.ordering import dense_rank_desc
+from airstrata.operators.fact import build_fact, fact_outcomes
+from airstrata.operators.ordering import dense_rank_desc, dense_rank_desc_within
 from airstrata.operators.upsert import allocate_keys
 from airstrata.plans.medallion import finish, load_bronze, load_silver, setup, star
 from airstrata.schemas import API_RAW, CSV_COLUMNS
@@ -315,11 +315,54 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allocate_keys(pairs, ["l_suppkey", "l_partkey"], "pair_key", 1)
 
 
+def _odd_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with a price that is missing on some lines and no number on others."""
+    line = F.col("l_linenumber")
+    price = F.when(line == 7, F.lit(None)).when(line == 6, F.lit(float("nan")))
+    return given.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_suppkey",
+        "l_extendedprice",
+        price.otherwise(F.col("l_extendedprice")).alias("price"),
+    )
+
+
 def global_dense_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = given.table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice"
+    ranked = dense_rank_desc(_odd_prices(spark, sf_dir).drop("l_suppkey"), {"price": "price_rank"})
+    return ranked.drop("price")
+
+
+def rank_within_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by price within their supplier."""
+    lines = _odd_prices(spark, sf_dir).drop("l_extendedprice")
+    return dense_rank_desc_within(lines, ["l_suppkey"], "price", "price_rank").drop("price")
+
+
+def dim_time_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every minute of the day, with the events in it."""
+    at = [F.hour("ts").alias("hour"), F.minute("ts").alias("minute")]
+    events = given.table(spark, sf_dir, "events").groupBy(*at).agg(F.count("*").alias("events"))
+    minutes = dim_time(spark, minutes=True).join(events, ["hour", "minute"], "left")
+    return minutes.withColumn("n_events", F.coalesce("events", F.lit(0))).drop("events")
+
+
+def fact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and index range per city, with one reading per station, time and source."""
+    s = silver(spark, sf_dir)
+    rows = given.measurements(spark, sf_dir)
+    fact = build_fact(rows, s.dates, s.times, s.cities, s.stations, dedup=True)
+    return fact.groupBy("city_key", "source").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("station_key", "measured_at").alias("n_readings")
     )
-    return dense_rank_desc(lines, {"l_extendedprice": "price_rank"})
+
+
+def aqi_category_null_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels with no label, and with a label of their own, for missing values."""
+    aqi = F.when(F.col("l_returnflag") != "N", F.least(F.col("l_extendedprice") / 200, F.lit(600.0)))
+    lines = given.table(spark, sf_dir, "lineitem").select(aqi.alias("aqi"))
+    levels = [aqi_category(F.col("aqi"), null_label=None), aqi_category(F.col("aqi"), null_label="Unknown")]
+    return lines.groupBy(levels[0].alias("level"), levels[1].alias("named_level")).agg(F.count("*").alias("n_rows"))
 
 
 # ---- fact and marts ----------------------------------------------------------
@@ -452,7 +495,7 @@ def restore_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "clustered")
-    snapshots.write_clustered(silver(spark, sf_dir).fact, path, ["city_key", "date_key"], 16)
+    snapshots.write_clustered(silver(spark, sf_dir).fact, path, ["city_key", "date_key"])
     return spark.read.parquet(path)
 
 
@@ -463,11 +506,6 @@ def layout_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def layout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("city_key").cast("bigint") * 100_000_000 + F.col("date_key")
-    return snapshots.layout_report(_clustered(spark, sf_dir), key)
-
-
 # ---- runs --------------------------------------------------------------------
 
 
@@ -513,7 +551,6 @@ def _streamed(spark: SparkSession, sf_dir: str) -> Store:
             LOAD_TS,
             config,
             whole_files=False,
-            files_per_batch=4,
             json_glob="*.txt",
         )
         _SILVER[key] = store
@@ -540,7 +577,7 @@ def stream_dim_station(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir).current("gold/daily_summary")
+    return _streamed(spark, sf_dir).current("gold/daily_summary").drop("aggregated_at")
 
 
 def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -578,6 +615,10 @@ QUERIES: dict[str, Query] = {
     "station_best_row": station_best_row,
     "surrogate_keys": surrogate_keys,
     "global_dense_rank": global_dense_rank,
+    "rank_within_group": rank_within_group,
+    "dim_time_minute": dim_time_minute,
+    "fact_dedup": fact_dedup,
+    "aqi_category_null_label": aqi_category_null_label,
     "fact_build": fact_build,
     "fact_minute_drop": fact_minute_drop,
     "daily_summary": _mart(marts.daily_summary),
@@ -601,7 +642,6 @@ QUERIES: dict[str, Query] = {
     "asof_count": asof_count,
     "restore_before": restore_before,
     "layout_write": layout_write,
-    "layout_audit": layout_audit,
     "gated_run": gated_run,
     "stream_ingest": stream_ingest,
     "stream_fact": stream_fact,

@@ -25,7 +25,7 @@ from airstrata.operators.quarantine import REASON, accepted, rejected
 from airstrata.schemas import API_RAW, CSV_RAW
 from airstrata.schemas import CITY_MAP as CITY_MAP_SCHEMA
 from airstrata.schemas import CITY_REFERENCE as CITY_REFERENCE_SCHEMA
-from airstrata.session import scratch_scope
+from airstrata.session import materialize, scratch_scope
 from airstrata.sources.documents import JSON_GLOB, ingest_api
 from airstrata.sources.history import CSV_GLOB, ingest_csv
 from airstrata.sources.ledger import pending, record
@@ -95,7 +95,9 @@ def star(store: Store, upto: int | None = None) -> Star:
     )
 
 
-def load_silver(store: Store, measurements: DataFrame, batch: int, load_ts) -> Star:
+def load_silver(
+    store: Store, measurements: DataFrame, batch: int, load_ts, order_free: bool = False
+) -> Star:
     """Upsert cities and stations, append the fact rows of one batch.
 
     ``measurements`` is stored first, as it feeds both the stations and the
@@ -118,8 +120,9 @@ def load_silver(store: Store, measurements: DataFrame, batch: int, load_ts) -> S
         "silver/dim_station",
         merge_station(
             store.current("silver/dim_station", before=batch),
-            station_candidates(snapshot, cities),
+            materialize(station_candidates(snapshot, cities), "candidates"),
             load_ts,
+            order_free,
         ),
         batch,
     )
@@ -147,7 +150,7 @@ def finish(
         run_gate(silver, reference, store, batch, load_ts, config.gate, counted)
     except QualityGateError as error:
         return RunStatus(1, tuple(error.failed))
-    build_marts(silver, store, batch, config.decimals, partials)
+    build_marts(silver, store, batch, config.decimals, partials, load_ts)
     return RunStatus(0)
 
 
@@ -165,7 +168,7 @@ def run_medallion(
         api = store.batch("bronze/api_raw", batch, API_RAW).filter("reject_reason is null")
         csv = store.batch("bronze/historical_csv", batch, CSV_RAW)
         rows = tagged(api, csv, store.current("control/city_map"))
-        silver = load_silver(store, rows, batch, load_ts)
+        silver = load_silver(store, rows, batch, load_ts, config.order_free_stations)
         return finish(store, silver, batch, load_ts, config)
 
 

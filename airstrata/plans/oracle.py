@@ -6,26 +6,49 @@ reads JSON or CSV texts, so it checks those steps independently.
 
 from __future__ import annotations
 
-from airstrata.config import ALERT_LABELS, LEVEL_BOUNDS, LEVEL_LABELS
 from airstrata.sources.given import SPINE
 
 
-def _level(value: str, labels: list[str] = LEVEL_LABELS) -> str:
-    cases = " ".join(
-        f"WHEN {value} <= {bound} THEN '{label}'" for bound, label in zip(LEVEL_BOUNDS, labels)
-    )
-    return f"CASE {cases} ELSE '{labels[-1]}' END"
+# fixed values: upper bound of each level, written out anew to check the library's own
+_LEVELS = {
+    50: "Good",
+    100: "Moderate",
+    150: "Unhealthy for Sensitive Groups",
+    200: "Unhealthy",
+    300: "Very Unhealthy",
+}
+_ALERTS = {50: "good", 100: "moderate", 150: "unhealthy_sensitive", 200: "unhealthy", 300: "very_unhealthy"}
+LEVEL_LABELS = [*_LEVELS.values(), "Hazardous"]
 
 
-def _units(value: str, decimals: int = 5) -> str:
-    return f"floor({value} * 1e{decimals} + 0.5e0)"
+def _level(value: str, labels: dict[int, str] = _LEVELS, last: str = "Hazardous") -> str:
+    cases = " ".join(f"WHEN {value} <= {bound} THEN '{label}'" for bound, label in labels.items())
+    return f"CASE {cases} ELSE '{last}' END"
 
 
-def _avg(value: str, decimals: int = 5) -> str:
+def _avg(value: str) -> str:
+    """The exact average of decimals; a plain one where a value is no finite number."""
+    finite = f"{value} IS NULL OR isfinite({value})"
+    exact = f"sum(CASE WHEN isfinite({value}) THEN CAST(CAST({value} AS VARCHAR) AS DECIMAL(28, 10)) END)"
     return (
-        f"CASE WHEN count({value}) > 0 THEN "
-        f"sum({_units(value, decimals)}) / (count({value}) * 1e{decimals}) END"
+        f"CASE WHEN count({value}) = 0 THEN NULL WHEN bool_and({finite}) "
+        f"THEN CAST({exact} AS DOUBLE) / count({value}) ELSE avg({value}) END"
+    )
+
+
+def _day_avg(value: str) -> str:
+    """The average of the daily averages of a month, added from the smallest up."""
+    return f"CASE WHEN count({value}) > 0 THEN sum({value} ORDER BY {value}) / count({value}) END"
+
+
+def _odd(first: int, value: str, kind: str) -> str:
+    """Unusual numbers for the customers in four bands of the balance."""
+    found = ["'NaN'", "'Infinity'", "'1e15'", "CAST(round(o_totalprice / 30000, 7) AS VARCHAR)"]
+    cases = " ".join(
+        f"WHEN c_acctbal >= {first + 30 * i} AND c_acctbal < {first + 30 * i + 30} THEN CAST({v} AS {kind})"
+        for i, v in enumerate(found)
     )
+    return f"CASE {cases} ELSE {value} END"
 
 
 def _with(*steps: str) -> str:
@@ -38,7 +61,7 @@ CITY = """city AS (
          n_nationkey, n_regionkey
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
-FEEDS = """api AS (
+FEEDS = f"""api AS (
   SELECT CAST(user_id AS INT) AS waqi_idx, c_name AS station_name,
          CAST(n_nationkey AS DOUBLE) AS lat, CAST(n_regionkey AS DOUBLE) AS lon,
          'station/' || user_id AS url, lower(replace(n_name, '_', '-')) AS city_slug,
@@ -55,10 +78,12 @@ csv AS (
               ELSE lower(replace(n_name, '_', '-')) END AS city_slug,
          'kaggle' AS source,
          CASE WHEN c_acctbal BETWEEN -700 AND -500 THEN NULL ELSE o_orderdate END AS measured_at,
-         CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_totalprice / 1000 END AS aqi,
+         CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
+              THEN {_odd(9700, "round(o_totalprice / 1000, 5)", "DOUBLE")} END AS aqi,
          CASE WHEN o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW')
               THEN o_orderpriority END AS dominant_pollutant,
-         CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 5000) END AS pm25,
+         CASE WHEN o_orderstatus <> 'P'
+              THEN {_odd(9850, "floor(o_totalprice / 5000)", "DOUBLE")} END AS pm25,
          o_orderdate AS ingested_at
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   WHERE c_acctbal >= -900)"""
@@ -67,7 +92,7 @@ _NO_READINGS = ", ".join(
     f"CAST(NULL AS DOUBLE) AS {c}" for c in ("co", "no2", "o3", "so2", "pressure", "wind")
 )
 _API_ROWS = f"""SELECT waqi_idx, station_name, lat, lon, url, city_slug, source, measured_at, aqi,
-  dominant_pollutant, k AS pm25, k * 1.6e0 AS pm10, k * 0.5e0 AS humidity,
+  dominant_pollutant, k AS pm25, round(k * 1.6e0, 5) AS pm10, k * 0.5e0 AS humidity,
   k * 0.25e0 AS temperature, {_NO_READINGS}, ingested_at FROM api"""
 _CSV_ROWS = f"""SELECT waqi_idx, station_name, lat, lon, url, city_slug, source, measured_at, aqi,
   dominant_pollutant, pm25, CAST(NULL AS DOUBLE) AS pm10, CAST(NULL AS DOUBLE) AS humidity,
@@ -93,8 +118,8 @@ STATION = f"""station AS (
 
 FACT = f"""fact AS (
   SELECT CAST(strftime(measured_at, '%Y%m%d') AS INT) AS date_key,
-         CAST(hour(measured_at) * 100 AS INT) AS time_key, CAST(c.city_key AS INT) AS city_key,
-         CAST(s.station_key AS INT) AS station_key, measured_at, aqi,
+         CAST(hour(measured_at) * 100 AS INT) AS time_key, CAST(c.city_key AS BIGINT) AS city_key,
+         CAST(s.station_key AS BIGINT) AS station_key, measured_at, aqi,
          {_level("aqi")} AS pollution_level, dominant_pollutant, pm25, pm10, co, no2, o3, so2,
          humidity, temperature, pressure, wind, m.source, ingested_at,
          city_name, region, m.city_slug, CAST(measured_at AS DATE) AS full_date,
@@ -145,7 +170,7 @@ _DAYS = ", ".join(
     f"count(*) FILTER (pollution_level = '{label}') AS days_{name}"
     for name, label in zip(_DAY_NAMES, LEVEL_LABELS)
 )
-_MONTH_AVGS = ", ".join(f"{_avg(f'avg_{c}', 9)} AS avg_{c}" for c in ("aqi", "pm25", "pm10"))
+_MONTH_AVGS = ", ".join(f"{_day_avg(f'avg_{c}')} AS avg_{c}" for c in ("aqi", "pm25", "pm10"))
 RANKING = f"""dated AS (
   SELECT *, CAST(year(full_date) AS INT) AS year, CAST(month(full_date) AS INT) AS month FROM daily),
 month_rows AS (
@@ -154,8 +179,8 @@ month_rows AS (
   FROM dated GROUP BY {_MONTH}),
 ranking AS (
   SELECT r.*, dominant_pollutant, {_level("avg_aqi")} AS pollution_level,
-         CAST(dense_rank() OVER (ORDER BY avg_aqi DESC NULLS FIRST) AS INT) AS aqi_rank,
-         CAST(dense_rank() OVER (ORDER BY avg_pm25 DESC NULLS FIRST) AS INT) AS pm25_rank
+         dense_rank() OVER (ORDER BY avg_aqi DESC NULLS FIRST) AS aqi_rank,
+         dense_rank() OVER (ORDER BY avg_pm25 DESC NULLS FIRST) AS pm25_rank
   FROM month_rows r LEFT JOIN ({_mode("dated", _MONTH)}) USING ({_MONTH}))"""
 
 _STATION_MONTH = "station_key, city_slug, city_name, region, year, month"
@@ -172,8 +197,8 @@ MART_SQL = {
     + f"""SELECT waqi_idx, station_name, city_slug AS queried_city, city_name, region,
     s.lat, s.lon, g.* EXCLUDE (station_key, city_slug, city_name, region),
     {_level("avg_aqi")} AS pollution_level,
-    CAST(dense_rank() OVER (PARTITION BY city_slug, year, month
-      ORDER BY avg_aqi DESC NULLS FIRST) AS INT) AS rank_in_city
+    dense_rank() OVER (PARTITION BY city_slug, year, month
+      ORDER BY avg_aqi DESC NULLS FIRST) AS rank_in_city
   FROM ({_mart(_STATION_MONTH, f"{_AVGS5}, {_RANGE}")}) g JOIN station s USING (station_key)""",
     "hourly_pattern": _with(*SILVER)
     + f"""SELECT city_slug AS queried_city, * EXCLUDE (city_slug)
@@ -271,7 +296,7 @@ m2 AS (SELECT * FROM m WHERE ingested_at >=
 
 STATION_MERGE = (
     _with(CITY, FEEDS, MEASUREMENT, _BATCHES, f"s1 AS ({_best('m1')})", f"s2 AS ({_best('m2')})")
-    + """SELECT CAST(station_key AS INT) AS station_key, waqi_idx, CAST(city_key AS INT) AS city_key,
+    + """SELECT CAST(station_key AS BIGINT) AS station_key, waqi_idx, CAST(city_key AS BIGINT) AS city_key,
     station_name, lat, lon, url, source, TRUE AS is_active, first_seen, last_seen
   FROM (
     SELECT row_number() OVER (ORDER BY waqi_idx, city_key) AS station_key, s1.waqi_idx, s1.city_key,
@@ -286,6 +311,9 @@ STATION_MERGE = (
     FROM s2 ANTI JOIN s1 USING (waqi_idx, city_key))"""
 )
 
+_ODD_PRICES = """SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, CASE WHEN l_linenumber = 7 THEN NULL
+    WHEN l_linenumber = 6 THEN 'NaN'::DOUBLE ELSE l_extendedprice END AS price FROM lineitem"""
+
 _API_DOC = """SELECT city_slug AS queried_city, waqi_idx AS idx, aqi,
     strftime(measured_at, '%Y-%m-%dT%H:%M:%SZ') AS iso, TRUE AS has_file FROM api"""
 
@@ -311,17 +339,17 @@ ORACLE_SQL = {
     "csv_ingest": f"""SELECT
     CASE WHEN c_acctbal >= -900 THEN CAST(o_custkey AS VARCHAR) END AS station_id,
     CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
-         THEN CAST(o_totalprice / 1000 AS VARCHAR) END AS aqi_index,
+         THEN {_odd(9700, "CAST(round(o_totalprice / 1000, 5) AS VARCHAR)", "VARCHAR")} END AS aqi_index,
     CASE WHEN c_acctbal BETWEEN -900 AND -700 THEN 'Nowhere' ELSE n_name END AS location,
     c_name AS station_name, 'station/' || o_custkey AS url,
     CASE WHEN o_orderpriority = '5-LOW' THEN 'aqi'
          WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS dominant_pollutant,
     CASE WHEN o_orderstatus <> 'P'
-         THEN CAST(CAST(floor(o_totalprice / 5000) AS INT) AS VARCHAR) END AS pm25,
+         THEN {_odd(9850, "CAST(CAST(floor(o_totalprice / 5000) AS INT) AS VARCHAR)", "VARCHAR")} END AS pm25,
     CASE WHEN c_acctbal BETWEEN -700 AND -500 THEN 'garbage'
          ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS data_time_s,
     'UTC' AS data_time_tz, 'ok' AS status,
-    {_level("o_totalprice / 1000", ALERT_LABELS)} AS alert_level,
+    {_level("o_totalprice / 1000", _ALERTS, "hazardous")} AS alert_level,
     {", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in (
         "co", "dew", "humidity", "no2", "o3", "pressure", "pm10", "so2", "temperature", "wind"))}
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
@@ -329,7 +357,7 @@ ORACLE_SQL = {
     count(*) FILTER (o_orderpriority <> '5-LOW') AS n_null_co,
     count(*) FILTER (o_orderstatus = 'F') AS n_null_wind FROM orders GROUP BY 1""",
     "csv_arity": f"""SELECT
-    CASE WHEN o_orderstatus <> 'F' THEN {_level("o_totalprice / 1000", ALERT_LABELS)} END
+    CASE WHEN o_orderstatus <> 'F' THEN {_level("o_totalprice / 1000", _ALERTS, "hazardous")} END
       AS alert_level,
     CASE WHEN o_orderstatus <> 'F' THEN 'ok' END AS status, count(*) AS n_rows,
     count(*) AS n_named
@@ -363,17 +391,33 @@ ORACLE_SQL = {
   FROM (SELECT unnest(range(24)) AS h)
   LEFT JOIN (SELECT hour(ts) AS h, count(*) AS n FROM events GROUP BY 1) USING (h)""",
     "dim_city_merge": _with(CITY)
-    + """SELECT CAST(row_number() OVER (ORDER BY n_regionkey >= 3, city_slug) AS INT) AS city_key,
+    + """SELECT row_number() OVER (ORDER BY n_regionkey >= 3, city_slug) AS city_key,
     city_slug, city_name, region, CAST(n_nationkey AS DOUBLE) AS lat,
     CAST(n_regionkey AS DOUBLE) AS lon FROM city""",
     "dim_station_merge": STATION_MERGE,
     "station_best_row": _with(CITY, FEEDS, MEASUREMENT)
-    + f"SELECT * REPLACE (CAST(city_key AS INT) AS city_key) FROM ({_best('m')})",
-    "surrogate_keys": """SELECT CAST(row_number() OVER (ORDER BY l_suppkey, l_partkey) AS INT)
-      AS pair_key, l_suppkey, l_partkey
+    + f"SELECT * REPLACE (CAST(city_key AS BIGINT) AS city_key) FROM ({_best('m')})",
+    "surrogate_keys": """SELECT row_number() OVER (ORDER BY l_suppkey, l_partkey) AS pair_key, l_suppkey, l_partkey
   FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)""",
-    "global_dense_rank": """SELECT l_orderkey, l_linenumber, l_extendedprice,
-    CAST(dense_rank() OVER (ORDER BY l_extendedprice DESC) AS INT) AS price_rank FROM lineitem""",
+    "global_dense_rank": f"""SELECT l_orderkey, l_linenumber, l_extendedprice,
+    dense_rank() OVER (ORDER BY price DESC NULLS FIRST) AS price_rank FROM ({_ODD_PRICES})""",
+    "rank_within_group": f"""SELECT l_orderkey, l_linenumber, l_suppkey,
+    dense_rank() OVER (PARTITION BY l_suppkey ORDER BY price DESC NULLS FIRST) AS price_rank
+  FROM ({_ODD_PRICES})""",
+    "dim_time_minute": """SELECT CAST(h * 100 + m AS INT) AS time_key, CAST(h AS INT) AS hour,
+    CAST(m AS INT) AS minute,
+    CASE WHEN h BETWEEN 5 AND 11 THEN 'Morning' WHEN h BETWEEN 12 AND 17 THEN 'Afternoon'
+         WHEN h BETWEEN 18 AND 22 THEN 'Evening' ELSE 'Night' END AS time_of_day,
+    coalesce(n, 0) AS n_events
+  FROM (SELECT unnest(range(24)) AS h) CROSS JOIN (SELECT unnest(range(60)) AS m)
+  LEFT JOIN (SELECT hour(ts) AS h, minute(ts) AS m, count(*) AS n FROM events GROUP BY 1, 2) USING (h, m)""",
+    "fact_dedup": _with(*SILVER)
+    + """SELECT city_key, source, count(DISTINCT (station_key, measured_at)) AS n_rows,
+    count(DISTINCT (station_key, measured_at)) AS n_readings FROM fact GROUP BY city_key, source""",
+    "aqi_category_null_label": f"""SELECT CASE WHEN aqi IS NOT NULL THEN {_level("aqi")} END AS level,
+    CASE WHEN aqi IS NULL THEN 'Unknown' ELSE {_level("aqi")} END AS named_level, count(*) AS n_rows
+  FROM (SELECT CASE WHEN l_returnflag <> 'N' THEN least(l_extendedprice / 200, 600) END AS aqi
+        FROM lineitem) GROUP BY 1, 2""",
     "fact_build": _with(*SILVER)
     + """SELECT date_key, time_key, city_key, station_key, measured_at, aqi, pollution_level,
     dominant_pollutant, pm25, pm10, co, no2, o3, so2, humidity, temperature, pressure, wind,
@@ -389,9 +433,7 @@ ORACLE_SQL = {
     "gold_all": _with(*SILVER) + _sizes(),
     "stream_run": _with(*SILVER) + _sizes(),
     "star_slice": _with(*SILVER)
-    + """SELECT city_name, season, time_of_day,
-    CAST((20 * CAST(sum(floor(aqi * 1e5 + 0.5e0)) AS HUGEINT) + count(aqi) * 100000)
-      // (2 * count(aqi) * 100000) AS DOUBLE) / 10 AS avg_aqi
+    + f"""SELECT city_name, season, time_of_day, round({_avg("aqi")}, 1) AS avg_aqi
   FROM fact GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""",
     "ranking_coverage": _with(*SILVER)
     + """SELECT city_slug AS queried_city, count(DISTINCT (year, month)) AS n_rows
@@ -426,7 +468,7 @@ ORACLE_SQL = {
     + """SELECT city_slug AS queried_city, pollutant, count(*) AS n_values, min(v) AS lowest,
     max(v) AS highest
   FROM (SELECT city_slug, 'pm25' AS pollutant, k AS v FROM api
-        UNION ALL SELECT city_slug, 'pm10', k * 1.6e0 FROM api
+        UNION ALL SELECT city_slug, 'pm10', round(k * 1.6e0, 5) FROM api
         UNION ALL SELECT city_slug, 'h', k * 0.5e0 FROM api
         UNION ALL SELECT city_slug, 't', k * 0.25e0 FROM api) GROUP BY 1, 2""",
     "asof_count": _with(*SILVER)
@@ -447,7 +489,7 @@ ORACLE_SQL = {
     "stream_fact": _with(*SILVER)
     + "SELECT date_key, time_key, city_key, measured_at, aqi, pm10, source FROM fact",
     "stream_dim_station": _with(*SILVER)
-    + """SELECT waqi_idx, CAST(city_key AS INT) AS city_key, station_name, lat, lon, url
+    + """SELECT waqi_idx, CAST(city_key AS BIGINT) AS city_key, station_name, lat, lon, url
   FROM station""",
     "stream_daily_summary": MART_SQL["daily_summary"],
 }

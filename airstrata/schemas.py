@@ -108,15 +108,15 @@ TABLES = {
     ),
     "silver/dim_time": "time_key int, hour int, minute int, time_of_day string",
     "silver/dim_city": (
-        "city_key int, city_slug string, city_name string, region string, lat double, lon double"
+        "city_key bigint, city_slug string, city_name string, region string, lat double, lon double"
     ),
     "silver/dim_station": (
-        "station_key int, waqi_idx int, city_key int, station_name string, lat double, "
+        "station_key bigint, waqi_idx int, city_key bigint, station_name string, lat double, "
         "lon double, url string, source string, is_active boolean, first_seen timestamp_ntz, "
         "last_seen timestamp_ntz, loaded_at timestamp_ntz"
     ),
     "silver/fact_aqi": (
-        "date_key int, time_key int, city_key int, station_key int, measured_at timestamp_ntz, "
+        "date_key int, time_key int, city_key bigint, station_key bigint, measured_at timestamp_ntz, "
         f"aqi double, pollution_level string, dominant_pollutant string, {_READING_TYPES}, "
         "source string, ingested_at timestamp_ntz"
     ),

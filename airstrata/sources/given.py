@@ -19,7 +19,7 @@ from airstrata.sources.documents import parse_documents, queried_city
 from airstrata.sources.history import clean_csv
 
 SPINE = ("1995-01-01", "2024-12-31")
-DECIMALS = 5
+DECIMALS = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,7 +84,7 @@ def api_bodies(spark: SparkSession, sf_dir: str, on_the_hour: bool = True) -> Da
         ).alias("city"),
         F.struct(
             reading(k).alias("pm25"),
-            reading(k * 1.6).alias("pm10"),
+            reading(F.round(k * 1.6, 5)).alias("pm10"),
             reading(k * 0.5).alias("h"),
             reading(k * 0.25).alias("t"),
         ).alias("iaqi"),
@@ -114,11 +114,21 @@ def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a text record, with bad fields for some customers."""
     orders = located(spark, sf_dir, feed(spark, sf_dir, "orders"), "o_custkey")
     priority, balance = F.col("o_orderpriority"), F.col("c_acctbal")
-    aqi = F.col("o_totalprice") / 1000
+    aqi = F.round(F.col("o_totalprice") / 1000, 5)
+    pm25 = F.floor(F.col("o_totalprice") / 5000)
     no_value = priority == "4-NOT SPECIFIED"
+
+    def odd(first: float, text: Column) -> Column:
+        """Unusual numbers for the customers in four bands of the balance."""
+        bands = [F.lit("NaN"), F.lit("Infinity"), F.lit("1e15"), F.round(F.col("o_totalprice") / 30000, 7).cast("string")]
+        for place, band in enumerate(bands):
+            low = first + 30 * place
+            text = F.when((balance >= low) & (balance < low + 30), band).otherwise(text)
+        return text
+
     fields = {
         "station_id": F.when(balance < -900, "NA").otherwise(F.col("o_custkey").cast("string")),
-        "aqi_index": F.when(no_value, "N/A").otherwise(aqi.cast("string")),
+        "aqi_index": F.when(no_value, "N/A").otherwise(odd(9700, aqi.cast("string"))),
         "location": F.when(balance.between(-900, -700), "Nowhere").otherwise(F.col("n_name")),
         "station_name": F.col("c_name"),
         "url": F.concat(F.lit("station/"), F.col("o_custkey")),
@@ -126,7 +136,7 @@ def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "5-LOW", "aqi")
         .otherwise(priority),
         "pm25": F.when(F.col("o_orderstatus") == "P", "NA").otherwise(
-            F.floor(F.col("o_totalprice") / 5000).cast("string")
+            odd(9850, pm25.cast("string"))
         ),
         "data_time_s": F.when(balance.between(-700, -500), "garbage").otherwise(
             F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from airstrata.config import RunConfig
 from airstrata.operators.conform import tagged
 from airstrata.operators.marts import LAYOUT, Partials
-from airstrata.operators.quality import QualityGateError, append_profile, stored_profile
+from airstrata.operators.quality import QualityGateError, advance_profile, stored_profile
 from airstrata.plans.medallion import RunStatus, finish, load_silver
 from airstrata.schemas import API_RAW, CSV_RAW, TABLES
 from airstrata.session import scratch_scope
@@ -63,7 +63,9 @@ def stream_bronze(
     ``once`` works off what is there and ends; otherwise the jobs keep running
     and look for files every five minutes.
     """
-    load_ts = F.current_timestamp() if load_ts is None else load_ts
+    # the gate compares load times with UTC, whatever the session's zone is
+    now = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+    load_ts = now if load_ts is None else load_ts
     texts = scan_text(store.spark, root, whole_files, json_glob, True, files_per_batch)
     records = scan_csv(store.spark, root, csv_glob, True, files_per_batch)
     return [
@@ -94,18 +96,18 @@ def process_batch(
 ) -> RunStatus:
     """Silver, gate and gold for one micro-batch.
 
-    The gate and the marts work from counters and partial aggregates: each batch
-    adds its own, and the stored ones are merged, so the cost of a batch does
-    not grow with the fact. Table versions beyond ``keep_versions`` are deleted.
+    The gate and the marts work from counters and partial aggregates. A batch folds its
+    own into the state that the batch before left, so its cost follows the new rows and
+    the number of groups, not the fact or the number of batches. Where ``keep_versions``
+    is set, older versions of dimensions and marts are deleted.
     """
     with scratch_scope(store.spark):
-        silver = load_silver(store, measurements, batch, load_ts)
+        silver = load_silver(store, measurements, batch, load_ts, config.order_free_stations)
         added = store.batch("silver/fact_aqi", batch, TABLES["silver/fact_aqi"])
         fresh = replace(silver, fact=added)
-        append_profile(store, fresh, batch, config.gate)
-        Partials.of(fresh, config.decimals).append(store, batch)
+        advance_profile(store, fresh, batch, config.gate)
         counted = stored_profile(store, silver, batch, config.gate, load_ts)
-        partials = Partials.stored(store, batch)
+        partials = Partials.of(fresh, config.decimals).advance(store, batch)
         status = finish(store, silver, batch, load_ts, config, partials, counted)
     if config.keep_versions and batch > config.keep_versions:
         for table in ("silver/dim_city", "silver/dim_station", *(f"gold/{m}" for m in LAYOUT)):

@@ -13,6 +13,7 @@ from airstrata.operators.dimensions import (
     station_candidates,
 )
 from airstrata.operators.fact import build_fact, fact_outcomes
+from airstrata.operators.upsert import allocate_keys
 from airstrata.schemas import CITY_REFERENCE as REFERENCE_SCHEMA
 from airstrata.schemas import MEASUREMENT_COLUMNS
 from airstrata.session import materialize
@@ -194,3 +195,43 @@ def test_fact_rows_and_what_drops(spark, cities):
         "no_timestamp": 1,
         "unknown_city": 1,
     }
+
+
+def test_minutes_of_the_day(spark):
+    rows = dim_time(spark, minutes=True).collect()
+    assert len(rows) == 1440
+    at = {r["time_key"]: (r["hour"], r["minute"], r["time_of_day"]) for r in rows}
+    assert at[0] == (0, 0, "Night") and at[1259] == (12, 59, "Afternoon") and at[2359] == (23, 59, "Night")
+
+
+def test_keys_go_past_32_bits(spark):
+    rows = spark.createDataFrame([(5,), (4,)], "n int")
+    keyed = allocate_keys(rows, ["n"], "key", 2**31)
+    assert sorted(map(tuple, keyed.collect())) == [(2**31, 4), (2**31 + 1, 5)]
+
+
+def test_order_free_stations(spark, cities):
+    batches = [
+        frame(spark, measurement(measured_at=T2, station_name="b", lat=1.0, lon=1.0)),
+        frame(spark, measurement(measured_at=T1, station_name="a"), measurement(measured_at=T3, station_name="h", source="kaggle")),
+        frame(spark, measurement(measured_at=T3, station_name="c", source="kaggle")),
+    ]
+    found = set()
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0)):
+        now = None
+        for k in order:
+            now = materialize(
+                merge_station(now, materialize(station_candidates(batches[k], cities), "c"), LOAD1, order_free=True), "s"
+            )
+        row = now.first()
+        found.add((row["station_name"], row["source"], row["lat"], row["first_seen"], row["last_seen"]))
+    assert found == {("c", "api", 1.0, T1, T3)}
+
+
+def test_dedup_keeps_the_row_loaded_last(spark, cities, reference):
+    rows = [measurement(aqi=a, ingested_at=t) for a, t in ((1.0, T2), (2.0, T3), (9.0, T1))]
+    given = frame(spark, *rows, measurement(source="kaggle", aqi=4.0))
+    stations = materialize(merge_station(None, station_candidates(given, cities), LOAD1), "stations")
+    fact = build_fact(given, dim_date(spark), dim_time(spark), cities, stations, dedup=True)
+    assert sorted((r["source"], r["aqi"]) for r in fact.collect()) == [("api", 2.0), ("kaggle", 4.0)]
+    assert build_fact(given, dim_date(spark), dim_time(spark), cities, stations).count() == 4

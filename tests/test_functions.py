@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
+from fractions import Fraction
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from airstrata.config import ALERT_LABELS
-from airstrata.functions.exact import addend, mean
+from airstrata.functions.exact import mean, ordered_mean, sums
 from airstrata.functions.levels import aqi_category
 from airstrata.functions.parsing import null_tokens_to_null, try_double, try_int, try_timestamp
 
@@ -60,11 +62,36 @@ def test_null_tokens_are_exact(spark):
     assert _apply(spark, null_tokens_to_null, values) == [None] * 5 + ["na", " NA", "x"]
 
 
+def _mean(spark, values, parts, decimals=5):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+    return df.agg(*sums(F.col("v"), "v", decimals)).select(mean("v")).first()[0]
+
+
 def test_exact_means_do_not_depend_on_order(spark):
-    values = [0.1 * i for i in range(1000)]
-    seen = set()
+    values = [i / 10 for i in range(1000)] + [1e15, 0.1234567, -3.25]
+    want = float(sum(Fraction(repr(v)) for v in values) / len(values))
     for parts in (1, 7, 32):
-        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
-        total = df.agg(F.sum(addend(F.col("v"), 1)).alias("s"), F.count("v").alias("n"))
-        seen.add(total.select(mean(F.col("s"), F.col("n"), 1)).first()[0])
-    assert seen == {49.95}
+        assert _mean(spark, values, parts, 7) == want
+
+
+def test_means_keep_every_double(spark):
+    nan, inf = float("nan"), float("inf")
+    assert math.isnan(_mean(spark, [1.0, nan, 2.0], 2))
+    assert _mean(spark, [1.0, inf, 2.0], 2) == inf
+    assert math.isnan(_mean(spark, [inf, -inf], 1))
+    assert _mean(spark, [1e300], 1) == 1e300 and _mean(spark, [1e15], 1) == 1e15
+    assert _mean(spark, [50.0000000004], 1) == 50.0000000004
+    assert _mean(spark, [None, None], 1) is None and _mean(spark, [], 1) is None
+    assert _mean(spark, [None, 3.0, 1e16], 3, None) == (3.0 + 1e16) / 2
+
+
+def test_ordered_mean(spark):
+    df = spark.createDataFrame([([0.3, 0.1, 0.2],), ([],), ([1.0, float("nan")],)], "v array<double>")
+    found = [r[0] for r in df.select(ordered_mean(F.col("v"))).collect()]
+    assert found[:2] == [(0.1 + 0.2 + 0.3) / 3, None] and math.isnan(found[2])
+
+
+def test_null_label(spark):
+    df = spark.createDataFrame([(None,), (50.0,), (float("nan"),)], "v double")
+    rows = df.select(aqi_category(F.col("v"), null_label=None), aqi_category(F.col("v"), null_label="?")).collect()
+    assert [tuple(r) for r in rows] == [(None, "?"), ("Good", "Good"), ("Hazardous", "Hazardous")]

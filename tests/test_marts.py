@@ -104,15 +104,39 @@ def _all(written):
 
 def test_marts_from_stored_partials_equal_a_full_refresh(spark, store):
     star = star_of(spark, full_rows(12))
-    full = _all(marts.build_marts(star, store, 1, 5))
+    full = _all(marts.build_marts(star, store, 1, 5, at=datetime(2026, 2, 1)))
     for batch, part in ((1, "station_key % 2 = 0"), (2, "station_key % 2 = 1")):
         piece = Star(star.dates, star.times, star.cities, star.stations, star.fact.filter(part))
-        Partials.of(piece, 5).append(store, batch)
-    merged = _all(marts.build_marts(star, store, 2, 5, Partials.stored(store, 2)))
+        folded = Partials.of(piece, 5).advance(store, batch)
+    merged = _all(marts.build_marts(star, store, 2, 5, folded, datetime(2026, 2, 1)))
     assert merged == full
     assert all(full.values())
 
 
+def test_state_is_one_version_whatever_the_batches(spark, store):
+    star = star_of(spark, full_rows(6))
+    for batch in range(1, 7):
+        piece = Star(star.dates, star.times, star.cities, star.stations, star.fact.filter(f"station_key % 6 = {batch - 1}"))
+        Partials.of(piece, 5).advance(store, batch)
+    for name in Partials.KEYS:
+        assert store.versions(f"gold_state/{name}") == [5, 6]
+    day = store.current("gold_state/day")
+    assert day.count() == Partials.of(star, 5).day.count()
+    assert day.agg({"n": "sum"}).first()[0] == star.fact.count()
+
+
+def test_monthly_averages_are_not_rounded(spark):
+    rows = [measurement(aqi=v, measured_at=_at(1, h)) for h, v in ((8, 50.0), (9, 50.0000000008))]
+    ranked = marts.city_ranking(star_of(spark, rows), 1).first()
+    assert ranked["avg_aqi"] > 50 and ranked["pollution_level"] == "Moderate"
+
+
+def test_marts_say_when_they_were_built(spark, store):
+    at = datetime(2026, 2, 1, 3)
+    for mart in marts.build_marts(star_of(spark, full_rows(3)), store, 1, 5, at=at).values():
+        assert {r["aggregated_at"] for r in mart.collect()} == {at}
+
+
 def test_coverage_counts_months(spark):
     star = star_of(spark, full_rows(6))
     rows = marts.ranking_coverage(marts.city_ranking(star)).collect()

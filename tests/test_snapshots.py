@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -8,31 +7,6 @@ from pyspark.sql import functions as F
 from airstrata.operators import snapshots
 
 
-def _brute(ranges):
-    overlaps = [
-        sum(a_lo <= hi and lo <= a_hi for a_lo, a_hi in ranges) - 1 for lo, hi in ranges
-    ]
-    points = {p for r in ranges for p in r}
-    depth = max(sum(lo <= p <= hi for lo, hi in ranges) for p in points)
-    constant = sum(lo == hi for lo, hi in ranges)
-    return len(ranges), constant, sum(overlaps) / len(ranges), depth
-
-
-def test_report_matches_brute_force(spark, tmp_path):
-    rng = random.Random(5)
-    path = str(tmp_path / "t")
-    ranges = []
-    for _ in range(40):
-        lo = rng.randint(0, 300)
-        hi = lo + rng.choice([0, 5, 60])
-        ranges.append((lo, hi))
-        rows = [(lo,), (hi,), (rng.randint(lo, hi),)]
-        spark.createDataFrame(rows, "k int").coalesce(1).write.mode("append").parquet(path)
-    row = snapshots.layout_report(spark.read.parquet(path), F.col("k")).first()
-    got = (row["total_files"], row["constant_files"], row["average_overlaps"], row["max_depth"])
-    assert got == _brute(ranges)
-
-
 def test_clustering_keeps_rows_and_splits_a_hot_key(spark, tmp_path):
     source, target = str(tmp_path / "a"), str(tmp_path / "b")
     rows = [(1, 20260101, i) for i in range(4000)] + [(2, 20260101 + i % 9, i) for i in range(4000)]
@@ -47,8 +21,14 @@ def test_clustering_keeps_rows_and_splits_a_hot_key(spark, tmp_path):
     assert sorted(map(tuple, copy.collect())) == sorted(rows)
     hot = copy.filter("city_key = 1").select(F.col("_metadata.file_path")).distinct().count()
     assert hot > 1
-    report = snapshots.layout_report(copy, F.col("city_key").cast("bigint") * 10**8 + F.col("date_key"))
-    assert report.first()["average_overlaps"] < report.first()["total_files"]
+
+
+def test_a_hot_key_reaches_all_files(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(40_000).selectExpr("1 AS city_key", "20260101 AS date_key", "id").write.parquet(source)
+    snapshots.write_clustered(spark.read.parquet(source), target, ["city_key", "date_key"], 200)
+    files = spark.read.parquet(target).groupBy("_metadata.file_path").count().collect()
+    assert len(files) == 200
 
 
 def test_earlier_states(spark):
