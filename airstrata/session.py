@@ -11,6 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_SCRATCH: dict[str, str] = {}
+_KEPT: set[str] = set()
 _SCOPE: ContextVar[str] = ContextVar("scratch_scope", default="")
 
 
@@ -50,6 +51,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch folder."""
     folder = f"{scratch_root(spark)}/airstrata/{spark.sparkContext.applicationId}"
+    if folder not in _KEPT:
+        # one folder per application, which goes when the driver's JVM ends
+        files, target = _file_system(spark, folder)
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+        _KEPT.add(folder)
     return f"{folder}{_SCOPE.get()}/{label}-{uuid.uuid4().hex}"
 
 
