@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from airstrata.config import NULL_TOKENS
 
-# 'yyyy-MM-dd HH:mm' is the shortest text that names a point in time
-_SHORTEST_TIMESTAMP = 16
+# a text that names a day, with or without a time
+_DAY = r"^\s*\d{4}-\d{1,2}-\d{1,2}(\D|$)"
 
 
 def null_tokens_to_null(text: Column) -> Column:
@@ -25,8 +25,8 @@ def try_double(text: Column) -> Column:
 
 
 def try_timestamp(text: Column) -> Column:
-    """Wall-clock timestamp. A bare year or date is not taken as one."""
-    return F.when(F.length(text) >= _SHORTEST_TIMESTAMP, text.try_cast("timestamp_ntz"))
+    """Wall-clock timestamp; a date alone is its midnight, a year or month alone is none."""
+    return F.when(text.rlike(_DAY), text.try_cast("timestamp_ntz"))
 
 
 def doc_string(doc: Column, path: str) -> Column:

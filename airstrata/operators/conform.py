@@ -93,9 +93,7 @@ def conform_city(records: DataFrame, city_map: DataFrame) -> DataFrame:
 
 
 def _project_csv(csv_raw: DataFrame, city_map: DataFrame) -> DataFrame:
-    typed = csv_raw.withColumn("waqi_idx", try_int(F.col("station_id"))).filter(
-        F.col("waqi_idx").isNotNull()
-    )
+    typed = csv_raw.withColumn("waqi_idx", try_int(F.col("station_id")))
     return conform_city(typed, city_map).select(
         "waqi_idx",
         "station_name",
@@ -115,11 +113,33 @@ def _project_csv(csv_raw: DataFrame, city_map: DataFrame) -> DataFrame:
 
 
 def tagged_csv(csv_raw: DataFrame, city_map: DataFrame) -> DataFrame:
+    """Typed text records with the reason for a reject."""
     return tag_rejects(
-        _project_csv(csv_raw, city_map), {"no_station_name": F.col("station_name").isNull()}
+        _project_csv(csv_raw, city_map),
+        {
+            "station_not_numeric": F.col("waqi_idx").isNull(),
+            "no_station_name": F.col("station_name").isNull(),
+        },
     )
 
 
+def unread_values(csv_raw: DataFrame) -> DataFrame:
+    """reason, n_rows: texts of accepted records that hold no number or time.
+
+    Such a reading is NULL in a row that stays, so no reject tells of it.
+    """
+
+    def lost(text, parsed):
+        return F.count_if(text.isNotNull() & parsed.isNull())
+
+    names = {"aqi_index": "aqi", **{c: c for c in READINGS}}
+    counts = [F.struct(F.lit(f"{n}_not_numeric").alias("reason"), lost(F.col(c), try_double(F.col(c))).alias("n_rows")) for c, n in names.items()]
+    at = F.col("data_time_s")
+    counts.append(F.struct(F.lit("time_not_parsed").alias("reason"), lost(at, try_timestamp(at)).alias("n_rows")))
+    kept = csv_raw.filter(try_int(F.col("station_id")).isNotNull() & F.col("station_name").isNotNull())
+    return kept.agg(F.array(*counts).alias("found")).select(F.inline("found")).filter("n_rows > 0")
+
+
 def conform_csv(csv_raw: DataFrame, city_map: DataFrame) -> DataFrame:
     """Typed text records. A row needs a numeric station id, but no index value."""
     return accepted(tagged_csv(csv_raw, city_map)).select(*MEASUREMENT_COLUMNS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from airstrata.config import GateConfig, RunConfig
 from airstrata.functions.levels import aqi_category
 from airstrata.operators import marts, quality, snapshots
-from airstrata.operators.conform import conform_api, conform_city, conform_csv
+from airstrata.operators.conform import conform_api, conform_city, conform_csv, tagged, unread_values
 from airstrata.operators.dimensions import (
     dim_date,
     dim_time,
@@ -23,8 +23,15 @@ from airstrata.operators.dimensions import (
 from airstrata.operators.fact import build_fact, fact_outcomes
 from airstrata.operators.ordering import dense_rank_desc, dense_rank_desc_within
 from airstrata.operators.upsert import allocate_keys
-from airstrata.plans.medallion import finish, load_bronze, load_silver, setup, star
-from airstrata.schemas import API_RAW, CSV_COLUMNS
+from airstrata.plans.medallion import (
+    finish,
+    load_bronze,
+    load_silver,
+    run_medallion,
+    setup,
+    star,
+)
+from airstrata.schemas import API_RAW, CSV_COLUMNS, TABLES
 from airstrata.session import materialize, scratch_path
 from airstrata.sources import documents, given, history
 from airstrata.sources.store import Store
@@ -540,6 +547,30 @@ def gated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs[0].unionByName(runs[1])
 
 
+def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run from landed files through all layers, and one that finds nothing new."""
+    store = new_store(spark, sf_dir, "batch-run")
+    root, config = _landed(spark, sf_dir), replace(CONFIG, gate=NOTHING_FAILS)
+    counts = []
+    for batch in (1, 2):
+        status = run_medallion(store, root, batch, LOAD_TS, config, False, "*.txt")
+        rows = store.batch("silver/fact_aqi", batch, TABLES["silver/fact_aqi"])
+        counts.append(
+            rows.agg(F.lit(batch).alias("batch"), F.lit(status.code).alias("code"), F.count("*").alias("n_fact"))
+        )
+    daily = store.current("gold/daily_summary").agg(F.count("*").alias("n_daily"))
+    return counts[0].unionByName(counts[1]).join(daily, how="left")
+
+
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is refused or cannot be read, by layer and reason."""
+    api, csv = given.api_raw(spark, sf_dir), given.csv_raw(spark, sf_dir)
+    rows = tagged(api, csv, given.city_map(spark, sf_dir))
+    refused = rows.filter("reject_reason IS NOT NULL").groupBy(F.col("reject_reason").alias("reason"))
+    counts = refused.agg(F.count("*").alias("n_rows")).select(F.lit("record").alias("layer"), "reason", "n_rows")
+    return counts.unionByName(unread_values(csv).select(F.lit("value").alias("layer"), "reason", "n_rows"))
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> Store:
     key = (spark.sparkContext.applicationId, "stream:" + sf_dir)
     if key not in _SILVER:
@@ -643,6 +674,8 @@ QUERIES: dict[str, Query] = {
     "restore_before": restore_before,
     "layout_write": layout_write,
     "gated_run": gated_run,
+    "batch_run": batch_run,
+    "reject_counts": reject_counts,
     "stream_ingest": stream_ingest,
     "stream_fact": stream_fact,
     "stream_dim_station": stream_dim_station,

@@ -28,7 +28,7 @@ from airstrata.schemas import CITY_REFERENCE as CITY_REFERENCE_SCHEMA
 from airstrata.session import materialize, scratch_scope
 from airstrata.sources.documents import JSON_GLOB, ingest_api
 from airstrata.sources.history import CSV_GLOB, ingest_csv
-from airstrata.sources.ledger import pending, record
+from airstrata.sources.ledger import literal_paths, pending, record
 from airstrata.sources.store import Store
 
 
@@ -64,20 +64,21 @@ def load_bronze(
     batch: int,
     load_ts,
     whole_files: bool = True,
+    json_glob: str = JSON_GLOB,
 ) -> int:
     """Load the files not loaded yet; returns how many there were.
 
     Each table is written once, split by whether rows were rejected, so the
     quarantine costs no second pass.
     """
-    docs = pending(store, roots, JSON_GLOB, "bronze", batch)
+    docs = pending(store, roots, json_glob, "bronze", batch)
     texts = pending(store, roots, CSV_GLOB, "bronze", batch)
     if docs:
         store.append(
-            "bronze/api_raw", ingest_api(store.spark, docs, load_ts, whole_files), batch
+            "bronze/api_raw", ingest_api(store.spark, literal_paths(docs), load_ts, whole_files, json_glob), batch
         )
     if texts:
-        store.append("bronze/historical_csv", ingest_csv(store.spark, texts, load_ts), batch)
+        store.append("bronze/historical_csv", ingest_csv(store.spark, literal_paths(texts), load_ts), batch)
     if docs or texts:
         record(store, docs + texts, "bronze", load_ts, batch)
     return len(docs) + len(texts)
@@ -161,10 +162,11 @@ def run_medallion(
     load_ts,
     config: RunConfig = RunConfig(),
     whole_files: bool = True,
+    json_glob: str = JSON_GLOB,
 ) -> RunStatus:
     """Load new files and take them through all layers."""
     with scratch_scope(store.spark):
-        load_bronze(store, roots, batch, load_ts, whole_files)
+        load_bronze(store, roots, batch, load_ts, whole_files, json_glob)
         api = store.batch("bronze/api_raw", batch, API_RAW).filter("reject_reason is null")
         csv = store.batch("bronze/historical_csv", batch, CSV_RAW)
         rows = tagged(api, csv, store.current("control/city_map"))

@@ -390,6 +390,16 @@ ORACLE_SQL = {
     coalesce(n, 0) AS n_events
   FROM (SELECT unnest(range(24)) AS h)
   LEFT JOIN (SELECT hour(ts) AS h, count(*) AS n FROM events GROUP BY 1) USING (h)""",
+    "reject_counts": """SELECT * FROM (
+    SELECT 'record' AS layer, 'station_not_numeric' AS reason, count(*) AS n_rows
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < -900
+    UNION ALL SELECT 'value', 'time_not_parsed', count(*)
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal BETWEEN -700 AND -500
+    ) WHERE n_rows > 0""",
+    "batch_run": _with(*SILVER)
+    + """SELECT batch, 0 AS code, CASE batch WHEN 1 THEN (SELECT count(*) FROM fact) ELSE 0 END AS n_fact,
+    (SELECT count(*) FROM (SELECT DISTINCT city_slug, full_date FROM fact)) AS n_daily
+  FROM (SELECT unnest([1, 2])::INT AS batch)""",
     "dim_city_merge": _with(CITY)
     + """SELECT row_number() OVER (ORDER BY n_regionkey >= 3, city_slug) AS city_key,
     city_slug, city_name, region, CAST(n_nationkey AS DOUBLE) AS lat,

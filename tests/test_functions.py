@@ -51,10 +51,11 @@ def test_doubles(spark):
     assert _apply(spark, try_double, ["1.5", "x", "-", "1e2"]) == [1.5, None, None, 100.0]
 
 
-def test_timestamps_need_a_time(spark):
+def test_timestamps_need_a_day(spark):
     values = ["2021-01-01 08:00:00", "2021-01-01T08:00:00", "2021-01-01", "2021", "garbage", None]
     at = datetime(2021, 1, 1, 8)
-    assert _apply(spark, try_timestamp, values) == [at, at, None, None, None, None]
+    assert _apply(spark, try_timestamp, values) == [at, at, datetime(2021, 1, 1), None, None, None]
+    assert _apply(spark, try_timestamp, ["2021-01", " 2021-1-2 03:04"]) == [None, datetime(2021, 1, 2, 3, 4)]
 
 
 def test_null_tokens_are_exact(spark):

@@ -176,3 +176,15 @@ def test_a_micro_batch_processed_twice_gives_the_same_tables(spark, store):
     jobs.process_batch(store, second, 3, load, relaxed)
     assert store.current_version("gold/daily_summary", before=2) is None
     assert store.current_version("gold/daily_summary", before=3) == 2
+
+
+def test_files_of_any_name_are_loaded_once(spark, store, tmp_path):
+    from airstrata.plans.medallion import load_bronze
+
+    landing = tmp_path / "odd names"
+    landing.mkdir()
+    for name in ("a[1].json", "d{x}.json", "p q%20.json", "s*t?.json"):
+        (landing / name).write_text('{"status": "ok", "data": {"aqi": 1}}')
+    assert load_bronze(store, str(landing), 1, LOAD) == 4
+    assert load_bronze(store, str(landing), 2, LOAD) == 0
+    assert store.appended("bronze/api_raw").count() == 4
