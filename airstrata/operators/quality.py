@@ -161,6 +161,7 @@ def gate_results(
 
     rows = F.concat(F.lit("rows="), text("n_rows"))
     nulls = F.concat(F.lit("worst null%="), pct)
+    # fixed values: names and detail texts of the checks
     checks = [
         check(
             "row_count",

@@ -32,7 +32,7 @@ from airstrata.plans.medallion import (
     star,
 )
 from airstrata.schemas import API_RAW, CSV_COLUMNS, TABLES
-from airstrata.session import materialize, scratch_path
+from airstrata.session import folder_state, materialize, scratch_path
 from airstrata.sources import documents, given, history
 from airstrata.sources.store import Store
 from airstrata.streaming import jobs
@@ -46,7 +46,7 @@ LOAD_TS = datetime(2024, 1, 31)
 NOTHING_FAILS = GateConfig(max_null_pct=100.0, aqi_max=1_000.0)
 CONFIG = RunConfig(spine_start=given.SPINE[0], spine_end=given.SPINE[1], decimals=given.DECIMALS)
 
-_SILVER: dict[tuple[str, str], Store] = {}
+_SILVER: dict[tuple, Store] = {}
 
 
 def new_store(spark: SparkSession, sf_dir: str, label: str) -> Store:
@@ -63,8 +63,8 @@ def build_silver(spark: SparkSession, sf_dir: str) -> Store:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> marts.Star:
-    """The stored silver layer of the given tables, built once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The stored silver layer of the given tables, built once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, folder_state(spark, sf_dir))
     if key not in _SILVER:
         _SILVER[key] = build_silver(spark, sf_dir)
     return star(_SILVER[key])
@@ -571,20 +571,18 @@ def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.unionByName(unread_values(csv).select(F.lit("value").alias("layer"), "reason", "n_rows"))
 
 
+def run_stream(spark: SparkSession, sf_dir: str) -> Store:
+    """Both streaming jobs over everything that has landed."""
+    store = new_store(spark, sf_dir, "stream")
+    config = replace(CONFIG, gate=NOTHING_FAILS)
+    jobs.run_once(store, _landed(spark, sf_dir), LOAD_TS, config, whole_files=False, json_glob="*.txt")
+    return store
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> Store:
-    key = (spark.sparkContext.applicationId, "stream:" + sf_dir)
+    key = (spark.sparkContext.applicationId, "stream:" + sf_dir, folder_state(spark, sf_dir))
     if key not in _SILVER:
-        store = new_store(spark, sf_dir, "stream")
-        config = replace(CONFIG, gate=NOTHING_FAILS)
-        jobs.run_once(
-            store,
-            _landed(spark, sf_dir),
-            LOAD_TS,
-            config,
-            whole_files=False,
-            json_glob="*.txt",
-        )
-        _SILVER[key] = store
+        _SILVER[key] = run_stream(spark, sf_dir)
     return _SILVER[key]
 
 
@@ -611,9 +609,7 @@ def stream_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir).current("gold/daily_summary").drop("aggregated_at")
 
 
-def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size of every mart after the streaming run."""
-    store = _streamed(spark, sf_dir)
+def stream_counts(store: Store) -> DataFrame:
     counts = [
         store.current(f"gold/{name}").agg(F.lit(name).alias("mart"), F.count("*").alias("n_rows"))
         for name in marts.LAYOUT
@@ -624,6 +620,11 @@ def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every mart after the streaming run."""
+    return stream_counts(_streamed(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "aqi_category": aqi_levels,
     "json_ingest": json_ingest,

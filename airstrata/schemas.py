@@ -28,6 +28,7 @@ CSV_COLUMNS = [
 ]
 HISTORY_CSV = ", ".join(f"{c} string" for c in CSV_COLUMNS)
 
+# fixed values: column names of the conformed and stored tables, to the end of the file
 READINGS = [
     "pm25",
     "pm10",

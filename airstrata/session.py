@@ -77,6 +77,16 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in files.globStatus(target) or []]
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a folder, to tell if it has changed."""
+    files, target = _file_system(spark, path)
+    found = []
+    for status in files.listStatus(target):
+        inner = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in inner]
+    return tuple(sorted(found))
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete what is materialized inside, for jobs that end by writing tables."""

@@ -19,9 +19,12 @@ def scan_csv(
     glob: str = CSV_GLOB,
     stream: bool = False,
     files_per_batch: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """The 21 text columns by position, header line skipped, with the file path.
 
+    ``multi_line`` lets quoted texts hold line breaks; a file is then read by one task.
+
     Short records are padded with NULL and long ones cut: permissive mode does
     so as long as no column for corrupt records is asked for.
     """
@@ -33,6 +36,7 @@ def scan_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
     )
@@ -53,6 +57,10 @@ def clean_csv(records: DataFrame, load_ts) -> DataFrame:
 
 
 def ingest_csv(
-    spark: SparkSession, paths: str | Sequence[str], load_ts, glob: str = CSV_GLOB
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    load_ts,
+    glob: str = CSV_GLOB,
+    multi_line: bool = False,
 ) -> DataFrame:
-    return clean_csv(scan_csv(spark, paths, glob), load_ts)
+    return clean_csv(scan_csv(spark, paths, glob, multi_line=multi_line), load_ts)

@@ -83,3 +83,13 @@ def test_locations_match_exactly_or_fall_back(spark):
         "Hue": "hue",
         None: None,
     }
+
+
+def test_quoted_line_breaks_on_request(spark, tmp_path):
+    from airstrata.schemas import CSV_COLUMNS
+    from airstrata.sources.history import scan_csv
+
+    fields = ["1", "5", "Ha Noi", '"two\nlines"', *[""] * (len(CSV_COLUMNS) - 4)]
+    (tmp_path / "a.csv").write_text(",".join(CSV_COLUMNS) + "\n" + ",".join(fields) + "\n")
+    rows = scan_csv(spark, str(tmp_path), multi_line=True).collect()
+    assert [r["station_name"] for r in rows] == ["two\nlines"]
