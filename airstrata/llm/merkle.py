@@ -117,37 +117,37 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
 
     The edited text has its last quarter of code points replaced by the beginning of the
     next document in doc_id order (the first follows the last). Texts are shuffled once,
-    by document; only the requested beginnings and fingerprints move a second time.
+    by document, and printed behind that shuffle; only the requested beginnings and the
+    fingerprints of the next documents move a second time.
     """
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keyed = texts.withColumn("key", F.md5("text"))
+    # names a document by id and text, without null
+    name = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))
+    keyed = texts.withColumn("key", name)
     order = global_index(
         keyed.select("doc_id", "key", F.length("text").alias("n")).distinct(), ["doc_id", "key"], "at"
     )
     order = materialize(order, "order")
     total = order.count()
-    here = order.select(F.col("doc_id").alias("to_id"), F.col("key").alias("to_key"), "n", "at")
-    asks = here.withColumn("next_at", (F.col("at") + 1) % F.lit(max(total, 1))).drop("at")
-    after = order.select(F.col("doc_id").alias("from_id"), F.col("key").alias("from_key"), "at")
+    asks = order.select(
+        F.col("key").alias("to_key"), "n", ((F.col("at") + 1) % F.lit(max(total, 1))).alias("next_at")
+    )
+    after = order.select(F.col("key").alias("from_key"), "at")
     asks = asks.join(after, asks["next_at"] == after["at"]).drop("at", "next_at")
-    printed = keyed.withColumn("print", fingerprint(F.col("text")))
-    lent = printed.join(
-        asks, printed["doc_id"].eqNullSafe(asks["from_id"]) & (printed["key"] == asks["from_key"])
-    ).select(
-        "to_id",
+    lent = keyed.join(asks, keyed["key"] == asks["from_key"]).select(
         "to_key",
+        F.col("doc_id").alias("next_doc_id"),
         F.substring("text", F.lit(1), F.floor(F.col("n") / 4).cast("int")).alias("lent"),
-        F.col("print").alias("next_print"),
-    )
-    lent = lent.dropDuplicates(["to_id", "to_key"])
-    both = printed.join(
-        lent, printed["doc_id"].eqNullSafe(lent["to_id"]) & (printed["key"] == lent["to_key"])
+        fingerprint(F.col("text")).alias("next_print"),
     )
+    # both joins read the same columns of the texts, so that Spark shuffles these once
+    both = keyed.join(lent.dropDuplicates(["to_key"]), F.col("key") == F.col("to_key"))
+    both = both.withColumn("print", fingerprint(F.col("text")))
     n = F.length("text")
     edited = F.concat(
         F.substring("text", F.lit(1), (n - F.floor(n / 4)).cast("int")), F.col("lent")
     )
-    both = both.select("doc_id", "text", "print", "next_print", edited.alias("edited"))
+    both = both.select("doc_id", "text", "print", "next_print", "next_doc_id", edited.alias("edited"))
     both = both.withColumn("edited_print", fingerprint(F.col("edited")))
     return both.select(
         "doc_id",
@@ -157,4 +157,5 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
         F.col("edited_print").alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
         likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+        "next_doc_id",
     )

@@ -196,7 +196,9 @@ ORACLE_SQL["op4_merkle_fingerprints"] = f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 placed AS (
   SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id),
-    first_value(text) OVER (ORDER BY doc_id)) AS next_text FROM texts
+    first_value(text) OVER (ORDER BY doc_id)) AS next_text,
+    coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_doc_id
+  FROM texts
 ), edits AS (
   SELECT *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited
   FROM placed
@@ -208,6 +210,6 @@ placed AS (
 SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
   fingerprint, edited_fingerprint,
   {_near_sql("fingerprint", "edited_fingerprint")} AS near_edited,
-  {_near_sql("fingerprint", "next_fingerprint")} AS near_next
+  {_near_sql("fingerprint", "next_fingerprint")} AS near_next, next_doc_id
 FROM prints
 """
