@@ -9,11 +9,11 @@ global slot of every sequence, without any sort or table. Range partitions over
 write them as files of little-endian 16-bit ids with a fixed stride, so slot s is at
 ``(s % per_shard) * 2 * length`` of shard ``s // per_shard``, and a reader resumes anywhere.
 
-The input is encoded twice, once to count and once to write, rather than stored in between:
-counting needs no gathering of ids, and stored ids would be as large as the shards. Both
-passes must see the same partitions; that holds for stored tables, and a partition that
-counts differently in the second pass fails the job. A shard is written under a name of its
-attempt and then renamed, so repeated or speculative tasks leave one whole file.
+Every text is encoded once. The packed sequences are stored compressed; their number per
+input partition, one row each, gives the first number of every partition. On the way to the
+shards the sequences of a task that share a shard travel together, compressed, and the
+writer puts each at its slot in a buffer of one shard. A shard is written under a name of
+its attempt and then renamed, so repeated or speculative tasks leave one whole file.
 
 Defined cases: a null text is empty and adds one end id; repeated rows are packed
 each; an empty table gives no shards; doc_id and other columns are not needed.
@@ -21,7 +21,6 @@ each; an empty table gives no shards; doc_id and other columns are not needed.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,11 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.llm.common import ChunkTable, text_slices
+from airstrata.llm.common import text_slices
 from airstrata.llm.token_counts import byte_bpe
+from airstrata.session import materialize
 
-# a chunk may start at each space, but for spaces within longer white space
-_LONG_GAP = re.compile(r"\s \s|\s \Z")
+# ids of a stored row, and ids that a task holds before it passes them on
+_ROW_IDS, _HELD_IDS = 1 << 19, 1 << 23
+_LEVEL = 5
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,15 @@ class OrderConfig:
     rounds: int = 6
 
 
+def _pack(ids: np.ndarray) -> bytes:
+    return pa.Codec("zstd", compression_level=_LEVEL).compress(ids.tobytes(), asbytes=True)
+
+
+def _unpack(data: bytes, n: int, length: int) -> np.ndarray:
+    raw = pa.decompress(data, decompressed_size=2 * n * length, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, "<u2").reshape(n, length)
+
+
 def permute(numbers: np.ndarray, count: int, key: int, rounds: int = 6) -> np.ndarray:
     """The slot of each number in 0..count-1 under the keyed permutation of that range."""
     half = max(1, ((max(count, 2) - 1).bit_length() + 1) // 2)
@@ -69,73 +79,71 @@ def permute(numbers: np.ndarray, count: int, key: int, rounds: int = 6) -> np.nd
     return slots.astype(np.int64)
 
 
-def _chunk_lists(texts: list[str]) -> list[list[str]]:
-    """Chunks that the tokenizer's pattern never joins: a word with the space before it."""
-    found = []
-    for text in texts:
-        if _LONG_GAP.search(text):
-            found.append([text])
-        else:
-            first, *rest = text.split(" ")
-            found.append([first, *[f" {c}" for c in rest]])
-    return found
-
+def encode(documents: DataFrame, config: OrderConfig) -> DataFrame:
+    """part, at, n, data: packed sequences of each input partition, compressed in runs.
 
-def _tasks(config: OrderConfig):
-    """The two tasks of a partition: count its ids, and give its packed sequences."""
+    A row holds ``n`` sequences, the first of which has place ``at`` in its partition.
+    """
+    per_row = max(1, _ROW_IDS // config.length)
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[ChunkTable, list[list[str]]]]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, _ = byte_bpe(config.ranks_path, config.pattern)
-        table = ChunkTable(lambda chunks: [encoding.encode_ordinary(c) for c in chunks])
+        part, at, kept = TaskContext.get().partitionId(), 0, np.zeros(0, "<u2")
+
+        def row(ids: np.ndarray) -> pa.RecordBatch:
+            n = len(ids) // config.length
+            arrays = [pa.array([part]), pa.array([at]), pa.array([n]), pa.array([_pack(ids)], pa.binary())]
+            return pa.record_batch(arrays, names=["part", "at", "n", "data"])
+
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for a, z in text_slices(texts):
-                yield table, _chunk_lists(texts[a:z])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
-        for table, chunks in encoded(batches):
-            rows = table.find([c for doc in chunks for c in doc])
-            total += int(table.counts(rows).sum()) + len(chunks)
-        part = TaskContext.get().partitionId()
-        yield pa.record_batch([pa.array([part]), pa.array([total])], names=["part", "ids"])
-
-    def sequences(first: dict[int, int], totals: dict[int, int], slots: int):
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part = TaskContext.get().partitionId()
-            number, total, kept = first.get(part, 0), 0, np.zeros(0, "<u2")
-
-            def rows(ids: np.ndarray, number: int) -> pa.RecordBatch:
-                grid = ids.reshape(-1, config.length)
-                at = permute(np.arange(number, number + len(grid)), slots, config.key, config.rounds)
-                return pa.record_batch(
-                    [
-                        pa.array(at // config.per_shard),
-                        pa.array(at),
-                        pa.array([r.tobytes() for r in grid], pa.binary()),
-                    ],
-                    names=["shard", "slot", "ids"],
-                )
-
-            for table, chunks in encoded(batches):
-                flat, upto = table.ids(table.find([c for doc in chunks for c in doc]))
-                stops = np.concatenate([[0], upto])[np.cumsum([len(doc) for doc in chunks])].astype(np.int64)
-                flat = np.insert(flat.astype("<u2"), stops, config.end_id)
-                total += len(flat)
-                kept = np.concatenate([kept, flat])
-                whole = len(kept) // config.length
-                if whole:
-                    yield rows(kept[: whole * config.length], number)
-                    number, kept = number + whole, kept[whole * config.length :]
-            if total != totals.get(part, 0):
-                raise RuntimeError(f"partition {part} changed between the two passes")
-            if len(kept):
-                pad = np.full(config.length - len(kept), config.end_id, "<u2")
-                yield rows(np.concatenate([kept, pad]), number)
-
-        return task
-
-    return count, sequences
+                flat: list[int] = []
+                for text in texts[a:z]:
+                    flat += encoding.encode_ordinary(text)
+                    flat.append(config.end_id)
+                kept = np.concatenate([kept, np.array(flat, "<u2")])
+                while len(kept) >= per_row * config.length:
+                    yield row(kept[: per_row * config.length])
+                    at, kept = at + per_row, kept[per_row * config.length :]
+        if len(kept):
+            pad = np.full(-len(kept) % config.length, config.end_id, "<u2")
+            yield row(np.concatenate([kept, pad]))
+
+    return documents.select("text").mapInArrow(task, "part long, at long, n long, data binary")
+
+
+def _place(config: OrderConfig, first: dict[int, int], slots: int):
+    """The task that gives every sequence its slot and gathers what goes to one shard."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            at = np.concatenate([x for x, _ in held])
+            grid = np.concatenate([x for _, x in held])
+            held.clear()
+            order = np.argsort(at)
+            shards = at[order] // config.per_shard
+            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(at)]
+            data = [
+                at[order[a:z]].astype("<i8").tobytes() + _pack(grid[order[a:z]])
+                for a, z in zip(cuts, cuts[1:], strict=False)
+            ]
+            counts = np.diff(cuts)
+            arrays = [pa.array(shards[cuts[:-1]]), pa.array(counts), pa.array(data, pa.binary())]
+            return pa.record_batch(arrays, names=["shard", "n", "data"])
+
+        for batch in batches:
+            for part, at, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                numbers = np.arange(first[part] + at, first[part] + at + n)
+                held.append((permute(numbers, slots, config.key, config.rounds), _unpack(data, n, config.length)))
+                if sum(len(x) for x, _ in held) * config.length >= _HELD_IDS:
+                    yield flush()
+        if held:
+            yield flush()
+
+    return task
 
 
 def _shard_name(shard: int) -> str:
@@ -144,17 +152,15 @@ def _shard_name(shard: int) -> str:
 
 def write_shards(documents: DataFrame, path: str, config: OrderConfig) -> int:
     """Writes all shards below ``path``, a URI that every executor reaches; returns N."""
-    texts = documents.select("text")
-    count, sequences = _tasks(config)
+    stored = materialize(encode(documents, config), "sequences")
     # one row per input partition comes to the driver
-    totals = {r["part"]: r["ids"] for r in texts.mapInArrow(count, "part long, ids long").collect()}
+    sizes = stored.groupBy("part").agg(F.sum("n").alias("n")).collect()
     first, slots = {}, 0
-    for part in sorted(totals):
-        first[part] = slots
-        slots += -(-totals[part] // config.length)
+    for r in sorted(sizes):
+        first[r["part"]], slots = slots, slots + r["n"]
     if not slots:
         return 0
-    stride = 2 * config.length
+    shards = -(-slots // config.per_shard)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -162,32 +168,34 @@ def write_shards(documents: DataFrame, path: str, config: OrderConfig) -> int:
         store, folder = fs.FileSystem.from_uri(path)
         store.create_dir(folder, recursive=True)
         attempt = TaskContext.get().taskAttemptId()
-        out, open_shard, done, n = None, -1, [], 0
+        shard, content, filled = -1, None, None
 
-        def close() -> None:
-            out.close()
-            expected = min(config.per_shard, slots - open_shard * config.per_shard)
-            if n != expected:
-                raise RuntimeError(f"shard {open_shard} has {n} of {expected} sequences")
-            store.move(f"{folder}/.{open_shard}-{attempt}", f"{folder}/{_shard_name(open_shard)}")
-            done.append(open_shard)
+        def close() -> pa.RecordBatch:
+            if not filled.all():
+                raise RuntimeError(f"shard {shard} lacks sequences")
+            with store.open_output_stream(f"{folder}/.{shard}-{attempt}") as out:
+                out.write(content.tobytes())
+            store.move(f"{folder}/.{shard}-{attempt}", f"{folder}/{_shard_name(shard)}")
+            return pa.record_batch([pa.array([shard])], names=["shard"])
 
         for batch in batches:
-            for shard, ids in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
-                if shard != open_shard:
-                    if out:
-                        close()
-                    out, open_shard, n = store.open_output_stream(f"{folder}/.{shard}-{attempt}"), shard, 0
-                out.write(ids.as_buffer())
-                n += 1
-        if out:
-            close()
-        yield pa.record_batch([pa.array(done, pa.int64())], names=["shard"])
-
-    packed = texts.mapInArrow(sequences(first, totals, slots), "shard long, slot long, ids binary")
-    spread = packed.repartitionByRange("shard").sortWithinPartitions("shard", "slot")
-    written = spread.mapInArrow(write, "shard long").agg(F.countDistinct("shard")).first()[0]
-    if written != -(-slots // config.per_shard) or stride <= 0:
+            for now, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != shard:
+                    if content is not None:
+                        yield close()
+                    shard, size = now, min(config.per_shard, slots - now * config.per_shard)
+                    content, filled = np.zeros((size, config.length), "<u2"), np.zeros(size, bool)
+                at = np.frombuffer(data[: 8 * n], "<i8") - shard * config.per_shard
+                content[at], filled[at] = _unpack(data[8 * n :], n, config.length), True
+        if content is not None:
+            yield close()
+
+    placed = stored.mapInArrow(_place(config, first, slots), "shard long, n long, data binary")
+    # even ranges of shards; their borders are known, so nothing needs to be sampled
+    ranges = min(shards, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = placed.repartitionById(ranges, F.floor(F.col("shard") * ranges / shards).cast("int"))
+    written = spread.sortWithinPartitions("shard").mapInArrow(write, "shard long")
+    if written.agg(F.countDistinct("shard")).first()[0] != shards:
         raise RuntimeError("shards are missing")
     return slots
 

@@ -22,15 +22,6 @@ def test_slots_are_a_permutation(count):
         assert (train_order.permute(np.arange(count), count, 18) != slots).any()
 
 
-def test_chunks_encode_like_whole_texts():
-    encoding, _ = byte_bpe(CONFIG.ranks_path, CONFIG.pattern)
-    rng = np.random.default_rng(1)
-    texts = ["".join(rng.choice(list("ab'  \n\t.1é"), 30)) for _ in range(3000)] + ["a  b", "a \n b ", " x", ""]
-    for text, chunks in zip(texts, train_order._chunk_lists(texts), strict=True):
-        assert "".join(chunks) == text
-        assert [i for c in chunks for i in encoding.encode_ordinary(c)] == encoding.encode_ordinary(text), repr(text)
-
-
 def test_shards_hold_the_packed_corpus(spark, tmp_path):
     path = f"file://{tmp_path}/shards"
     frame = documents(spark).coalesce(1)
@@ -53,6 +44,17 @@ def test_shards_hold_the_packed_corpus(spark, tmp_path):
     assert sorted(r["slot"] for r in rest) == [slot, slot + 1, slot + 2]
 
 
+def test_rows_and_holdings_of_any_size_agree(spark, tmp_path, monkeypatch):
+    found = []
+    for row, held in ((1, 1), (1000, 5000), (1 << 19, 1 << 25)):
+        monkeypatch.setattr(train_order, "_ROW_IDS", row)
+        monkeypatch.setattr(train_order, "_HELD_IDS", held)
+        path = f"file://{tmp_path}/{row}"
+        train_order.write_shards(documents(spark).coalesce(1), path, CONFIG)
+        found.append(sorted((r["slot"], bytes(r["ids"])) for r in train_order.read_slots(spark, path, CONFIG).collect()))
+    assert found[0] == found[1] == found[2]
+
+
 def test_many_partitions(spark, tmp_path):
     path = f"file://{tmp_path}/shards"
     stored = f"{tmp_path}/docs"
