@@ -145,7 +145,7 @@ def embed(documents: DataFrame, config: JoinConfig) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            for a, z in text_slices(texts, 2_000_000):
+            for a, z in text_slices(texts):
                 keys, tokens, nodes = [], [], []
                 for shingles in shingle_sets(texts[a:z], config.words):
                     if not len(shingles):
@@ -189,12 +189,18 @@ def _split(rows: DataFrame, config: JoinConfig) -> DataFrame:
 
 
 def _bucket_edges(rows: DataFrame, config: JoinConfig) -> DataFrame:
-    """a, b: spanning edges of the pairs of each task whose tokens agree often enough."""
+    """a, b: spanning edges of the pairs of each task whose tokens agree often enough.
+
+    A task with one block gives the edges within it. A task with two blocks gives only
+    what joins parts that are not yet joined within either, so a group of many blocks
+    gives about one edge per item and one per pair of blocks.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_tasks(batches):
             run, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             tokens = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").reshape(len(ids), COORDINATES)
+            side, lone = batch.column(3).to_numpy(), batch.column(4).to_numpy(zero_copy_only=False)
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for step in range(1, len(run)):
                 same = np.flatnonzero(run[:-step] == run[step:])
@@ -204,11 +210,15 @@ def _bucket_edges(rows: DataFrame, config: JoinConfig) -> DataFrame:
                     equal = (tokens[part] == tokens[part + step]).sum(axis=1)
                     left.append(part[equal >= config.least_equal])
                     right.append(left[-1] + step)
-            root = forest(len(ids), np.concatenate(left), np.concatenate(right))
-            tied = np.flatnonzero(root != np.arange(len(ids)))
+            a, b, every = np.concatenate(left), np.concatenate(right), np.arange(len(ids))
+            inside = side[a] == side[b]
+            own = forest(len(ids), a[inside], b[inside])
+            joined = forest(len(ids), own[a[~inside]], own[b[~inside]])
+            root = np.where(lone, own, np.where(own == every, joined, every))
+            tied = np.flatnonzero(root != every)
             yield pa.record_batch([pa.array(ids[tied]), pa.array(ids[root[tied]])], names=["a", "b"])
 
-    return dealt_rows(rows, ["id", "tokens"]).mapInArrow(task, "a long, b long")
+    return dealt_rows(rows, ["id", "tokens", "side", "lone"]).mapInArrow(task, "a long, b long")
 
 
 def candidate_edges(classes: DataFrame, config: JoinConfig) -> DataFrame:
@@ -265,7 +275,7 @@ def _sets(documents: DataFrame, classes: DataFrame, config: JoinConfig) -> DataF
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            for a, z in text_slices(texts, 2_000_000):
+            for a, z in text_slices(texts):
                 sets = [s.tobytes() for s in shingle_sets(texts[a:z], config.words)]
                 yield pa.record_batch(
                     [batch.column(0).slice(a, z - a), batch.column(1).slice(a, z - a), pa.array(sets, pa.binary())],
