@@ -31,7 +31,7 @@ class ChunkTable:
     the number of distinct chunks; results do not depend on that bound.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], most: int = 300_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], most: int = 150_000):
         self._encode, self._most = encode_many, most
         self._clear()
 
@@ -67,7 +67,7 @@ class ChunkTable:
         return np.array(self._pool, dtype=np.uint32)[places], ends
 
 
-def text_slices(texts: Sequence[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def text_slices(texts: Sequence[str], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cuts a batch into runs of rows with about ``chars`` code points (one row at least)."""
     start = total = 0
     for at, text in enumerate(texts):

@@ -11,8 +11,8 @@ chains of many documents run through the recursions side by side.
 
 Training takes windows of at most ``window`` code points from about ``per_label`` documents
 of each label, picked by the hash of the text, all given to the driver: the bound of the
-sample is per_label * window code points for each of at most ``max_labels`` languages (the
-most frequent). Whole-document labels label words; some training chains join sentences of
+sample is 2 * per_label windows on average over at most ``max_labels`` languages (the most
+frequent). Whole-document labels label words; some training chains join sentences of
 two documents, so that transitions also see switches.
 
 Defined cases: a text that is null or has no letters is `und` with score 0, as is every
@@ -205,7 +205,7 @@ def train(rows: list[tuple[str, str]], config: CrfConfig) -> CrfModel:
 class _Emissions:
     """Scores of the distinct words a task has met, at most ``most`` at a time."""
 
-    def __init__(self, model: CrfModel, most: int = 400_000):
+    def __init__(self, model: CrfModel, most: int = 150_000):
         self._model, self._most = model, most
         self._at: dict[str, int] = {}
         self._rows = np.zeros((1024, len(model.labels)), np.float32)

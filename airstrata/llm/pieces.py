@@ -118,7 +118,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
             # a run starts with a marked piece: its first marker, which decode drops, is a space
             text = known.get(run)
             if text is None:
-                if len(known) > 300_000:
+                if len(known) > 100_000:
                     known.clear()
                 text = known[run] = " " + processor.decode(np.frombuffer(run, "<u4").tolist())
             return text
@@ -133,9 +133,10 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
             return "".join(map(part, map(raw.__getitem__, map(slice, at, [*at[1:], None]))))[1:]
 
         for batch in batches:
-            data = batch.column(place).to_pylist()
-            texts = [whole(x) for x in data]
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+            for low in range(0, batch.num_rows, 500):
+                part_of = batch.slice(low, 500)
+                texts = [whole(x.as_py()) for x in part_of.column(place)]
+                yield pa.record_batch([*part_of.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return encoded.mapInArrow(task, schema)
 
