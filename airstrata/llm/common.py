@@ -14,6 +14,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: rows that a Python task gets at once; whole texts can be long
+BATCH_ROWS = 1000
+
+
+def map_texts(rows: DataFrame, task, schema) -> DataFrame:
+    """mapInArrow over rows that hold whole texts, in batches of at most BATCH_ROWS.
+
+    Lowers the session's batch size where it is larger: a batch is in memory several times,
+    in the executor and in its Python task.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return rows.mapInArrow(task, schema)
+
+
 def text_key(text: Column) -> Column:
     """Tells apart rows that share a doc_id; a null text counts as empty."""
     return F.md5(F.coalesce(text, F.lit("")))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airstrata.llm.common import text_key, text_slices
+from airstrata.llm.common import map_texts, text_key, text_slices
 from airstrata.llm.links import dealt_rows, exact_groups, forest, in_blocks, whole_tasks
 from airstrata.operators.ordering import global_index
 from airstrata.session import materialize
@@ -168,7 +168,7 @@ def embed(documents: DataFrame, config: JoinConfig) -> DataFrame:
                 )
 
     given = documents.select("doc_id", text_key(F.col("text")).alias("key"), "text")
-    return given.mapInArrow(task, schema)
+    return map_texts(given, task, schema)
 
 
 def _split(rows: DataFrame, config: JoinConfig) -> DataFrame:
@@ -285,7 +285,7 @@ def _sets(documents: DataFrame, classes: DataFrame, config: JoinConfig) -> DataF
     texts = documents.select(_name(F.col("doc_id"), text_key(F.col("text"))).alias("_name"), "text")
     one = texts.join(classes.select("id", "weight", "name"), F.col("_name") == F.col("name"))
     one = one.dropDuplicates(["_name"])
-    return one.select("id", "weight", "text").mapInArrow(task, "id long, weight long, shingles binary")
+    return map_texts(one.select("id", "weight", "text"), task, "id long, weight long, shingles binary")
 
 
 def _name(doc_id, key):

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airstrata.llm.common import held_out, text_slices
+from airstrata.llm.common import held_out, map_texts, text_slices
 
 UNKNOWN = "und"
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
@@ -272,7 +272,7 @@ def predict(documents: DataFrame, model: CrfModel, pred: str = "lang_pred", scor
             columns = [*batch.columns, pa.array(best, pa.string()), pa.array(means, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return documents.mapInArrow(task, schema)
+    return map_texts(documents, task, schema)
 
 
 def tag_words(documents: DataFrame, model: CrfModel, key: str = "doc_id") -> DataFrame:
@@ -295,7 +295,7 @@ def tag_words(documents: DataFrame, model: CrfModel, key: str = "doc_id") -> Dat
                 cut = [rows[e - n : e] for e, n in zip(ends, sizes, strict=True)]
                 yield pa.record_batch([batch.column(0).slice(a, z - a), pa.array(cut, kind)], names=schema.names)
 
-    return documents.select(key, "text").mapInArrow(task, schema)
+    return map_texts(documents.select(key, "text"), task, schema)
 
 
 def fit(documents: DataFrame, config: CrfConfig | None = None) -> CrfModel:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airstrata.llm.common import ChunkTable, text_slices
+from airstrata.llm.common import ChunkTable, map_texts, text_slices
 
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -92,7 +92,7 @@ def encode(documents: DataFrame, model_path: str, text: str = "text", key: str =
                     names=[key, "n_tokens", "ids"],
                 )
 
-    return documents.select(key, text).mapInArrow(task, schema)
+    return map_texts(documents.select(key, text), task, schema)
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -138,7 +138,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
                 texts = [whole(x.as_py()) for x in part_of.column(place)]
                 yield pa.record_batch([*part_of.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return encoded.mapInArrow(task, schema)
+    return map_texts(encoded, task, schema)
 
 
 def digests(documents: DataFrame, model_path: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airstrata.llm.common import held_out
+from airstrata.llm.common import held_out, map_texts
 
 STATISTICS = (
     "chars", "words", "word_length", "upper", "lower", "digits", "spaces", "lines", "commas",
@@ -90,7 +90,7 @@ def measure(documents: DataFrame) -> DataFrame:
             rows = [statistics(t or "") for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=schema.names)
 
-    return documents.select("doc_id", "text").mapInArrow(task, schema)
+    return map_texts(documents.select("doc_id", "text"), task, schema)
 
 
 def fit(documents: DataFrame, labels: DataFrame, config: QdaConfig | None = None) -> QdaModel:
@@ -145,7 +145,7 @@ def score(documents: DataFrame, model: QdaModel, name: str = "score") -> DataFra
             scores = model.score(np.array(rows).reshape(len(rows), len(STATISTICS)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=schema.names)
 
-    return documents.mapInArrow(task, schema)
+    return map_texts(documents, task, schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame, config: QdaConfig | None = None) -> DataFrame:

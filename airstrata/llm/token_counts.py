@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airstrata.llm.common import map_texts
+
 RULES = ("first", "most", "share")
 PARAGRAPH = "[^\n]*\n|[^\n]+"
 _PART = T.StructType(
@@ -136,7 +138,7 @@ def attribute(documents: DataFrame, parts: str, key: str, ranks_path: str, patte
                 names=schema.names,
             )
 
-    return documents.select(key, parts).mapInArrow(task, schema)
+    return map_texts(documents.select(key, parts), task, schema)
 
 
 def _arrow_parts() -> pa.DataType:

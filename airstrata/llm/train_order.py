@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.llm.common import text_slices
+from airstrata.llm.common import map_texts, text_slices
 from airstrata.llm.token_counts import byte_bpe
 from airstrata.session import materialize
 
@@ -110,7 +110,7 @@ def encode(documents: DataFrame, config: OrderConfig) -> DataFrame:
             pad = np.full(-len(kept) % config.length, config.end_id, "<u2")
             yield row(np.concatenate([kept, pad]))
 
-    return documents.select("text").mapInArrow(task, "part long, at long, n long, data binary")
+    return map_texts(documents.select("text"), task, "part long, at long, n long, data binary")
 
 
 def _place(config: OrderConfig, first: dict[int, int], slots: int):
