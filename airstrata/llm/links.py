@@ -51,14 +51,15 @@ def components(edges: DataFrame) -> DataFrame:
     return materialize(found, "components")
 
 
-def in_blocks(rows: DataFrame, group: str, member: str, size: Column) -> DataFrame:
+def in_blocks(rows: DataFrame, group: str, member: str, size: Column, most: int = BLOCK) -> DataFrame:
     """Adds task, whose rows must be compared, and side, the block of the row (0 or 1).
 
     A group of more than BLOCK rows is dealt by hash into blocks; every pair of blocks is a
     task, so each two rows meet. Rows of both sides meet each other only; in a task with one
-    side all rows meet.
+    side all rows meet. With ``most`` above BLOCK, groups of more than 16 blocks have larger
+    ones, of up to ``most`` rows, as each row is sent once for every block of its group.
     """
-    blocks = F.ceil(size / BLOCK)
+    blocks = F.ceil(size / F.greatest(F.lit(BLOCK), F.least(F.lit(most), F.ceil(size / 16))))
     own = F.pmod(F.xxhash64(member), blocks)
     rows = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
@@ -141,7 +142,7 @@ def count_links(
     return dealt.mapInArrow(task, "id long, links long, root long")
 
 
-def exact_groups(candidates: DataFrame, items: DataFrame, payload: str, alike) -> tuple[DataFrame, DataFrame]:
+def exact_groups(candidates: DataFrame, items: DataFrame, payload: str, alike, most: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """All links within components of candidate edges a-b, and the components of these links.
 
     ``items``: id, weight, payload. First result: id, links; second: id, component.
@@ -149,7 +150,7 @@ def exact_groups(candidates: DataFrame, items: DataFrame, payload: str, alike) -
     guessed = components(candidates)
     sizes = guessed.groupBy("component").agg(F.count("*").alias("_size"))
     member = guessed.join(sizes, "component").join(items, "id")
-    rows = in_blocks(member, "component", "id", F.col("_size"))
+    rows = in_blocks(member, "component", "id", F.col("_size"), most)
     counted = materialize(count_links(rows, payload, alike), "links")
     return (
         counted.groupBy("id").agg(F.sum("links").alias("links")),

@@ -77,3 +77,50 @@ def test_empty_table(spark):
 def test_passes_grow_with_the_largest_label():
     config = embed_dedup.DedupConfig()
     assert config.passes(0) == config.passes(32) < config.passes(5_000) < config.passes(300_000)
+
+
+def lean_vectors(rng, count, pairs, cosine, dim=64):
+    """Vectors of which two have about this cosine, and pairs of them at about 0.94."""
+    own = rng.normal(size=(count, dim)) / np.sqrt(dim)
+    own[:, 0] = 0
+    near = own[:pairs] + 0.0
+    turn = rng.normal(size=(pairs, dim)) / np.sqrt(dim)
+    turn[:, 0] = 0
+    # the mean adds cosine to every product; the rest of 0.94 comes from the vectors' own parts
+    share = (0.942 - cosine) / (1 - cosine)
+    near = share * near + np.sqrt(1 - share * share) * turn
+    both = np.vstack([own, near])
+    both /= np.linalg.norm(both, axis=1, keepdims=True)
+    both *= np.sqrt(1 - cosine)
+    both[:, 0] = np.sqrt(cosine)
+    return both.astype(np.float32)
+
+
+def test_links_of_labels_that_lean_one_way(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for label, cosine in enumerate((0.0, 0.6, 0.7, 0.85)):
+        found = lean_vectors(rng, 3_000, 300, cosine)
+        exact = found.astype(float)
+        exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+        linked = (exact @ exact.T >= 0.93).sum(axis=1) - 1
+        for k, vector in enumerate(found):
+            want[len(rows)] = (label, int(linked[k]))
+            rows.append((len(rows), vector.tolist(), label))
+    got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_duplicates(table(spark, rows)).collect()}
+    assert got.keys() == want.keys() and all(got[i] <= n for i, (_, n) in want.items())
+    for label in range(4):
+        ids = [i for i, (own, _) in want.items() if own == label]
+        links = sum(want[i][1] for i in ids)
+        assert links >= 300 and sum(got[i] for i in ids) >= 0.999 * links, (label, sum(got[i] for i in ids), links)
+
+
+def test_further_rounds_until_all_rows_are_done(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "PASS_COST", 0)
+    found = lean_vectors(np.random.default_rng(9), 900, 100, 0.0)
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(found)]
+    assert found_links(spark, rows) == sum(r[1] for r in brute(rows))
+
+
+def found_links(spark, rows):
+    return sum(r["n_links"] for r in embed_dedup.near_duplicates(table(spark, rows)).collect())
