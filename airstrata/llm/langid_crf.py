@@ -9,10 +9,10 @@ mean posterior over all its words, which is its score.
 Chains are sentences: they end at ``. ! ?``, at a line feed, and after 512 words, so that
 chains of many documents run through the recursions side by side.
 
-Training takes windows of at most ``window`` code points from about ``per_label`` documents
-of each label, picked by the hash of the text, all given to the driver: the bound of the
-sample is 2 * per_label windows on average over at most ``max_labels`` languages (the most
-frequent). Whole-document labels label words; some training chains join sentences of
+Training takes windows of at most ``window`` code points from ``per_label`` distinct texts of
+each label, or all it has, picked by the hash of the text, so copies neither count nor crowd
+out others. All are given to the driver: the bound of the sample is ``per_label`` windows for
+each of at most ``max_labels`` languages (the most frequent). Whole-document labels label words; some training chains join sentences of
 two documents, so that transitions also see switches.
 
 Defined cases: a text that is null or has no letters is `und` with score 0, as is every
@@ -23,6 +23,7 @@ empty table gives no rows. Other columns, and any clashing names, stay as they a
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -31,11 +32,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airstrata.llm.common import held_out, map_texts, text_slices
+from airstrata.session import materialize
 
 UNKNOWN = "und"
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
@@ -129,20 +131,31 @@ def _chains(text: str) -> list[list[str]]:
 def sample(documents: DataFrame, config: CrfConfig) -> list[tuple[str, str]]:
     """(label, window of text) of the training sample, in a fixed order."""
     known = documents.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").agg(F.count("*").alias("_n"))
-    counts = counts.orderBy(F.col("_n").desc(), "lang").limit(config.max_labels).collect()
-    picks = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], config.per_label / r["_n"])]) if counts else None
-    if picks is None:
-        return []
     text = F.coalesce("text", F.lit(""))
     hashed = F.xxhash64(text)
-    chance = F.pmod(hashed, F.lit(1 << 20)) / float(1 << 20)
     start = F.floor(F.pmod(F.shiftright(hashed, 20), F.lit(1 << 20)) / float(1 << 20)
                     * F.greatest(F.length(text) - config.window, F.lit(0)))
     window = F.substring(text, (start + 1).cast("int"), F.lit(config.window))
-    chosen = known.filter(chance < F.element_at(picks, F.col("lang"))).select("lang", hashed.alias("h"), window.alias("t"))
-    # copies share a hash and come in or stay out together; one of each is enough
-    chosen = chosen.dropDuplicates(["lang", "h"]).orderBy("h", "lang").limit(2 * config.per_label * len(counts))
+    # rows and distinct texts of each label; copies share a hash and count once
+    texts = known.groupBy("lang", hashed.alias("h")).agg(F.count("*").alias("_n"))
+    texts = materialize(texts, "text-hashes")
+    counts = texts.groupBy("lang").agg(F.sum("_n").alias("_n"), F.count("*").alias("_texts"))
+    counts = counts.orderBy(F.col("_n").desc(), "lang").limit(config.max_labels).collect()
+    if not counts:
+        return []
+    # a bound on the hashes that lets at least per_label texts of a label through, but for chance
+    # of far less than 1e-9; the smallest per_label of those are taken
+    rates = {r["lang"]: (config.per_label + 8 * math.sqrt(config.per_label) + 40) / r["_texts"] for r in counts}
+    bounds = F.create_map(*[F.lit(x) for lang, rate in rates.items() for x in (lang, min(rate, 1.0))])
+    chance = F.pmod(F.xxhash64(hashed), F.lit(1 << 40)) / float(1 << 40)
+    few = texts.withColumn("u", F.pmod(F.xxhash64("h"), F.lit(1 << 40)) / float(1 << 40))
+    few = few.filter(F.col("u") < F.element_at(bounds, F.col("lang"))).select("lang", "u", "h")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("u", "h"))
+    last = few.withColumn("_place", place).filter(F.col("_place") <= config.per_label)
+    last = last.groupBy("lang").agg(F.max("u").alias("u")).collect()
+    bounds = F.create_map(*[F.lit(x) for r in last for x in (r["lang"], r["u"])])
+    chosen = known.filter(chance <= F.element_at(bounds, F.col("lang"))).select("lang", hashed.alias("h"), window.alias("t"))
+    chosen = chosen.dropDuplicates(["lang", "h"]).orderBy("h", "lang")
     return [(r["lang"], r["t"]) for r in chosen.collect()]
 
 

@@ -76,3 +76,18 @@ def test_few_labels(spark, rows):
 def test_long_chains_are_cut_not_dropped():
     assert [len(c) for c in crf._chains("a " * 1200)] == [512, 512, 176]
     assert crf._chains("Ab1c! 12 _x_\né") == [["ab", "c"], ["x"], ["é"]]
+
+
+def test_copies_do_not_crowd_out_their_label(spark):
+    rows = [(k, f"common words of this language {k}", "en") for k in range(600)]
+    # a label that is 99.9% copies of one text, and one that has few texts
+    rows += [(k, "immer derselbe kurze satz", "de") for k in range(29_970)]
+    rows += [(30_000 + k, f"andere worte dieser sprache {k}", "de") for k in range(30)]
+    rows += [(40_000 + k, f"encore une langue {k}", "fr") for k in range(5)]
+    given = spark.createDataFrame([(None, t, lang) for _, t, lang in rows], "doc_id long, text string, lang string")
+    config = crf.CrfConfig()
+    found = crf.sample(given, config)
+    for label in ("de", "fr", "en"):
+        texts = {t for _, t, lang in rows if lang == label}
+        got = [t for lang, t in found if lang == label]
+        assert len(got) == min(config.per_label, len(texts)) and set(got) <= texts
