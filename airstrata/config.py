@@ -53,7 +53,10 @@ SPINE_END = "2030-12-31"
 
 @dataclass(frozen=True)
 class GateConfig:
-    """Thresholds of the silver quality gate."""
+    """Thresholds of the silver quality gate.
+
+    All checks are logged; ``stop_on`` names those whose failure stops a run, None for all.
+    """
 
     min_rows: int = 10
     max_null_pct: float = 5.0
@@ -61,6 +64,7 @@ class GateConfig:
     aqi_max: float = 500.0
     sources: tuple[str, ...] = (CSV_SOURCE, API_SOURCE)
     freshness_hours: int = 48
+    stop_on: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)

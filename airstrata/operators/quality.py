@@ -219,7 +219,7 @@ def run_gate(
     config: GateConfig = GateConfig(),
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Log all seven results, then raise if any check failed."""
+    """Log all seven results, then raise if a check failed that ``config`` stops on."""
     results = gate_results(star, reference, config, load_ts, counted).select(
         F.lit(f"run-{version}").alias("run_id"),
         "check_name",
@@ -228,7 +228,10 @@ def run_gate(
         F.lit(load_ts).cast("timestamp_ntz").alias("checked_at"),
     )
     logged = store.append("control/dq_results", results, version)
-    failed = [r["check_name"] for r in logged.filter(~F.col("passed")).collect()]
+    failing = logged.filter(~F.col("passed"))
+    if config.stop_on is not None:
+        failing = failing.filter(F.col("check_name").isin(*config.stop_on))
+    failed = [r["check_name"] for r in failing.collect()]
     if failed:
         raise QualityGateError(sorted(failed))
     return logged

@@ -22,7 +22,7 @@ from airstrata.operators.fact import build_fact
 from airstrata.operators.marts import Partials, Star, build_marts
 from airstrata.operators.quality import QualityGateError, run_gate
 from airstrata.operators.quarantine import REASON, accepted, rejected
-from airstrata.schemas import API_RAW, CSV_RAW
+from airstrata.schemas import API_RAW, CSV_RAW, TABLES
 from airstrata.schemas import CITY_MAP as CITY_MAP_SCHEMA
 from airstrata.schemas import CITY_REFERENCE as CITY_REFERENCE_SCHEMA
 from airstrata.session import materialize, scratch_scope
@@ -96,6 +96,12 @@ def star(store: Store, upto: int | None = None) -> Star:
     )
 
 
+def gold(store: Store, mart: str, before: int | None = None) -> DataFrame:
+    """The current version of a mart; empty while no gate has passed."""
+    table = store.current(f"gold/{mart}", before)
+    return store.spark.createDataFrame([], TABLES[f"gold/{mart}"]) if table is None else table
+
+
 def load_silver(
     store: Store, measurements: DataFrame, batch: int, load_ts, order_free: bool = False
 ) -> Star:

@@ -98,6 +98,11 @@ FACT_COLUMNS = [
 
 _READING_TYPES = ", ".join(f"{c} double" for c in READINGS)
 
+_AVERAGES = ", ".join(f"avg_{c} double" for c in ("aqi", "pm25", "pm10"))
+_ALL_AVERAGES = f"{_AVERAGES}, avg_humidity double, avg_temperature double"
+_PLACE = "queried_city string, city_name string, region string"
+_RANGE = "max_aqi double, min_aqi double, record_count bigint"
+
 # stored tables that are read back by name
 TABLES = {
     "control/city_map": CITY_MAP,
@@ -122,4 +127,29 @@ TABLES = {
         "source string, ingested_at timestamp_ntz"
     ),
     "control/loaded_files": LEDGER,
+    "gold/daily_summary": (
+        f"{_PLACE}, date date, avg_aqi double, max_aqi double, min_aqi double, avg_pm25 double, "
+        "avg_pm10 double, avg_humidity double, avg_temperature double, station_count bigint, "
+        "record_count bigint, dominant_pollutant string, pollution_level string, "
+        "aggregated_at timestamp_ntz"
+    ),
+    "gold/city_ranking": (
+        f"{_PLACE}, year int, month int, {_AVERAGES}, {_RANGE}, days_good bigint, "
+        "days_moderate bigint, days_sensitive bigint, days_unhealthy bigint, "
+        "days_very_unhealthy bigint, days_hazardous bigint, dominant_pollutant string, "
+        "pollution_level string, aqi_rank bigint, pm25_rank bigint, aggregated_at timestamp_ntz"
+    ),
+    "gold/station_summary": (
+        f"waqi_idx int, station_name string, {_PLACE}, lat double, lon double, year int, month int, "
+        f"{_ALL_AVERAGES}, {_RANGE}, dominant_pollutant string, pollution_level string, "
+        "rank_in_city bigint, aggregated_at timestamp_ntz"
+    ),
+    "gold/hourly_pattern": (
+        f"{_PLACE}, hour int, time_of_day string, {_AVERAGES}, record_count bigint, "
+        "aggregated_at timestamp_ntz"
+    ),
+    "gold/seasonal_summary": (
+        f"{_PLACE}, year int, season string, {_AVERAGES}, {_RANGE}, dominant_pollutant string, "
+        "aggregated_at timestamp_ntz"
+    ),
 }

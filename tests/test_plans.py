@@ -64,7 +64,7 @@ def test_conform_walks_each_document_once(spark):
 def test_fact_joins_do_not_shuffle_the_measurements(spark, silver):
     from airstrata.operators.fact import build_fact
 
-    rows = spark.read.parquet(catalog._SILVER[(spark.sparkContext.applicationId, SF)].path("silver/measurement"))
+    rows = spark.read.parquet(catalog.silver_store(spark, SF).path("silver/measurement"))
     text = plan(build_fact(rows, silver.dates, silver.times, silver.cities, silver.stations))
     assert "Exchange hashpartitioning" not in text
 
@@ -86,7 +86,7 @@ def test_station_candidates_shrink_before_the_exchange(spark, silver):
     from airstrata.operators.dimensions import station_candidates
 
     rows = spark.read.parquet(
-        catalog._SILVER[(spark.sparkContext.applicationId, SF)].path("silver/measurement")
+        catalog.silver_store(spark, SF).path("silver/measurement")
     )
     text = plan(station_candidates(rows, silver.cities))
     first = text[: text.index("FileScan")]
