@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from airstrata.llm import (
     chat,
+    collocations,
     embed_dedup,
     jaccard_join,
     langid_crf,
+    line_dedup,
     merkle,
     mixing,
     pieces,
     quality_qda,
+    resampling,
     token_counts,
     train_order,
 )
@@ -80,6 +83,18 @@ def jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
 
 
+def target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def frequent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_section_token_counts": section_token_counts,
     "op5_training_order": training_order,
@@ -91,6 +106,9 @@ QUERIES = {
     "op4_merkle_fingerprints": merkle_fingerprints,
     "op9_jaccard_groups": jaccard_groups,
     "op10_source_mix": source_mix,
+    "op11_target_resampling": target_resampling,
+    "op12_frequent_lines": frequent_lines,
+    "op13_phrase_collocations": phrase_collocations,
 }
 
 _TAILS = r"\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|<SYS>>|</SYS>>"
@@ -213,3 +231,119 @@ SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
   {_near_sql("fingerprint", "next_fingerprint")} AS near_next, next_doc_id
 FROM prints
 """
+
+_UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _crc_rows() -> str:
+    """The 256 steps of the checksum: eight times a shift and a conditional xor."""
+    rows = "SELECT i, i::UBIGINT AS c FROM range(256) t(i)"
+    for _ in range(8):
+        rows = f"SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END AS c FROM ({rows})"
+    return rows
+
+
+def _words_sql(relation: str) -> str:
+    return rf"""SELECT id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_SMALL}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM {relation}"""
+
+
+ORACLE_SQL["op11_target_resampling"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, text FROM documents),
+aims AS (SELECT 0 AS id, text FROM benchmark),
+used AS (SELECT id, word, count(*) AS n FROM ({_words_sql("docs")}) GROUP BY id, word),
+aimed AS (SELECT word, count(*) AS n FROM ({_words_sql("aims")}) GROUP BY word),
+steps AS (SELECT list(c ORDER BY i) AS tbl FROM ({_crc_rows()})),
+spelled AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM used UNION SELECT word FROM aimed)
+), hashed AS (
+  SELECT word, xor(list_reduce(
+      list_prepend(4294967295::UBIGINT,
+        list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT)),
+      lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM spelled, steps
+), corpus AS (SELECT bucket, sum(n)::DOUBLE AS s FROM used JOIN hashed USING (word) GROUP BY bucket),
+wanted AS (SELECT bucket, sum(n)::DOUBLE AS t FROM aimed JOIN hashed USING (word) GROUP BY bucket),
+totals AS (
+  SELECT coalesce((SELECT sum(s) FROM corpus), 0) AS big, coalesce((SELECT sum(t) FROM wanted), 0) AS aim
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (big + 10000.0::DOUBLE)
+    / ((s + 1) * (aim + 10000.0::DOUBLE))))::BIGINT AS gain
+  FROM corpus LEFT JOIN wanted USING (bucket), totals
+), weighed AS (
+  SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM used JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY id
+), scored AS (
+  SELECT id, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 8))::UBIGINT
+      + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM docs LEFT JOIN weighed USING (id)
+), ranked AS (
+  SELECT id, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, id) AS place,
+    10 * count(*) OVER () // 100 AS k
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score::BIGINT AS score, place::BIGINT AS rank
+FROM scored LEFT JOIN (SELECT id, place FROM ranked WHERE place <= k) USING (id)
+"""
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE_SQL["op12_frequent_lines"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT id, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, {_BLANKS}), '{_UPPER}', '{_SMALL}') AS key FROM lines
+), bad AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT id) >= 10
+), marked AS (SELECT keyed.*, bad.key IS NOT NULL AS drop FROM keyed LEFT JOIN bad USING (key)),
+kept AS (
+  SELECT id, count(*) AS n_lines, count(*) FILTER (drop) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT drop), '') AS kept
+  FROM marked GROUP BY id
+)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM kept JOIN docs USING (id)
+"""
+
+
+def _phrases_sql(size: int) -> str:
+    return f"""SELECT lang, {size} AS size, array_to_string(words[i:i + {size - 1}], ' ') AS phrase
+    FROM (SELECT lang, words, unnest(range(1, len(words) - {size} + 2)) AS i FROM pieces)"""
+
+
+ORACLE_SQL["op13_phrase_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(string_split_regex(translate(text, '{_UPPER}', '{_SMALL}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), totals AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM pieces GROUP BY lang),
+counted AS (
+  SELECT lang, size, phrase, count(*)::HUGEINT AS f
+  FROM ({" UNION ALL ".join(map(_phrases_sql, range(1, 6)))}) GROUP BY ALL
+  HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, size, phrase, f AS a, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS w
+  FROM counted WHERE size > 1
+), scored AS (
+  SELECT c.lang, c.size, c.phrase, a, k, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000 * a * n // (x.f * y.f), k) AS place
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+), best AS (SELECT * FROM scored WHERE place = 1),
+inner_parts AS (
+  SELECT lang, a, w, m, unnest(range(1, size - m + 2)) AS i FROM (
+    SELECT lang, a, size, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS m FROM best WHERE size > 2)
+), most AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most FROM inner_parts GROUP BY ALL
+), ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best LEFT JOIN most USING (lang, phrase) WHERE NOT coalesce(100 * most >= 100 * a, false)
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
