@@ -55,7 +55,8 @@ def fingerprint(text: Column) -> Column:
         )
 
     marked = F.array_join(F.transform(paragraphs, paragraph), "")
-    sections = F.split(F.substring(marked, F.lit(1), F.length(marked) - 1), ";")
+    # without its last sign, which is one comma or semicolon
+    sections = F.split(F.rtrim(marked, F.lit(",;")), ";")
 
     def section(part: Column) -> Column:
         digests = F.regexp_replace(part, r":[0-9a-f.]*", "")
@@ -76,9 +77,13 @@ def _codes(print_: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(bare, "[.,;]"), ""))
 
 
-def likeness(left: Column, right: Column) -> Column:
-    """Dice share of the unit codes that two fingerprints have in common, 0 to 1."""
-    a, b = _codes(left), _codes(right)
+def likeness(left: Column, right: Column, codes: tuple[Column, Column] | None = None) -> Column:
+    """Dice share of the unit codes that two fingerprints have in common, 0 to 1.
+
+    ``codes`` are the distinct codes of both, where they are columns of their own already;
+    as expressions they are worked out at each use.
+    """
+    a, b = codes or (_codes(left), _codes(right))
     common = F.size(F.array_intersect(a, b))
     share = 2.0 * common / F.nullif(F.size(a) + F.size(b), F.lit(0))
     return F.when(left == right, F.lit(1.0)).otherwise(F.coalesce(share, F.lit(0.0)))
@@ -149,13 +154,15 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
     )
     both = both.select("doc_id", "text", "print", "next_print", "next_doc_id", edited.alias("edited"))
     both = both.withColumn("edited_print", fingerprint(F.col("edited")))
+    prints = {"codes": "print", "edited_codes": "edited_print", "next_codes": "next_print"}
+    both = both.withColumns({name: _codes(F.col(of)) for name, of in prints.items()})
     return both.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.col("print").alias("fingerprint"),
         F.col("edited_print").alias("edited_fingerprint"),
-        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
-        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+        likeness(F.col("print"), F.col("edited_print"), (F.col("codes"), F.col("edited_codes"))).alias("near_edited"),
+        likeness(F.col("print"), F.col("next_print"), (F.col("codes"), F.col("next_codes"))).alias("near_next"),
         "next_doc_id",
     )
