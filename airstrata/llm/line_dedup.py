@@ -29,6 +29,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -102,23 +103,28 @@ class PerfectHash:
         slots[homes] = counts
         return cls(levels, prints, slots)
 
+    @cached_property
+    def _slots(self) -> list[np.ndarray]:
+        """Per level the slot at each place, -1 where no key is at home; made once per table."""
+        opened, before, size = [], 0, len(self.counts)
+        for packed in self.levels:
+            bits = np.unpackbits(packed, count=max(8, int(_GAMMA * size))).astype(bool)
+            opened.append(np.where(bits, before - 1 + np.cumsum(bits), -1).astype(np.int32))
+            settled = int(bits.sum())
+            before, size = before + settled, size - settled
+        return opened
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The counts of the hashes, 0 for those whose fingerprint differs."""
-        found = np.zeros(len(hashes), np.int64)
-        left, before, size = np.arange(len(hashes)), 0, len(self.counts)
-        for number, packed in enumerate(self.levels):
+        found, left = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
+        for number, level in enumerate(self._slots):
             if not len(left):
                 break
-            width = max(8, int(_GAMMA * size))
-            bits = np.unpackbits(packed, count=width).astype(bool)
-            at = _places(hashes[left], number, width)
-            home = bits[at]
-            slots = before + (np.cumsum(bits) - 1)[at[home]]
-            mine = left[home]
+            slots = level[_places(hashes[left], number, len(level))]
+            home = slots >= 0
+            mine, slots, left = left[home], slots[home], left[~home]
             same = self.fingerprints[slots] == hashes[mine, 1].astype("<u4")
             found[mine[same]] = self.counts[slots[same]]
-            set_bits = int(bits.sum())
-            before, size, left = before + set_bits, size - set_bits, left[~home]
         return found
 
     def pack(self) -> dict:
