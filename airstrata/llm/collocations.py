@@ -8,10 +8,11 @@ dictionary. n-grams are counted inside distinct chunks, weighted by frequency; a
 n-grams that begin before its last window, which are whole inside it, so an n-gram in an
 overlap counts once. The text ends with a window of breaks, which ends its last chunk.
 
-Words are counted first, then pairs, then all longer phrases. A phrase that occurs often
-enough has only parts that do, so an n-gram whose pairs (or words) a bitmap of the frequent
-ones does not know is passed over. The bitmap has a fixed number of bits, whatever the
-corpus; two hashes that share a bit only let an n-gram through to be counted exactly.
+First the hashes of words and pairs are counted. A phrase that occurs often enough has only
+parts that do, so a second pass over the dictionary takes the words, and the phrases all of
+whose pairs, are in bitmaps of the frequent hashes, and counts these exactly, by their text.
+The bitmaps have a fixed number of bits, whatever the corpus; hashes that share a bit only let
+a phrase through to be counted.
 
 Counts, cuts, containment and ranks are joins and aggregates over the frequent phrases.
 
@@ -154,11 +155,11 @@ def dictionary(documents: DataFrame, config: PhraseConfig) -> DataFrame:
     return materialize(total, "chunk-dictionary")
 
 
-def _bitmap(phrases: DataFrame, size: int, bits: int) -> np.ndarray:
-    """The bits of all phrases of ``size`` words; at most 2**bits of them reach the driver."""
+def _bitmap(frequent: DataFrame, size: int, bits: int) -> np.ndarray:
+    """The bits of all hashes of ``size`` words; the driver gets 2**(bits - 6) words at most."""
     place = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
     one = F.expr("shiftleft(1L, cast(hash & 63 as int))")
-    cells = phrases.filter(F.col("size") == size).groupBy(F.shiftright(place, 6).alias("cell"))
+    cells = frequent.filter(F.col("size") == size).groupBy(F.shiftright(place, 6).alias("cell"))
     found = cells.agg(F.bit_or(one).alias("mask")).toArrow()
     words = np.zeros(1 << (bits - 6), np.uint64)
     words[found.column("cell").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
@@ -170,92 +171,133 @@ def _known(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
 
 
-def count_phrases(
-    chunks: DataFrame, sizes: range, config: PhraseConfig, below: tuple[int, np.ndarray] | None = None
-) -> DataFrame:
-    """lang, size, phrase, hash, n of the phrases of the given sizes with enough occurrences.
-
-    ``below`` is a size and the bitmap of the frequent phrases of that size: a phrase is
-    counted if the bitmap knows all of its parts of that size.
+class _Runs:
+    """The chunks of one slice end to end: tokens, hashes, and which runs may be counted."""
+
+    def __init__(self, texts: list[str], langs: list[str], freqs: np.ndarray, known: _Hashes, width: int):
+        split = [text.encode().split(b" ") for text in texts]
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        self.tokens = [t for part in split for t in part]
+        count = len(self.tokens)
+        self.hashes = known.of(self.tokens)
+        ends = np.cumsum(lengths)
+        self._owned = np.ones(count, bool)
+        for back in range(1, width + 1):
+            self._owned[ends - back] = False
+        self.weight = np.repeat(freqs, lengths)
+        self.names, lang_of = np.unique(np.array(langs, object), return_inverse=True)
+        self.lang = np.repeat(lang_of, lengths)
+        salts = known.of([b"\x00" + name.encode() for name in self.names])
+        self._salt = salts[0] if len(salts) == 1 else salts[self.lang]
+        # runs that begin where a chunk owns them and hold no break, by size
+        self._free = self._owned & (self.hashes != 0)
+        self._whole = {1: self._free}
+
+    def whole(self, size: int) -> np.ndarray:
+        """True where a run of ``size`` tokens is owned and within a piece."""
+        if size not in self._whole:
+            count = max(len(self.tokens) - size + 1, 0)
+            self._whole[size] = self.whole(size - 1)[:count] & (self.hashes[size - 1 : size - 1 + count] != 0)
+        return self._whole[size]
+
+    def grams(self, size: int) -> np.ndarray:
+        found = _run_hashes(self.hashes, size)
+        salt = self._salt[: len(found)] if np.ndim(self._salt) else self._salt
+        return _mix(found ^ salt)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], known: _Hashes, width: int) -> Iterator[_Runs]:
+    for batch in batches:
+        langs, texts = batch.column("lang").to_pylist(), batch.column("chunk").to_pylist()
+        freqs = batch.column("freq").to_numpy()
+        for a, z in text_slices(texts, 500_000):
+            yield _Runs(texts[a:z], langs[a:z], freqs[a:z], known, width)
+
+
+def _summed(hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes and their summed weights."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    firsts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else order
+    return hashes[firsts], np.add.reduceat(weights[order], firsts) if len(firsts) else weights
+
+
+def frequent_hashes(chunks: DataFrame, config: PhraseConfig, most: int = 1_000_000) -> DataFrame:
+    """size (1, 2) and hash of the words and pairs that can be frequent.
+
+    Equal hashes are counted together, so no frequent one is missing. A task sums up to
+    ``most`` hashes before it passes them on.
     """
     width = config.max_words - 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
-        base, allowed = below or (0, None)
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            texts = batch.column("chunk").to_pylist()
-            freqs = batch.column("freq").to_numpy()
-            for a, z in text_slices(texts, 500_000):
-                run: list[bytes] = []
-                owned_of = []
-                for text in texts[a:z]:
-                    part = text.encode().split(b" ")
-                    run += part
-                    owned_of.append(len(part))
-                lengths = np.array(owned_of)
-                ends = np.cumsum(lengths)
-                hashes = known.of(run)
-                chunk_of = np.repeat(np.arange(z - a), lengths)
-                owned = np.arange(len(run)) < np.repeat(ends - width, lengths)
-                names, lang_of = np.unique(np.array(langs[a:z], object), return_inverse=True)
-                salt = known.of([b"\x00" + name.encode() for name in names])[lang_of][chunk_of]
-                weight = freqs[a:z][chunk_of]
-                # tokens up to the next break
-                stops = np.append(np.flatnonzero(hashes == 0), len(run) + width)
-                room = stops[np.searchsorted(stops, np.arange(len(run)))] - np.arange(len(run))
-                if allowed is not None:
-                    parts = _run_hashes(hashes, base)
-                    fits = _known(allowed, _mix(parts ^ salt[: len(parts)]))
-                for size in sizes:
-                    count = max(len(run) - size + 1, 0)
-                    good = owned[:count] & (room[:count] >= size)
-                    if allowed is not None:
-                        for shift in range(size - base + 1):
-                            good &= fits[shift : shift + count]
-                    at = np.flatnonzero(good)
-                    if not len(at):
-                        continue
-                    grams = _mix(_run_hashes(hashes, size)[at] ^ salt[at])
-                    other = _mix(_run_hashes(hashes + np.uint64(size), size)[at] + salt[at])
-                    order = np.lexsort((other, grams))
-                    grams, other, at = grams[order], other[order], at[order]
-                    new = np.ones(len(at), bool)
-                    new[1:] = (grams[1:] != grams[:-1]) | (other[1:] != other[:-1])
-                    firsts = np.flatnonzero(new)
-                    totals = np.add.reduceat(weight[at], firsts)
-                    places = at[firsts].tolist()
-                    phrases = [b" ".join(run[p : p + size]) for p in places]
-                    yield pa.record_batch(
-                        [
-                            pa.array(names[lang_of[chunk_of[at[firsts]]]], pa.string()),
-                            pa.array(np.full(len(places), size, np.int32)),
-                            pa.array(phrases, pa.binary()).cast(pa.string()),
-                            pa.array(grams[firsts].view(np.int64)),
-                            pa.array(totals.astype(np.int64)),
-                        ],
-                        names=["lang", "size", "phrase", "hash", "n"],
-                    )
-
-    found = map_texts(
-        chunks.select("lang", "chunk", "freq"), task, "lang string, size int, phrase string, hash long, n long"
-    )
-    total = found.groupBy("lang", "phrase").agg(
-        F.first("size").alias("size"), F.first("hash").alias("hash"), F.sum("n").alias("n")
-    )
-    return materialize(total.filter(F.col("n") >= config.least), "phrases")
+        held = {size: [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] for size in (1, 2)}
+
+        def flush(size: int, end: bool) -> Iterator[pa.RecordBatch]:
+            hashes, totals = _summed(*(np.concatenate(x) for x in zip(*held[size], strict=True)))
+            held[size] = [(hashes, totals)]
+            if len(hashes) and (end or 2 * len(hashes) > most):
+                held[size] = [(hashes[:0], totals[:0])]
+                columns = [np.full(len(hashes), size, np.int8), hashes.view(np.int64), totals]
+                yield pa.record_batch([pa.array(c) for c in columns], names=["size", "hash", "n"])
+
+        for runs in _slices(batches, known, width):
+            for size in (1, 2):
+                at = np.flatnonzero(runs.whole(size))
+                held[size].append(_summed(runs.grams(size)[at], runs.weight[at]))
+                if sum(len(h) for h, _ in held[size]) > most:
+                    yield from flush(size, False)
+        for size in (1, 2):
+            yield from flush(size, True)
+
+    found = map_texts(chunks.select("lang", "chunk", "freq"), task, "size byte, hash long, n long")
+    total = found.groupBy("size", "hash").agg(F.sum("n").alias("n"))
+    return materialize(total.filter(F.col("n") >= config.least).drop("n"), "frequent-hashes")
 
 
 def frequent_phrases(chunks: DataFrame, config: PhraseConfig) -> DataFrame:
-    """lang, size, phrase, hash, n of all words and phrases with enough occurrences."""
-    words = count_phrases(chunks, range(1, 2), config)
-    pairs = count_phrases(chunks, range(2, 3), config, (1, _bitmap(words, 1, config.bits)))
-    both = words.unionByName(pairs)
-    if config.max_words < 3:
-        return both
-    longer = range(3, config.max_words + 1)
-    return both.unionByName(count_phrases(chunks, longer, config, (2, _bitmap(pairs, 2, config.bits))))
+    """lang, size, phrase, n of all words and phrases with enough occurrences, stored."""
+    width = config.max_words - 1
+    hashes = frequent_hashes(chunks, config)
+    words, pairs = (_bitmap(hashes, size, config.bits) for size in (1, 2))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for runs in _slices(batches, _Hashes(), width):
+            linked = _known(pairs, runs.grams(2))
+            for size in range(1, config.max_words + 1):
+                good = runs.whole(size).copy()
+                if size == 1:
+                    good &= _known(words, runs.grams(1))
+                for shift in range(size - 1):
+                    good &= linked[shift : shift + len(good)]
+                at = np.flatnonzero(good)
+                if not len(at):
+                    continue
+                grams = runs.grams(size)[at]
+                # a second hash tells apart phrases that share the first
+                other = _mix(_run_hashes(runs.hashes + np.uint64(1), size)[at] + runs.lang[at].astype(np.uint64))
+                order = np.argsort(grams)
+                new = np.concatenate([[True], np.diff(grams[order]) != 0])
+                if (np.diff(other[order])[~new[1:]] != 0).any():
+                    order = np.lexsort((other, grams))
+                    new = np.concatenate([[True], (np.diff(grams[order]) != 0) | (np.diff(other[order]) != 0)])
+                firsts = np.flatnonzero(new)
+                places = at[order][firsts]
+                phrases = [b" ".join(runs.tokens[p : p + size]) for p in places.tolist()]
+                yield pa.record_batch(
+                    [
+                        pa.array(runs.names[runs.lang[places]], pa.string()),
+                        pa.array(np.full(len(places), size, np.int32)),
+                        pa.array(phrases, pa.binary()).cast(pa.string()),
+                        pa.array(np.add.reduceat(runs.weight[at][order], firsts)),
+                    ],
+                    names=["lang", "size", "phrase", "n"],
+                )
+
+    found = map_texts(chunks.select("lang", "chunk", "freq"), task, "lang string, size int, phrase string, n long")
+    total = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    return materialize(total.filter(F.col("n") >= config.least), "phrases")
 
 
 def _part(first, last):
