@@ -75,6 +75,8 @@ class RunConfig:
     so that averages come out bit-identical however the rows are partitioned; readings
     that have more, and all readings when it is None, are summed as doubles.
     ``order_free_stations`` makes stations the same in whatever order batches come.
+    ``multi_line`` lets quoted CSV fields hold line breaks (a file is then read by one task);
+    ``city_from_folder`` names a document without a city after its landing folder.
     ``keep_versions`` bounds the table versions a stream leaves behind; None keeps all.
     """
 
@@ -84,3 +86,5 @@ class RunConfig:
     decimals: int | None = None
     keep_versions: int | None = None
     order_free_stations: bool = False
+    multi_line: bool = False
+    city_from_folder: bool = False

@@ -8,7 +8,9 @@ rounded, clamped or left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DIGITS = 28
@@ -28,9 +30,26 @@ def _exact(value: Column, decimals: int | None) -> Column:
     return F.when(number.cast("double") == value, number)
 
 
+def with_exact(rows: DataFrame, names: Sequence[str], decimals: int | None) -> DataFrame:
+    """Adds exact_name, the decimal of each value where that loses nothing.
+
+    As columns of their own the decimals are worked out once per row and not per aggregate.
+    """
+    return rows.withColumns({f"exact_{n}": _exact(F.col(n), decimals) for n in names})
+
+
+def prepared_sums(name: str) -> list[Column]:
+    """Aggregates sum_name, odd_name and cnt_name over rows that ``with_exact`` has prepared."""
+    exact = F.col(f"exact_{name}")
+    return _sums(exact, F.col(name), name)
+
+
 def sums(value: Column, name: str, decimals: int | None) -> list[Column]:
-    """Aggregates sum_name, odd_name and cnt_name; without decimals all values are odd."""
-    exact = _exact(value, decimals)
+    """The same aggregates over any value; without decimals all values are odd."""
+    return _sums(_exact(value, decimals), value, name)
+
+
+def _sums(exact: Column, value: Column, name: str) -> list[Column]:
     return [
         F.sum(exact).alias(f"sum_{name}"),
         F.sum(F.when(exact.isNull(), value)).alias(f"odd_{name}"),

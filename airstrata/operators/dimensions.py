@@ -107,8 +107,17 @@ def station_candidates(measurements: DataFrame, cities: DataFrame) -> DataFrame:
     )
 
 
+# fixed for the life of a store: the part a station is in, from its natural key
+STATION_BUCKETS = 64
+STATION_BUCKET = f"pmod(xxhash64(waqi_idx, city_key), {STATION_BUCKETS})"
+
+
 def merge_station(
-    current: DataFrame | None, candidates: DataFrame, load_ts, order_free: bool = False
+    current: DataFrame | None,
+    candidates: DataFrame,
+    load_ts,
+    order_free: bool = False,
+    start: int | None = None,
 ) -> DataFrame:
     """Next version of the station dimension.
 
@@ -116,14 +125,15 @@ def merge_station(
     coordinates, address and time keep what is known. With ``order_free`` the sightings
     are the earliest and latest of all batches, the source is the API if any batch had it,
     and name, address and coordinates are the highest of any batch, so the order of the
-    batches does not matter. ``candidates`` should be a stored result, as it is read twice.
+    batches does not matter. ``start`` is the first key for new stations, where ``current`` is
+    a part of the dimension only.
     """
     source = candidates.withColumn("is_active", F.lit(True)).withColumn(
         "loaded_at", F.lit(load_ts).cast("timestamp_ntz")
     )
     natural = ["waqi_idx", "city_key"]
     if current is None:
-        return allocate_keys(source, natural, "station_key", 1).select(*STATION_COLUMNS)
+        return allocate_keys(source, natural, "station_key", start or 1).select(*STATION_COLUMNS)
     taken = {c: F.col(f"s.{c}") for c in ("station_name", "source", "is_active", "loaded_at")}
     for c in ("lat", "lon", "url", "last_seen"):
         taken[c] = F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}"))
@@ -136,4 +146,4 @@ def merge_station(
         taken["lat"], taken["lon"] = F.greatest(*sides)["lat"], F.greatest(*sides)["lon"]
         taken["first_seen"] = F.least("s.first_seen", "t.first_seen")
         taken["last_seen"] = F.greatest("s.last_seen", "t.last_seen")
-    return upsert(current.select(*STATION_COLUMNS), source, natural, taken, "station_key")
+    return upsert(current.select(*STATION_COLUMNS), source, natural, taken, "station_key", start)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airstrata.config import LEVEL_LABELS
-from airstrata.functions.exact import mean, merged_sums, ordered_mean, sums
+from airstrata.functions.exact import mean, merged_sums, ordered_mean, prepared_sums, with_exact
 from airstrata.functions.levels import aqi_category
 from airstrata.operators.ordering import dense_rank_desc, dense_rank_desc_within
 from airstrata.operators.rollups import (
@@ -59,39 +60,84 @@ class Partials:
         "station_month": ["station_key", "city_key", "year", "month", LABEL],
         "hour": ["city_key", "time_key"],
     }
+    #: the month of a row, like 202401, by which all but the small last one are stored
+    PARTS = {
+        "day": "date_key div 100",
+        "station_day": "date_key div 100",
+        "station_month": "year * 100 + month",
+    }
 
     @classmethod
     def of(cls, star: Star, decimals: int | None = None) -> Partials:
-        day = start_partials(DAY_MEASURES, decimals)
-        months = star.fact.join(_calendar(star, "year", "month"), "date_key")
+        """Each straight from the fact, for a single mart."""
+        day = start_partials(DAY_MEASURES)
+        fact = with_exact(star.fact, DAY_MEASURES, decimals)
+        months = fact.join(_calendar(star, "year", "month"), "date_key")
         return cls(
-            star.fact.groupBy(*cls.KEYS["day"]).agg(*day),
+            fact.groupBy(*cls.KEYS["day"]).agg(*day),
             star.fact.select(*cls.KEYS["station_day"]).distinct(),
             months.groupBy(*cls.KEYS["station_month"]).agg(*day),
-            star.fact.groupBy(*cls.KEYS["hour"]).agg(*start_partials(CORE_MEASURES, decimals)),
+            fact.groupBy(*cls.KEYS["hour"]).agg(*start_partials(CORE_MEASURES)),
+        )
+
+    @classmethod
+    def scanned(cls, star: Star, decimals: int | None = None) -> Partials:
+        """All from one scan of the fact, for several marts.
+
+        The scan sums at two grains at once, station and day and label, and city and hour.
+        Its result is stored, and the partials are merged from there.
+        """
+        fine = ["city_key", "date_key", "station_key", LABEL]
+        grains = (
+            with_exact(star.fact, DAY_MEASURES, decimals)
+            .groupingSets([fine, cls.KEYS["hour"]], *fine, "time_key")
+            .agg(*start_partials(DAY_MEASURES), F.grouping("time_key").alias("by_day"))
+        )
+        grains = materialize(grains, "grains")
+        days = grains.filter("by_day = 1").drop("by_day", "time_key")
+        months = days.join(_calendar(star, "year", "month"), "date_key")
+        hours = [c for c in grains.columns if c not in {*fine, "by_day"} or c == "city_key"]
+        return cls(
+            days.groupBy(*cls.KEYS["day"]).agg(*merge_partials(DAY_MEASURES)),
+            days.select(*cls.KEYS["station_day"]).distinct(),
+            months.groupBy(*cls.KEYS["station_month"]).agg(*merge_partials(DAY_MEASURES)),
+            grains.filter("by_day = 0").select(*[c for c in hours if not c.endswith(("humidity", "temperature"))]),
         )
 
     def advance(self, store, batch: int) -> Partials:
         """Fold these partials of one batch into the stored state of the batches before it.
 
-        The state is one version per batch, built from the version before and the batch,
-        so its size follows the number of groups and not the number of batches.
+        Only the months that the batch has rows of are read and written, so its cost follows
+        these; a state version builds on versions before it, so a replay gives the same.
         """
-        folded = {}
-        for name, keys in self.KEYS.items():
-            fresh, table = getattr(self, name), f"gold_state/{name}"
-            before = store.current(table, before=batch)
-            if before is not None:
-                both = before.unionByName(fresh)
-                measures = CORE_MEASURES if name == "hour" else DAY_MEASURES
-                fresh = (
-                    both.distinct()
-                    if name == "station_day"
-                    else both.groupBy(*keys).agg(*merge_partials(measures))
-                )
-            folded[name] = store.replace(table, fresh, batch)
+        months = self.day.select(F.expr(self.PARTS["day"]).alias("part")).distinct()
+        touched = {r["part"] for r in months.collect()}
+        for name, part in self.PARTS.items():
+            table = f"gold_state/{name}"
+            known = store.read_parts(table, touched, before=batch)
+            fresh = self._fold(name, known, getattr(self, name))
+            store.patch(table, fresh, batch, part, touched, self.KEYS[name][:2])
             store.expire(table, batch - 1)
-        return Partials(**folded)
+        table = "gold_state/hour"
+        store.replace(table, self._fold("hour", store.current(table, before=batch), self.hour), batch)
+        store.expire(table, batch - 1)
+        return Partials.stored(store, batch)
+
+    def _fold(self, name: str, known: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        if known is None:
+            return fresh
+        both = known.unionByName(fresh)
+        if name == "station_day":
+            return both.distinct()
+        measures = CORE_MEASURES if name == "hour" else DAY_MEASURES
+        return both.groupBy(*self.KEYS[name]).agg(*merge_partials(measures))
+
+    @classmethod
+    def stored(cls, store, batch: int, months: Collection[int] | None = None) -> Partials | None:
+        """The state after a batch, of the given months; None if there is none of them."""
+        found = [store.read_parts(f"gold_state/{name}", months, before=batch + 1) for name in cls.PARTS]
+        hour = store.current("gold_state/hour", before=batch + 1)
+        return None if any(f is None for f in found) else cls(*found, hour)
 
 
 def _city_names(star: Star) -> DataFrame:
@@ -220,7 +266,11 @@ def city_ranking(
     """Monthly figures per city, ranked over all cities and months."""
     if daily is None:
         daily = _daily(star, Partials.of(star, decimals).day)
-    monthly = materialize(monthly_from_daily(daily), "monthly")
+    return rank_cities(materialize(monthly_from_daily(daily), "monthly"))
+
+
+def rank_cities(monthly: DataFrame) -> DataFrame:
+    """Ranks over all cities and months; ``monthly`` should be a stored result."""
     return dense_rank_desc(monthly, {"avg_aqi": "aqi_rank", "avg_pm25": "pm25_rank"})
 
 
@@ -314,8 +364,9 @@ def seasonal_summary(
 def star_slice(star: Star, decimals: int | None = None) -> DataFrame:
     """Average index by city, season and time of day, to one decimal, sorted."""
     totals = (
-        star.fact.groupBy("city_key", "date_key", "time_key")
-        .agg(*sums(F.col("aqi"), "aqi", decimals))
+        with_exact(star.fact, ["aqi"], decimals)
+        .groupBy("city_key", "date_key", "time_key")
+        .agg(*prepared_sums("aqi"))
         .join(_city_names(star), "city_key")
         .join(_calendar(star, "season"), "date_key")
         .join(star.times.select("time_key", "time_of_day"), "time_key")
@@ -340,6 +391,24 @@ LAYOUT = {
     "hourly_pattern": ["queried_city", "hour"],
     "seasonal_summary": ["queried_city", "year", "season"],
 }
+# the part of a partitioned mart that a row is in
+MART_PARTS = {
+    "daily_summary": "year(date) * 100 + month(date)",
+    "station_summary": "year * 100 + month",
+    "seasonal_summary": "year",
+}
+
+
+def _at(moment) -> Column:
+    now = moment or datetime.now(timezone.utc).replace(tzinfo=None)
+    return F.lit(now).cast("timestamp_ntz")
+
+
+def _all_of(jobs: dict) -> dict:
+    """Results of independent jobs by name; submitted together, they fill the cluster between them."""
+    with ThreadPoolExecutor(4) as pool:
+        started = {name: pool.submit(copy_context().run, job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in started.items()}
 
 
 def build_marts(
@@ -354,39 +423,99 @@ def build_marts(
 
     Every row carries ``aggregated_at``, the time ``at`` or else that of the write (UTC).
 
-    The day partials are stored once and feed two marts; the ranking reads the
+    Without ``partials`` the fact is scanned once for all marts; the ranking reads the
     stored daily mart.
     """
-    partials = partials or Partials.of(star, decimals)
-    partials = replace(partials, day=materialize(partials.day, "day-partials"))
-
-    now = at or datetime.now(timezone.utc).replace(tzinfo=None)
+    partials = partials or Partials.scanned(star, decimals)
 
     def publish(name: str, mart: DataFrame) -> DataFrame:
-        mart = mart.withColumn("aggregated_at", F.lit(now).cast("timestamp_ntz"))
+        mart = mart.withColumn("aggregated_at", _at(at))
+        if name in MART_PARTS:
+            return store.patch(f"gold/{name}", mart, version, MART_PARTS[name], None, LAYOUT[name])
         return store.replace(f"gold/{name}", mart, version, LAYOUT[name])
 
     def daily_and_ranking() -> tuple[DataFrame, DataFrame]:
         daily = publish("daily_summary", daily_summary(star, decimals, partials))
         return daily, publish("city_ranking", city_ranking(star, decimals, daily.drop("aggregated_at")))
 
-    def single(name: str, build) -> DataFrame:
-        return publish(name, build(star, decimals, partials))
-
-    # independent jobs: submitted together, they fill the cluster between them
-    with ThreadPoolExecutor(4) as pool:
-
-        def start(job, *args):
-            return pool.submit(copy_context().run, job, *args)
-
-        pair = start(daily_and_ranking)
-        stations = start(single, "station_summary", station_summary)
-        hours = start(single, "hourly_pattern", hourly_pattern)
-        seasons = start(single, "seasonal_summary", seasonal_summary)
-    return {
-        "daily_summary": pair.result()[0],
-        "city_ranking": pair.result()[1],
-        "station_summary": stations.result(),
-        "hourly_pattern": hours.result(),
-        "seasonal_summary": seasons.result(),
-    }
+    built = _all_of(
+        {
+            "daily_summary": daily_and_ranking,
+            "station_summary": lambda: publish("station_summary", station_summary(star, decimals, partials)),
+            "hourly_pattern": lambda: publish("hourly_pattern", hourly_pattern(star, decimals, partials)),
+            "seasonal_summary": lambda: publish("seasonal_summary", seasonal_summary(star, decimals, partials)),
+        }
+    )
+    built["daily_summary"], built["city_ranking"] = built["daily_summary"]
+    return {name: built[name] for name in LAYOUT}
+
+
+def _renamed_months(star: Star, store, since: int, batch: int) -> set[int]:
+    """Months whose marts show a station or city that has other attributes than at ``since``."""
+
+    def changed(now: DataFrame, then: DataFrame | None, columns: list[str]) -> DataFrame:
+        # known keys only: new ones are in the batch's own months
+        return now.select(*columns).join(then.select(columns[0]), columns[0]).exceptAll(then.select(*columns))
+
+    names = ["city_key", "city_slug", "city_name", "region"]
+    cities = store.current("silver/dim_city", before=since + 1)
+    if cities is not None and not changed(star.cities, cities, names).isEmpty():
+        return set(store.parts("gold_state/day", before=batch + 1))
+    moved = {p for p, v in store.parts("silver/dim_station", before=batch + 1).items() if v > since}
+    then = store.read_parts("silver/dim_station", moved, before=since + 1)
+    if then is None:
+        return set()
+    now = store.read_parts("silver/dim_station", moved, before=batch + 1)
+    stations = changed(now, then, ["station_key", "waqi_idx", "station_name", "lat", "lon"])
+    state = store.current("gold_state/station_month", before=batch + 1)
+    months = state.join(stations.select("station_key"), "station_key", "left_semi")
+    return {r["part"] for r in months.select(F.expr(Partials.PARTS["station_month"]).alias("part")).distinct().collect()}
+
+
+def refresh_marts(star: Star, store, batch: int, decimals: int | None = None, at=None) -> None:
+    """Bring the marts up to the stored state of a batch.
+
+    Daily and station marts are rewritten for the months, the seasonal one for the years, that
+    changed since the marts were last written, even if a gate held back some batches.
+    Ranks run over all cities and months, so the ranking is replaced, from a stored row per
+    city and month; so is the hourly mart with its row per city and hour.
+    """
+    since = store.current_version("gold/daily_summary", before=batch)
+    state = store.parts("gold_state/day", before=batch + 1)
+    months = {p for p, v in state.items() if since is None or v > since}
+    if since is not None:
+        months |= _renamed_months(star, store, since, batch)
+    years = {m // 100 for m in months}
+    partials = Partials.stored(store, batch, months)
+
+    def publish(name: str, mart: DataFrame, touched: Collection[int]) -> DataFrame:
+        mart = mart.withColumn("aggregated_at", _at(at))
+        return store.patch(f"gold/{name}", mart, batch, MART_PARTS[name], touched, LAYOUT[name])
+
+    def daily() -> None:
+        built = publish("daily_summary", daily_summary(star, decimals, partials), months)
+        monthly = monthly_from_daily(built.drop("aggregated_at"))
+        store.patch("gold_state/monthly", monthly, batch, "year * 100 + month", months)
+        store.expire("gold_state/monthly", batch - 1)
+        ranked = rank_cities(store.current("gold_state/monthly", before=batch + 1))
+        store.replace("gold/city_ranking", ranked.withColumn("aggregated_at", _at(at)), batch, LAYOUT["city_ranking"])
+
+    def seasonal() -> None:
+        whole = Partials.stored(store, batch, {m for m in state if m // 100 in years})
+        publish("seasonal_summary", seasonal_summary(star, decimals, whole), years)
+
+    def hourly() -> None:
+        mart = hourly_pattern(star, decimals, partials).withColumn("aggregated_at", _at(at))
+        store.replace("gold/hourly_pattern", mart, batch, LAYOUT["hourly_pattern"])
+
+    if partials is None:
+        build_marts(star, store, batch, decimals, at=at)
+        return
+    _all_of(
+        {
+            "daily": daily,
+            "stations": lambda: publish("station_summary", station_summary(star, decimals, partials), months),
+            "hourly": hourly,
+            "seasonal": seasonal,
+        }
+    )

@@ -174,8 +174,7 @@ def envelope_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = given.csv_records(spark, sf_dir).select(*CSV_COLUMNS)
-    raw = history.ingest_csv(spark, _land_csv(spark, records), LOAD_TS)
-    return raw.drop("ingested_at", "source_file")
+    return history.ingest_csv(spark, _land_csv(spark, records), LOAD_TS).select(*CSV_COLUMNS)
 
 
 def csv_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,8 +220,11 @@ def csv_arity(spark: SparkSession, sf_dir: str) -> DataFrame:
         named = [c.alias(f"f{i}") for i, c in enumerate(columns)]
         landings.append(_land_csv(spark, rows.select(*named)))
     raw = history.ingest_csv(spark, landings, LOAD_TS)
-    return raw.groupBy("alert_level", "status").agg(
-        F.count("*").alias("n_rows"), F.count("station_name").alias("n_named")
+    shape = F.coalesce("record_shape", F.lit("whole")).alias("shape")
+    # commas of the raw text, to see that all its fields were kept
+    commas = F.length("raw_record") - F.length(F.replace("raw_record", F.lit(","), F.lit("")))
+    return raw.groupBy("alert_level", "status", shape).agg(
+        F.count("*").alias("n_rows"), F.count("station_name").alias("n_named"), F.sum(commas).alias("n_commas")
     )
 
 
@@ -589,7 +591,11 @@ def run_stream(spark: SparkSession, sf_dir: str) -> Store:
     """Both streaming jobs over everything that has landed."""
     store = new_store(spark, sf_dir, "stream")
     config = replace(CONFIG, gate=NOTHING_FAILS)
-    jobs.run_once(store, _landed(spark, sf_dir), LOAD_TS, config, whole_files=False, json_glob="*.txt")
+    status = jobs.run_once(
+        store, _landed(spark, sf_dir), LOAD_TS, config, whole_files=False, json_glob="*.txt"
+    )
+    if status.code:
+        raise quality.QualityGateError(list(status.failed_checks))
     return store
 
 
@@ -597,6 +603,24 @@ def _streamed(spark: SparkSession, sf_dir: str) -> Store:
     return _kept(spark, sf_dir, "stream", run_stream)
 
 
+def stream_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that land in two folders, by time: one stream loads both, and each file once."""
+    store = new_store(spark, sf_dir, "roots")
+    bodies = given.api_bodies(spark, sf_dir)
+    early = F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")
+    roots = [scratch_path(spark, name) for name in ("early", "late")]
+    for root, half in zip(roots, (bodies.filter(early), bodies.filter(~early)), strict=True):
+        half.select("data.*").write.json(root)
+    for _ in range(2):
+        for query in jobs.stream_bronze(store, roots, F.lit(LOAD_TS), whole_files=False):
+            query.awaitTermination()
+    folder = F.when(F.col("source_file").contains(roots[0].split("/")[-1]), "early").otherwise("late")
+    rows = spark.read.parquet(store.path(jobs.API_BRONZE))
+    return rows.groupBy(folder.alias("folder")).agg(
+        F.count("*").alias("n_docs"), F.count_if(F.col("reject_reason").isNull()).alias("n_good")
+    )
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows the streaming load put into the two bronze tables."""
     store = _streamed(spark, sf_dir)
@@ -688,6 +712,7 @@ QUERIES: dict[str, Query] = {
     "gated_run": gated_run,
     "batch_run": batch_run,
     "reject_counts": reject_counts,
+    "stream_roots": stream_roots,
     "stream_ingest": stream_ingest,
     "stream_fact": stream_fact,
     "stream_dim_station": stream_dim_station,

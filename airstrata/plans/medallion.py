@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from airstrata.config import CITY_MAP, CITY_REFERENCE, RunConfig
 from airstrata.operators.conform import tagged
 from airstrata.operators.dimensions import (
+    STATION_BUCKET,
     dim_date,
     dim_time,
     merge_city,
@@ -19,16 +20,17 @@ from airstrata.operators.dimensions import (
     station_candidates,
 )
 from airstrata.operators.fact import build_fact
-from airstrata.operators.marts import Partials, Star, build_marts
+from airstrata.operators.marts import Star, build_marts, refresh_marts
 from airstrata.operators.quality import QualityGateError, run_gate
 from airstrata.operators.quarantine import REASON, accepted, rejected
 from airstrata.schemas import API_RAW, CSV_RAW, TABLES
 from airstrata.schemas import CITY_MAP as CITY_MAP_SCHEMA
 from airstrata.schemas import CITY_REFERENCE as CITY_REFERENCE_SCHEMA
 from airstrata.session import materialize, scratch_scope
-from airstrata.sources.documents import JSON_GLOB, ingest_api
-from airstrata.sources.history import CSV_GLOB, ingest_csv
-from airstrata.sources.ledger import literal_paths, pending, record
+from airstrata.sources.documents import JSON_GLOB, parse_documents, scan_text, tag_api
+from airstrata.sources.history import clean_csv, scan_csv, shape_counts
+from airstrata.sources.landing import landing_roots
+from airstrata.sources.ledger import finish_load, finished_load, fix_roots, load_files
 from airstrata.sources.store import Store
 
 
@@ -65,23 +67,25 @@ def load_bronze(
     load_ts,
     whole_files: bool = True,
     json_glob: str = JSON_GLOB,
+    config: RunConfig = RunConfig(),
 ) -> int:
     """Load the files not loaded yet; returns how many there were.
 
-    Each table is written once, split by whether rows were rejected, so the
-    quarantine costs no second pass.
+    Two file streams run over what is new and end, so the files are listed by Spark's file
+    source, and its checkpoint keeps them from being loaded again. A batch whose load was
+    completed is not loaded again, whatever has landed since.
     """
-    docs = pending(store, roots, json_glob, "bronze", batch)
-    texts = pending(store, roots, CSV_GLOB, "bronze", batch)
-    if docs:
-        store.append(
-            "bronze/api_raw", ingest_api(store.spark, literal_paths(docs), load_ts, whole_files, json_glob), batch
-        )
-    if texts:
-        store.append("bronze/historical_csv", ingest_csv(store.spark, literal_paths(texts), load_ts), batch)
-    if docs or texts:
-        record(store, docs + texts, "bronze", load_ts, batch)
-    return len(docs) + len(texts)
+    done = finished_load(store, "bronze", batch)
+    if done is not None:
+        return done
+    folders = landing_roots(roots)
+    fix_roots(store, folders)
+    texts = scan_text(store.spark, folders, whole_files, json_glob, stream=True)
+    documents = tag_api(parse_documents(texts), load_ts, config.city_from_folder)
+    load_files(store, documents, "bronze/api_raw", "bronze", load_ts, batch)
+    records = scan_csv(store.spark, folders, stream=True, multi_line=config.multi_line)
+    load_files(store, clean_csv(records, load_ts), "bronze/historical_csv", "bronze", load_ts, batch)
+    return finish_load(store, "bronze", batch)
 
 
 def star(store: Store, upto: int | None = None) -> Star:
@@ -102,6 +106,31 @@ def gold(store: Store, mart: str, before: int | None = None) -> DataFrame:
     return store.spark.createDataFrame([], TABLES[f"gold/{mart}"]) if table is None else table
 
 
+KEY_MARK = "control/station_keys"
+
+
+def upsert_stations(
+    store: Store, candidates: DataFrame, batch: int, load_ts, order_free: bool = False
+) -> None:
+    """Merge candidates into the buckets of the station dimension that they fall into.
+
+    The other buckets keep their files. The highest key given out so far is stored per
+    batch, so that new keys need no look at the other buckets.
+    """
+    buckets = candidates.select(F.expr(STATION_BUCKET).alias("part")).distinct().collect()
+    touched = {r["part"] for r in buckets}
+    marked = store.current(KEY_MARK, before=batch)
+    highest = marked.first()["highest"] if marked is not None else 0
+    known = store.read_parts("silver/dim_station", touched, before=batch)
+    merged = merge_station(known, candidates, load_ts, order_free, highest + 1)
+    written = store.patch(
+        "silver/dim_station", merged, batch, STATION_BUCKET, touched, ["waqi_idx", "city_key"]
+    )
+    highest = written.agg(F.greatest(F.max("station_key"), F.lit(highest)).alias("highest"))
+    store.replace(KEY_MARK, highest.withColumn("highest", F.coalesce("highest", F.lit(0)).cast("long")), batch)
+    store.expire(KEY_MARK, batch - 1)
+
+
 def load_silver(
     store: Store, measurements: DataFrame, batch: int, load_ts, order_free: bool = False
 ) -> Star:
@@ -123,16 +152,9 @@ def load_silver(
         ),
         batch,
     )
-    stations = store.replace(
-        "silver/dim_station",
-        merge_station(
-            store.current("silver/dim_station", before=batch),
-            materialize(station_candidates(snapshot, cities), "candidates"),
-            load_ts,
-            order_free,
-        ),
-        batch,
-    )
+    candidates = materialize(station_candidates(snapshot, cities), "candidates")
+    upsert_stations(store, candidates, batch, load_ts, order_free)
+    stations = store.current("silver/dim_station", before=batch + 1)
     dates, times = store.current("silver/dim_date"), store.current("silver/dim_time")
     store.append("silver/fact_aqi", build_fact(snapshot, dates, times, cities, stations), batch)
     return star(store, upto=batch)
@@ -144,20 +166,23 @@ def finish(
     batch: int,
     load_ts,
     config: RunConfig = RunConfig(),
-    partials: Partials | None = None,
+    incremental: bool = False,
     counted: DataFrame | None = None,
 ) -> RunStatus:
     """Gate, then gold; gold is not touched when the gate fails.
 
-    ``partials`` and ``counted`` carry what earlier batches have stored; without
-    them the gate and the marts read the whole fact.
+    ``counted`` carries the counters that earlier batches have stored, and ``incremental``
+    says that the marts' state is stored too; else the gate and the marts read the whole fact.
     """
     reference = store.current("control/city_reference")
     try:
         run_gate(silver, reference, store, batch, load_ts, config.gate, counted)
     except QualityGateError as error:
         return RunStatus(1, tuple(error.failed))
-    build_marts(silver, store, batch, config.decimals, partials, load_ts)
+    if incremental:
+        refresh_marts(silver, store, batch, config.decimals, load_ts)
+    else:
+        build_marts(silver, store, batch, config.decimals, at=load_ts)
     return RunStatus(0)
 
 
@@ -172,7 +197,7 @@ def run_medallion(
 ) -> RunStatus:
     """Load new files and take them through all layers."""
     with scratch_scope(store.spark):
-        load_bronze(store, roots, batch, load_ts, whole_files, json_glob)
+        load_bronze(store, roots, batch, load_ts, whole_files, json_glob, config)
         api = store.batch("bronze/api_raw", batch, API_RAW).filter("reject_reason is null")
         csv = store.batch("bronze/historical_csv", batch, CSV_RAW)
         rows = tagged(api, csv, store.current("control/city_map"))
@@ -181,8 +206,12 @@ def run_medallion(
 
 
 def quarantine(store: Store) -> DataFrame:
-    """Everything that was refused: where, why and how often."""
+    """Everything that was refused, or kept cut or padded: where, why and how often."""
     counts = []
+    records = store.appended("bronze/historical_csv")
+    if records is not None:
+        shapes = F.concat(F.lit("record_"), "record_shape").alias(REASON)
+        counts.append(shape_counts(records).select(F.lit("bronze").alias("layer"), shapes, "n_rows"))
     for layer, table in (("bronze", "bronze/api_raw"), ("silver", "silver/measurement")):
         rows = store.appended(table)
         if rows is not None:

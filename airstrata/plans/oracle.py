@@ -359,9 +359,12 @@ ORACLE_SQL = {
     "csv_arity": f"""SELECT
     CASE WHEN o_orderstatus <> 'F' THEN {_level("o_totalprice / 1000", _ALERTS, "hazardous")} END
       AS alert_level,
-    CASE WHEN o_orderstatus <> 'F' THEN 'ok' END AS status, count(*) AS n_rows,
-    count(*) AS n_named
-  FROM orders GROUP BY 1, 2""",
+    CASE WHEN o_orderstatus <> 'F' THEN 'ok' END AS status,
+    CASE o_orderstatus WHEN 'F' THEN 'padded' WHEN 'P' THEN 'cut' ELSE 'whole' END AS shape,
+    count(*) AS n_rows, count(*) AS n_named,
+    CAST(sum(CASE o_orderstatus WHEN 'F' THEN 18 WHEN 'P' THEN 22 END) AS BIGINT) AS n_commas
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY 1, 2, 3""",
     "file_ledger": """SELECT CAST(load AS INT) AS load, count(ts) AS n_docs, count(ts) AS n_good
   FROM (VALUES (1), (2), (3)) loads(load)
   LEFT JOIN events ON load = CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END GROUP BY 1""",
@@ -494,6 +497,9 @@ ORACLE_SQL = {
     CASE WHEN count(*) FILTER (aqi > 500) > 0 THEN 'aqi_range,null_pct' ELSE 'null_pct' END
       AS failed, CAST(0 AS BIGINT) AS n_daily FROM fact
   UNION ALL SELECT 'relaxed', 0, '', count(*) FROM (SELECT DISTINCT {_DAY_KEYS} FROM fact)""",
+    "stream_roots": """SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'early' ELSE 'late' END AS folder,
+    count(*) AS n_docs, count(*) AS n_good
+  FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
     "stream_ingest": """SELECT 'api' AS feed, count(*) AS n_rows FROM events
   UNION ALL SELECT 'history', count(*) FROM orders""",
     "stream_fact": _with(*SILVER)

@@ -61,7 +61,9 @@ API_RAW = (
     "queried_city string, raw_payload variant, ingested_at timestamp_ntz, "
     "source_file string, reject_reason string"
 )
-CSV_RAW = HISTORY_CSV + ", ingested_at timestamp_ntz, source_file string"
+CSV_RAW = (
+    HISTORY_CSV + ", ingested_at timestamp_ntz, source_file string, raw_record string, record_shape string"
+)
 
 CITY_MAP = "source_city string, conformed_city string"
 CITY_REFERENCE = "city_slug string, city_name string, region string, lat double, lon double"
@@ -153,3 +155,15 @@ TABLES = {
         "aggregated_at timestamp_ntz"
     ),
 }
+
+# tables stored in parts, of which a batch rewrites only those it touches
+PARTITIONED = {
+    "gold/daily_summary",
+    "gold/station_summary",
+    "gold/seasonal_summary",
+    "gold_state/day",
+    "gold_state/station_day",
+    "gold_state/station_month",
+    "gold_state/monthly",
+    "silver/dim_station",
+}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from airstrata.functions.parsing import doc_child, doc_string
 from airstrata.operators.quarantine import tag_rejects
+from airstrata.sources.landing import scan_files
 
 JSON_GLOB = "*.json"
 
@@ -25,20 +26,11 @@ def scan_text(
 
     ``whole_files`` reads a file as one text: an object, or an array of objects,
     on any number of lines. Without it a file holds one text per line, which is
-    the shape for bulk loads, as such files can be split between tasks.
+    the shape for bulk loads, as such files can be split between tasks. Folders do not
+    lie inside one another.
     """
-    reader = spark.readStream if stream else spark.read
-    reader = (
-        reader.format("text")
-        .option("wholetext", whole_files)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-    )
-    if stream and files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    table = reader.load(paths[0]) if stream else reader.load(paths)
-    return table.select("value", F.col("_metadata.file_path").alias("source_file"))
+    reader = (spark.readStream if stream else spark.read).format("text").option("wholetext", whole_files)
+    return scan_files(reader, paths, ["value"], glob, stream, files_per_batch)
 
 
 def parse_documents(texts: DataFrame, text: str = "value") -> DataFrame:
@@ -62,12 +54,16 @@ def _folder_of(file_path: Column) -> Column:
     return F.element_at(F.split(file_path, "/"), -2)
 
 
-def queried_city() -> Column:
-    """The city a response was asked for, in the wrapped or the bare shape."""
+def queried_city(from_folder: bool = False) -> Column:
+    """The city a response was asked for, in the wrapped or the bare shape.
+
+    ``from_folder`` falls back to the name of the folder the file landed in.
+    """
     payload = F.col("raw_payload")
-    return F.coalesce(
-        doc_string(payload, "$.data._queried_city"), doc_string(payload, "$._queried_city")
-    )
+    found = [doc_string(payload, "$.data._queried_city"), doc_string(payload, "$._queried_city")]
+    if from_folder:
+        found.append(_folder_of(F.col("source_file")))
+    return F.coalesce(*found)
 
 
 def envelope_ok() -> Column:
@@ -82,28 +78,23 @@ def envelope_gate(documents: DataFrame, city_from_folder: bool = False) -> DataF
 
     ``city_from_folder`` falls back to the folder name of the landing path.
     """
-    city = queried_city()
-    if city_from_folder:
-        city = F.coalesce(city, _folder_of(F.col("source_file")))
+    city = queried_city(city_from_folder)
     return documents.filter(envelope_ok()).withColumn("queried_city", city)
 
 
-def tag_api(documents: DataFrame, load_ts) -> DataFrame:
+API_REASONS = ("malformed_json", "status_not_ok", "no_queried_city")
+
+
+def tag_api(documents: DataFrame, load_ts, city_from_folder: bool = False) -> DataFrame:
     """Bronze document rows with the reason for a reject, NULL for good rows."""
     rows = documents.select(
-        queried_city().alias("queried_city"),
+        queried_city(city_from_folder).alias("queried_city"),
         "raw_payload",
         F.lit(load_ts).cast("timestamp_ntz").alias("ingested_at"),
         "source_file",
     )
-    return tag_rejects(
-        rows,
-        {
-            "malformed_json": F.col("raw_payload").isNull(),
-            "status_not_ok": ~envelope_ok(),
-            "no_queried_city": F.col("queried_city").isNull(),
-        },
-    )
+    broken = [F.col("raw_payload").isNull(), ~envelope_ok(), F.col("queried_city").isNull()]
+    return tag_rejects(rows, dict(zip(API_REASONS, broken, strict=True)))
 
 
 def ingest_api(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airstrata.functions.parsing import null_tokens_to_null
 from airstrata.schemas import CSV_COLUMNS, HISTORY_CSV
+from airstrata.sources.landing import scan_files
 
 CSV_GLOB = "*.csv"
 
@@ -25,37 +26,58 @@ def scan_csv(
 
     ``multi_line`` lets quoted texts hold line breaks; a file is then read by one task.
 
-    Short records are padded with NULL and long ones cut: permissive mode does
-    so as long as no column for corrupt records is asked for.
+    Short records are padded with NULL and long ones cut. ``raw_record`` holds the text of
+    such a record, and of one whose quotes do not match; it is NULL for a record that fits.
     """
-    reader = spark.readStream if stream else spark.read
     reader = (
-        reader.format("csv")
-        .schema(HISTORY_CSV)
+        (spark.readStream if stream else spark.read)
+        .format("csv")
+        .schema(f"{HISTORY_CSV}, raw_record string")
+        .option("columnNameOfCorruptRecord", "raw_record")
+        # the number of fields shows only when all are read
+        .option("columnPruning", False)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("multiLine", multi_line)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
     )
-    if stream and files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    table = reader.load(paths[0]) if stream else reader.load(paths)
-    return table.select(*CSV_COLUMNS, F.col("_metadata.file_path").alias("source_file"))
+    return scan_files(reader, paths, [*CSV_COLUMNS, "raw_record"], glob, stream, files_per_batch)
+
+
+def record_shape(raw_record: Column) -> Column:
+    """``cut`` for a text with more fields than columns, ``padded`` for one with fewer.
+
+    NULL for a NULL text; ``malformed`` where the number of fields fits.
+    """
+    # quoted fields may hold commas
+    bare = F.regexp_replace(raw_record, r'(^|,)"(?:[^"]|"")*"', "$1")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return (
+        F.when(fields > len(CSV_COLUMNS), "cut")
+        .when(fields < len(CSV_COLUMNS), "padded")
+        .when(fields.isNotNull(), "malformed")
+    )
 
 
 def clean_csv(records: DataFrame, load_ts) -> DataFrame:
-    """Null tokens become NULL in every column; the load time is added."""
+    """Null tokens become NULL in every column; load time and shape are added."""
+    raw = F.col("raw_record") if "raw_record" in records.columns else F.lit(None).cast("string")
     return records.select(
         *[null_tokens_to_null(F.col(c)).alias(c) for c in CSV_COLUMNS],
         F.lit(load_ts).cast("timestamp_ntz").alias("ingested_at"),
         "source_file",
+        raw.alias("raw_record"),
+        record_shape(raw).alias("record_shape"),
     )
 
 
+def shape_counts(csv_raw: DataFrame) -> DataFrame:
+    """record_shape and n_rows of the records that do not fit the columns."""
+    odd = csv_raw.filter(F.col("record_shape").isNotNull())
+    return odd.groupBy("record_shape").agg(F.count("*").alias("n_rows"))
+
+
 def ingest_csv(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -4,18 +4,22 @@ A replaced table gets a folder per version, which counts once Spark has marked
 its write as successful; an appended table gets a folder per batch. A replayed
 batch overwrites its own folders, so a run that died half-way is simply run
 again.
+
+A partitioned table is replaced part by part: a version holds the parts it rewrites, and a
+small table beside it says which version each part is in. Other parts keep their files.
+Parts are months, years or hash buckets, so there are few of them whatever the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airstrata.schemas import TABLES
+from airstrata.schemas import PARTITIONED, TABLES
 from airstrata.session import delete_path, glob_paths
 
 
@@ -54,8 +58,61 @@ class Store:
         df.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def patch(
+        self,
+        name: str,
+        df: DataFrame,
+        version: int,
+        part: str,
+        touched: Collection[int] | None = None,
+        sort_by: Sequence[str] = (),
+    ) -> DataFrame:
+        """Write the ``touched`` parts of a partitioned table as a version; returns them.
+
+        ``part`` is the SQL expression of the number of a row's part.
+        ``df`` holds all rows of these parts; a part without rows is gone. None touches all
+        parts, also those that ``df`` has no rows for.
+        """
+        target = self._version_path(name, version)
+        before = self.parts(name, before=version)
+        # adaptive execution splits a large part over tasks and puts small ones together
+        spread = df.withColumn("part", F.expr(part).cast("int")).hint("rebalance", "part")
+        spread = spread.sortWithinPartitions("part", *sort_by)
+        spread.write.mode("overwrite").partitionBy("part").parquet(target)
+        written = [int(p.split("/part=")[-1]) for p in glob_paths(self.spark, f"{target}/part=*")]
+        kept = {} if touched is None else {p: v for p, v in before.items() if p not in touched}
+        rows = [*kept.items(), *((p, version) for p in written)]
+        # the new parts count from here on
+        listed = self.spark.createDataFrame(rows, "part int, version int").coalesce(1)
+        self.replace(f"{name}.parts", listed, version)
+        return self._read_parts(name, dict.fromkeys(written, version), df.schema)
+
+    def parts(self, name: str, before: int | None = None) -> dict[int, int]:
+        """The version that each part of a partitioned table is in."""
+        table = self.current(f"{name}.parts", before)
+        return {} if table is None else {r["part"]: r["version"] for r in table.collect()}
+
+    def _read_parts(self, name: str, parts: dict[int, int], schema) -> DataFrame:
+        paths = [f"{self._version_path(name, v)}/part={p}" for p, v in sorted(parts.items())]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def read_parts(
+        self, name: str, only: Collection[int] | None = None, before: int | None = None
+    ) -> DataFrame | None:
+        """The given parts, or all, of a partitioned table; None if there are none."""
+        parts = {p: v for p, v in self.parts(name, before).items() if only is None or p in only}
+        schema = TABLES.get(name)
+        if schema is None and parts:
+            part, version = next(iter(parts.items()))
+            schema = self.spark.read.parquet(f"{self._version_path(name, version)}/part={part}").schema
+        return self._read_parts(name, parts, schema) if parts else None
+
     def versions(self, name: str) -> list[int]:
         """Versions whose write was completed, oldest first."""
+        if name in PARTITIONED:
+            name = f"{name}.parts"
         done = glob_paths(self.spark, f"{self.path(name)}/v=*/_SUCCESS")
         return sorted(int(path.split("/v=")[-1].split("/")[0]) for path in done)
 
@@ -68,17 +125,43 @@ class Store:
         version = self.current_version(name, before)
         if version is None:
             return None
+        if name in PARTITIONED:
+            table = self.read_parts(name, before=before)
+            if table is None and name in TABLES:
+                table = self.spark.createDataFrame([], TABLES[name])
+            return table
         return read_if_exists(self.spark, self._version_path(name, version), TABLES.get(name))
 
     def expire(self, name: str, before: int) -> None:
-        """Delete the versions of a replaced table older than ``before``."""
+        """Delete the versions of a replaced table older than ``before``.
+
+        Of a partitioned table those parts stay that a remaining version still reads.
+        """
+        if name in PARTITIONED:
+            current = self.versions(name)
+            live = {
+                f"/v={v}/part={p}"
+                for version in current
+                if version >= before
+                for p, v in self.parts(name, before=version + 1).items()
+            }
+            for path in glob_paths(self.spark, f"{self.path(name)}/v=*/part=*"):
+                place = path[path.rindex("/v=") :]
+                if int(place.split("/")[1][2:]) < before and place not in live:
+                    delete_path(self.spark, path)
+            name = f"{name}.parts"
         for version in self.versions(name):
             if version < before:
                 delete_path(self.spark, self._version_path(name, version))
 
-    def append(self, name: str, df: DataFrame, batch_id: int) -> DataFrame:
-        """Write a batch of an append-only table; the same batch again replaces it."""
-        target = f"{self.path(name)}/batch_id={batch_id}"
+    def append(
+        self, name: str, df: DataFrame, batch_id: int, load: str | None = None
+    ) -> DataFrame:
+        """Write a batch of an append-only table; the same batch again replaces it.
+
+        A table whose batches are made of several loads names each.
+        """
+        target = f"{self.path(name)}/batch_id={batch_id}" + (f"/load={load}" if load else "")
         df.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
@@ -92,9 +175,9 @@ class Store:
             return None
         if upto is not None:
             table = table.filter(F.col("batch_id") <= upto)
-        return table.drop("batch_id")
+        return table.drop("batch_id", "load")
 
     def batch(self, name: str, batch_id: int, schema: str) -> DataFrame:
         """One batch of an append-only table, empty if it was never written."""
         table = read_if_exists(self.spark, f"{self.path(name)}/batch_id={batch_id}", schema)
-        return self.spark.createDataFrame([], schema) if table is None else table
+        return self.spark.createDataFrame([], schema) if table is None else table.drop("load")

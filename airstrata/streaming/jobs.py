@@ -9,6 +9,7 @@ failure overwrites what it had written.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -25,6 +26,8 @@ from airstrata.schemas import API_RAW, CSV_RAW, TABLES
 from airstrata.session import scratch_scope
 from airstrata.sources.documents import JSON_GLOB, parse_documents, scan_text, tag_api
 from airstrata.sources.history import CSV_GLOB, clean_csv, scan_csv
+from airstrata.sources.landing import landing_roots
+from airstrata.sources.ledger import fix_roots
 from airstrata.sources.store import Store
 
 # fixed value: how often the incremental run starts as a service
@@ -50,15 +53,18 @@ def _to_bronze(store: Store, rows: DataFrame, table: str, once: bool) -> Streami
 
 def stream_bronze(
     store: Store,
-    root: str,
+    root: str | Sequence[str],
     load_ts: Column | None = None,
     once: bool = True,
     whole_files: bool = True,
     files_per_batch: int | None = None,
     json_glob: str = JSON_GLOB,
     csv_glob: str = CSV_GLOB,
+    config: RunConfig = RunConfig(),
 ) -> list[StreamingQuery]:
-    """Load new files below ``root`` into the two bronze tables.
+    """Load new files below one or several folders into the two bronze tables.
+
+    The folders are those of the first start, as the checkpoint keeps an offset for each.
 
     ``once`` works off what is there and ends; otherwise the jobs keep running
     and look for files every five minutes.
@@ -66,10 +72,13 @@ def stream_bronze(
     # the gate compares load times with UTC, whatever the session's zone is
     now = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     load_ts = now if load_ts is None else load_ts
-    texts = scan_text(store.spark, root, whole_files, json_glob, True, files_per_batch)
-    records = scan_csv(store.spark, root, csv_glob, True, files_per_batch)
+    roots = landing_roots(root)
+    fix_roots(store, roots)
+    texts = scan_text(store.spark, roots, whole_files, json_glob, True, files_per_batch)
+    records = scan_csv(store.spark, roots, csv_glob, True, files_per_batch, config.multi_line)
+    documents = tag_api(parse_documents(texts), load_ts, config.city_from_folder)
     return [
-        _to_bronze(store, tag_api(parse_documents(texts), load_ts), API_BRONZE, once),
+        _to_bronze(store, documents, API_BRONZE, once),
         _to_bronze(store, clean_csv(records, load_ts), CSV_BRONZE, once),
     ]
 
@@ -107,8 +116,8 @@ def process_batch(
         fresh = replace(silver, fact=added)
         advance_profile(store, fresh, batch, config.gate)
         counted = stored_profile(store, silver, batch, config.gate, load_ts)
-        partials = Partials.of(fresh, config.decimals).advance(store, batch)
-        status = finish(store, silver, batch, load_ts, config, partials, counted)
+        Partials.scanned(fresh, config.decimals).advance(store, batch)
+        status = finish(store, silver, batch, load_ts, config, True, counted)
     if config.keep_versions and batch > config.keep_versions:
         for table in ("silver/dim_city", "silver/dim_station", *(f"gold/{m}" for m in LAYOUT)):
             # the newest version stays, even if the gate has held gold back
@@ -125,6 +134,7 @@ def stream_gold(
     once: bool = True,
     stop_on_failure: bool = False,
     files_per_batch: int | None = None,
+    on_status: Callable[[RunStatus], None] | None = None,
 ) -> StreamingQuery:
     """Follow bronze up to gold.
 
@@ -137,6 +147,8 @@ def stream_gold(
     def handle(rows: DataFrame, batch_id: int) -> None:
         now = load_ts or datetime.now(timezone.utc).replace(tzinfo=None)
         status = process_batch(store, rows, batch_id + 1, now, config)
+        if on_status:
+            on_status(status)
         if status.code and stop_on_failure:
             raise QualityGateError(list(status.failed_checks))
 
@@ -151,17 +163,23 @@ def stream_gold(
 
 def run_once(
     store: Store,
-    root: str,
+    root: str | Sequence[str],
     load_ts,
     config: RunConfig = RunConfig(),
     whole_files: bool = True,
     files_per_batch: int | None = None,
     json_glob: str = JSON_GLOB,
-) -> None:
-    """Take everything that has landed through all layers, then return."""
+) -> RunStatus:
+    """Take everything that has landed through all layers, then return how it ended.
+
+    The gate judges all that was loaded so far, so the status is that of the last batch; it
+    is 0 if there was nothing new.
+    """
     stamp = F.lit(load_ts)
     for query in stream_bronze(
-        store, root, stamp, True, whole_files, files_per_batch, json_glob
+        store, root, stamp, True, whole_files, files_per_batch, json_glob, config=config
     ):
         query.awaitTermination()
-    stream_gold(store, load_ts, config, True, False, files_per_batch).awaitTermination()
+    seen = [RunStatus(0)]
+    stream_gold(store, load_ts, config, True, False, files_per_batch, seen.append).awaitTermination()
+    return seen[-1]
