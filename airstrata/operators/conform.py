@@ -145,6 +145,14 @@ def conform_csv(csv_raw: DataFrame, city_map: DataFrame) -> DataFrame:
     return accepted(tagged_csv(csv_raw, city_map)).select(*MEASUREMENT_COLUMNS)
 
 
+RECORD_REASONS = (
+    "aqi_not_numeric",
+    "no_station_id",
+    "no_station_name",
+    "station_not_numeric",
+)
+
+
 def tagged(api_raw: DataFrame, csv_raw: DataFrame, city_map: DataFrame) -> DataFrame:
     """Both feeds in one schema, with the reason for a reject.
 

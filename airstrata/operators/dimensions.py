@@ -108,7 +108,7 @@ def station_candidates(measurements: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 # fixed for the life of a store: the part a station is in, from its natural key
-STATION_BUCKETS = 64
+STATION_BUCKETS = 16
 STATION_BUCKET = f"pmod(xxhash64(waqi_idx, city_key), {STATION_BUCKETS})"
 
 

@@ -66,6 +66,17 @@ def build_fact(
     )
 
 
+# the outcomes of a measurement, the first that applies
+OUTCOMES = (
+    "no_timestamp",
+    "unknown_city",
+    "unknown_station",
+    "date_outside_calendar",
+    "time_not_on_the_hour",
+    "kept",
+)
+
+
 def drop_reason() -> Column:
     return (
         F.when(F.col("measured_at").isNull(), "no_timestamp")
@@ -77,6 +88,20 @@ def drop_reason() -> Column:
     )
 
 
+def keyed_measurements(
+    measurements: DataFrame,
+    dates: DataFrame,
+    times: DataFrame,
+    cities: DataFrame,
+    stations: DataFrame,
+) -> DataFrame:
+    """Fact columns of every measurement and its ``outcome``; keys are missing where it has no row."""
+    keyed = _with_keys(measurements, dates, times, cities, stations, "left")
+    return keyed.withColumn("pollution_level", aqi_category(F.col("aqi"))).select(
+        *FACT_COLUMNS, drop_reason().alias("outcome")
+    )
+
+
 def fact_outcomes(
     measurements: DataFrame,
     dates: DataFrame,

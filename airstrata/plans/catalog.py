@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ from airstrata.operators.dimensions import (
 from airstrata.operators.fact import build_fact, fact_outcomes
 from airstrata.operators.ordering import dense_rank_desc, dense_rank_desc_within
 from airstrata.operators.upsert import allocate_keys
+from airstrata.plans import surface
 from airstrata.plans.medallion import (
+    as_of,
     finish,
     gold,
     load_bronze,
@@ -33,7 +36,7 @@ from airstrata.plans.medallion import (
     star,
 )
 from airstrata.schemas import API_RAW, CSV_COLUMNS, TABLES
-from airstrata.session import folder_state, materialize, scratch_path
+from airstrata.session import folder_state, materialize, scratch_path, scratch_scope
 from airstrata.sources import documents, given, history
 from airstrata.sources.store import Store
 from airstrata.streaming import jobs
@@ -578,6 +581,54 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).join(daily, how="left")
 
 
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a silver load counted while it wrote: rows by step and outcome."""
+    store = new_store(spark, sf_dir, "report")
+    api, csv = given.api_raw(spark, sf_dir), given.csv_raw(spark, sf_dir)
+    with scratch_scope(spark):
+        load_silver(store, tagged(api, csv, given.city_map(spark, sf_dir)), 1, LOAD_TS)
+    return store.batch("control/run_report", 1, TABLES["control/run_report"]).filter("n_rows > 0")
+
+
+def asof_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table at two moments, each after one of two loads."""
+    store = new_store(spark, sf_dir, "moments")
+    config = replace(CONFIG, gate=GateConfig(stop_on=()))
+    loads = [datetime(2024, 1, 31), datetime(2024, 2, 2)]
+    with scratch_scope(spark):
+        for batch, rows in enumerate(_two_batches(spark, sf_dir), 1):
+            at = loads[batch - 1]
+            finish(store, load_silver(store, rows, batch, at), batch, at, config)
+    counts = []
+    for at in (datetime(2024, 2, 1), datetime(2024, 3, 1)):
+        then = as_of(store, at)
+        tables = {"dim_station": then.star.stations, "fact_aqi": then.star.fact, **then.marts}
+        for name, rows in tables.items():
+            counts.append(
+                rows.agg(F.lit(then.batch).alias("batch"), F.lit(name).alias("name"), F.count("*").alias("n_rows"))
+            )
+    return reduce(DataFrame.unionByName, counts)
+
+
+def star_slice_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slice of the star as plain SQL over the registered views and function."""
+    surface.register(silver_store(spark, sf_dir))
+    return spark.sql(
+        """SELECT c.city_name, d.season, t.time_of_day, aqi_category(max(f.aqi)) AS worst_level,
+             count(*) AS n_rows, count(DISTINCT s.waqi_idx) AS n_stations
+           FROM fact_aqi f JOIN dim_city c USING (city_key) JOIN dim_date d USING (date_key)
+             JOIN dim_time t USING (time_key) JOIN dim_station s USING (station_key)
+           GROUP BY 1, 2, 3"""
+    )
+
+
+def nested_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each path occurs in the documents, at any depth, and how often as a number."""
+    rows = documents.flatten(given.api_raw(spark, sf_dir).select("raw_payload"), deep=True)
+    number = F.try_variant_get("value", "$", "decimal(38,5)")
+    return rows.groupBy("path", "key", "index").agg(F.count("*").alias("n_rows"), F.count(number).alias("n_numbers"))
+
+
 def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is refused or cannot be read, by layer and reason."""
     api, csv = given.api_raw(spark, sf_dir), given.csv_raw(spark, sf_dir)
@@ -712,6 +763,10 @@ QUERIES: dict[str, Query] = {
     "gated_run": gated_run,
     "batch_run": batch_run,
     "reject_counts": reject_counts,
+    "run_report": run_report,
+    "asof_star": asof_star,
+    "star_slice_sql": star_slice_sql,
+    "nested_flatten": nested_flatten,
     "stream_roots": stream_roots,
     "stream_ingest": stream_ingest,
     "stream_fact": stream_fact,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airstrata.config import CITY_MAP, CITY_REFERENCE, RunConfig
-from airstrata.operators.conform import tagged
+from airstrata.operators.conform import RECORD_REASONS, tagged
 from airstrata.operators.dimensions import (
     STATION_BUCKET,
     dim_date,
@@ -19,11 +19,12 @@ from airstrata.operators.dimensions import (
     merge_station,
     station_candidates,
 )
-from airstrata.operators.fact import build_fact
-from airstrata.operators.marts import Star, build_marts, refresh_marts
+from airstrata.operators.fact import OUTCOMES, keyed_measurements
+from airstrata.operators.marts import LAYOUT, Star, build_marts, refresh_marts
 from airstrata.operators.quality import QualityGateError, run_gate
 from airstrata.operators.quarantine import REASON, accepted, rejected
-from airstrata.schemas import API_RAW, CSV_RAW, TABLES
+from airstrata.operators.report import RunReport
+from airstrata.schemas import API_RAW, BATCH_LOG, CSV_RAW, FACT_COLUMNS, TABLES
 from airstrata.schemas import CITY_MAP as CITY_MAP_SCHEMA
 from airstrata.schemas import CITY_REFERENCE as CITY_REFERENCE_SCHEMA
 from airstrata.session import materialize, scratch_scope
@@ -143,6 +144,8 @@ def load_silver(
     """
     if REASON not in measurements.columns:
         measurements = measurements.withColumn(REASON, F.lit(None).cast("string"))
+    report = RunReport()
+    measurements = report.by_value("conform", measurements, REASON, RECORD_REASONS)
     snapshot = accepted(store.append("silver/measurement", measurements, batch))
     cities = store.replace(
         "silver/dim_city",
@@ -156,10 +159,45 @@ def load_silver(
     upsert_stations(store, candidates, batch, load_ts, order_free)
     stations = store.current("silver/dim_station", before=batch + 1)
     dates, times = store.current("silver/dim_date"), store.current("silver/dim_time")
-    store.append("silver/fact_aqi", build_fact(snapshot, dates, times, cities, stations), batch)
+    keyed = keyed_measurements(snapshot, dates, times, cities, stations)
+    keyed = report.by_value("fact", keyed, "outcome", OUTCOMES)
+    fact = keyed.filter("outcome = 'kept'").select(*FACT_COLUMNS)
+    store.append("silver/fact_aqi", fact, batch)
+    report.save(store, batch)
+    log = store.spark.createDataFrame([(batch, load_ts)], BATCH_LOG).coalesce(1)
+    store.append("control/batch_log", log, batch)
     return star(store, upto=batch)
 
 
+def batch_at(store: Store, moment) -> int | None:
+    """The last batch that was loaded up to a moment, from the log; None if there was none."""
+    log = store.appended("control/batch_log")
+    if log is None:
+        return None
+    return log.filter(F.col("loaded_at") <= F.lit(moment).cast("timestamp_ntz")).agg(F.max("batch")).first()[0]
+
+
+@dataclass(frozen=True)
+class Moment:
+    """All layers as they were at a moment: the silver star and the marts by name."""
+
+    batch: int
+    star: Star
+    marts: dict[str, DataFrame]
+
+
+def as_of(store: Store, moment) -> Moment | None:
+    """Dimensions, fact and marts of the last batch loaded up to a moment.
+
+    Versions of a table follow the batches, so one look into the log picks them all alike:
+    the fact's batches up to it, and the newest version not behind it of everything else.
+    """
+    batch = batch_at(store, moment)
+    if batch is None:
+        return None
+    return Moment(batch, star(store, batch), {m: gold(store, m, batch + 1) for m in LAYOUT})
+
+
 def finish(
     store: Store,
     silver: Star,

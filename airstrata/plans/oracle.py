@@ -209,13 +209,13 @@ MART_SQL = {
 }
 
 
-def _sizes() -> str:
+def _sizes(fact: str = "fact") -> str:
     sizes = {
-        "daily_summary": f"SELECT DISTINCT {_DAY_KEYS} FROM fact",
-        "city_ranking": f"SELECT DISTINCT {_MONTH} FROM fact",
-        "station_summary": "SELECT DISTINCT station_key, year, month FROM fact",
-        "hourly_pattern": f"SELECT DISTINCT {_HOUR} FROM fact",
-        "seasonal_summary": f"SELECT DISTINCT {_SEASON} FROM fact",
+        "daily_summary": f"SELECT DISTINCT {_DAY_KEYS} FROM {fact}",
+        "city_ranking": f"SELECT DISTINCT {_MONTH} FROM {fact}",
+        "station_summary": f"SELECT DISTINCT station_key, year, month FROM {fact}",
+        "hourly_pattern": f"SELECT DISTINCT {_HOUR} FROM {fact}",
+        "seasonal_summary": f"SELECT DISTINCT {_SEASON} FROM {fact}",
     }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS mart, count(*) AS n_rows FROM ({sql})" for name, sql in sizes.items()
@@ -317,6 +317,27 @@ _ODD_PRICES = """SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, CA
 _API_DOC = """SELECT city_slug AS queried_city, waqi_idx AS idx, aqi,
     strftime(measured_at, '%Y-%m-%dT%H:%M:%SZ') AS iso, TRUE AS has_file FROM api"""
 
+# the rows of all tables after one and after both of two loads
+_EARLY = "ingested_at < CASE WHEN source = 'api' THEN TIMESTAMP '2024-01-16' ELSE TIMESTAMP '1998-01-01' END"
+
+
+def _tables(batch: int, fact: str, rows: str) -> str:
+    return f"""SELECT CAST({batch} AS INT) AS batch, mart AS name, n_rows FROM ({_sizes(fact)})
+  UNION ALL SELECT {batch}, 'fact_aqi', count(*) FROM {fact}
+  UNION ALL SELECT {batch}, 'dim_station', count(DISTINCT (waqi_idx, city_slug))
+    FROM {rows} WHERE city_slug IN (SELECT city_slug FROM city)"""
+
+
+def _paths() -> str:
+    """path, key, index and whether it is a number, of the body of a document."""
+    keys = [("aqi", 1), ("idx", 1), ("dominentpol", 0), ("time", 0), ("time.iso", 0), ("city", 0), ("city.name", 0)]
+    keys += [("city.url", 0), ("city.geo", 0), ("iaqi", 0), ("_queried_city", 0)]
+    keys += [x for r in ("pm25", "pm10", "h", "t") for x in ((f"iaqi.{r}", 0), (f"iaqi.{r}.v", 1))]
+    rows = [f"('{k}', '{k.split('.')[-1]}', NULL, {n})" for k, n in keys]
+    rows += [f"('city.geo[{i}]', NULL, {i}, 1)" for i in (0, 1)]
+    return "(VALUES " + ", ".join(rows) + ") places(place, key, index, number)"
+
+
 ORACLE_SQL = {
     "aqi_category": f"""SELECT {_level("aqi")} AS level, count(*) AS n_rows, min(aqi) AS lowest,
     max(aqi) AS highest
@@ -399,6 +420,30 @@ ORACLE_SQL = {
     UNION ALL SELECT 'value', 'time_not_parsed', count(*)
     FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal BETWEEN -700 AND -500
     ) WHERE n_rows > 0""",
+    "run_report": _with(*SILVER)
+    + """SELECT * FROM (
+    SELECT 'conform' AS step, 'rows' AS metric, (SELECT count(*) FROM api) + (SELECT count(*) FROM orders) AS n_rows
+    UNION ALL SELECT 'conform', 'station_not_numeric', count(*)
+      FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < -900
+    UNION ALL SELECT 'fact', 'rows', count(*) FROM m
+    UNION ALL SELECT 'fact', CASE WHEN measured_at IS NULL THEN 'no_timestamp' ELSE 'unknown_city' END, count(*)
+      FROM m WHERE measured_at IS NULL OR city_slug NOT IN (SELECT city_slug FROM city) GROUP BY 2
+    UNION ALL SELECT 'fact', 'kept', count(*) FROM fact) WHERE n_rows > 0""",
+    "asof_star": _with(*SILVER, f"early AS (SELECT * FROM fact WHERE {_EARLY}), m1 AS (SELECT * FROM m WHERE {_EARLY})")
+    + _tables(1, "early", "m1")
+    + " UNION ALL "
+    + _tables(2, "fact", "m"),
+    "star_slice_sql": _with(*SILVER)
+    + f"""SELECT fact.city_name, season, time_of_day, {_level("max(aqi)")} AS worst_level,
+    count(*) AS n_rows, count(DISTINCT station.waqi_idx) AS n_stations
+  FROM fact JOIN station USING (station_key) GROUP BY 1, 2, 3""",
+    "nested_flatten": f"""WITH kinds AS (
+    SELECT event_type = 'view' AS bare, count(*) AS n FROM events
+    JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
+  SELECT CASE WHEN bare THEN '$.' ELSE '$.data.' END || place AS path, key, CAST(index AS INT) AS index,
+    n AS n_rows, n * number AS n_numbers
+  FROM kinds, {_paths()}
+  UNION ALL SELECT '$.' || k, k, NULL, n, 0 FROM kinds, (VALUES ('status'), ('data')) t(k) WHERE NOT bare""",
     "batch_run": _with(*SILVER)
     + """SELECT batch, 0 AS code, CASE batch WHEN 1 THEN (SELECT count(*) FROM fact) ELSE 0 END AS n_fact,
     (SELECT count(*) FROM (SELECT DISTINCT city_slug, full_date FROM fact)) AS n_daily

@@ -68,6 +68,8 @@ CSV_RAW = (
 CITY_MAP = "source_city string, conformed_city string"
 CITY_REFERENCE = "city_slug string, city_name string, region string, lat double, lon double"
 LEDGER = "file_name string, layer string, loaded_at timestamp_ntz"
+BATCH_LOG = "batch int, loaded_at timestamp_ntz"
+RUN_REPORT = "step string, metric string, n_rows bigint"
 
 CITY_COLUMNS = ["city_key", "city_slug", "city_name", "region", "lat", "lon"]
 STATION_COLUMNS = [
@@ -129,6 +131,8 @@ TABLES = {
         "source string, ingested_at timestamp_ntz"
     ),
     "control/loaded_files": LEDGER,
+    "control/batch_log": BATCH_LOG,
+    "control/run_report": RUN_REPORT,
     "gold/daily_summary": (
         f"{_PLACE}, date date, avg_aqi double, max_aqi double, min_aqi double, avg_pm25 double, "
         "avg_pm10 double, avg_humidity double, avg_temperature double, station_count bigint, "

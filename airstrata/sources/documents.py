@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airstrata.functions.parsing import doc_child, doc_string
 from airstrata.operators.quarantine import tag_rejects
+from airstrata.session import materialize
 from airstrata.sources.landing import scan_files
 
 JSON_GLOB = "*.json"
@@ -125,3 +127,39 @@ def unpivot_readings(api_raw: DataFrame) -> DataFrame:
     return api_raw.select("queried_city", F.explode(readings).alias("pollutant", "reading")).select(
         "queried_city", "pollutant", F.try_variant_get("reading", "$.v", "double").alias("value")
     )
+
+
+def flatten(documents: DataFrame, column: str = "raw_payload", deep: bool = False) -> DataFrame:
+    """One row per entry of the object or array in a VARIANT column.
+
+    Adds path, key (of an object's entry), index (of an array's) and value. A scalar or a
+    missing value has no entries. ``deep`` opens the entries too, level by level until none
+    holds an object or array, however deep that is; containers have rows of their own.
+    """
+    spark = documents.sparkSession
+    others = [c for c in documents.columns if c != column]
+    level = documents.select(*others, F.lit("$").alias("path"), F.col(column).alias("value"))
+    found = []
+    while True:
+        entries = spark.tvf.variant_explode(F.col("value").outer())
+        opened = level.withColumnRenamed("path", "_above").lateralJoin(
+            entries.toDF("_place", "_name", "_entry")
+        )
+        step = F.when(F.col("_name").isNotNull(), F.concat(F.lit("."), "_name")).otherwise(
+            F.concat(F.lit("["), "_place", F.lit("]"))
+        )
+        # the place counts an object's entries too; only an array's is an index
+        opened = opened.select(
+            *others,
+            F.concat("_above", step).alias("path"),
+            F.col("_name").alias("key"),
+            F.when(F.col("_name").isNull(), F.col("_place")).alias("index"),
+            F.col("_entry").alias("value"),
+        )
+        if not deep:
+            return opened
+        opened = materialize(opened, "flattened")
+        found.append(opened)
+        level = opened.filter(F.schema_of_variant("value").rlike("^(OBJECT|ARRAY)")).select(*others, "path", "value")
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found)
