@@ -62,7 +62,10 @@ def record_shape(raw_record: Column) -> Column:
 
 def clean_csv(records: DataFrame, load_ts) -> DataFrame:
     """Null tokens become NULL in every column; load time and shape are added."""
-    raw = F.col("raw_record") if "raw_record" in records.columns else F.lit(None).cast("string")
+    raw = F.lit(None).cast("string")
+    if "raw_record" in records.columns:
+        # names another column too: Spark reads no file for the text of odd records alone
+        raw = F.when(F.col("raw_record").isNotNull() | F.col("station_id").isNotNull(), F.col("raw_record"))
     return records.select(
         *[null_tokens_to_null(F.col(c)).alias(c) for c in CSV_COLUMNS],
         F.lit(load_ts).cast("timestamp_ntz").alias("ingested_at"),
