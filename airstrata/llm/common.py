@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Collection, Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,36 +42,54 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+class _Numbers(dict):
+    """Numbers chunks in the order they are first asked for."""
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        return number
+
+
 class ChunkTable:
     """The distinct chunks that a task has met, each encoded once, with its ids.
 
-    Holds at most ``most`` chunks, then starts anew, so its memory is bounded whatever
-    the number of distinct chunks; results do not depend on that bound.
+    Starts anew once it holds ``most`` chunks, so its memory is bounded whatever the number
+    of distinct chunks; results do not depend on that bound. With ``decode_many`` it holds
+    the decoded text of each chunk's ids as well.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], most: int = 150_000):
-        self._encode, self._most = encode_many, most
+    def __init__(
+        self,
+        encode_many: Callable[[list[str]], list[list[int]]],
+        most: int = 150_000,
+        decode_many: Callable[[list[list[int]]], list[str]] | None = None,
+    ):
+        self._encode, self._decode, self._most = encode_many, decode_many, most
         self._clear()
 
     def _clear(self) -> None:
-        self._at: dict[str, int] = {}
+        self._at = _Numbers()
         self._pool, self._start, self._count = array("I"), array("q"), array("q")
+        self.texts: list[str] = []
 
     def find(self, chunks: Collection[str]) -> np.ndarray:
         """The table row of each chunk, by position; unknown chunks are encoded first.
 
         Rows of earlier calls are void after this call.
         """
-        new = [c for c in dict.fromkeys(chunks) if c not in self._at]
-        if new and len(self._at) + len(new) > self._most:
+        if len(self._at) >= self._most:
             self._clear()
-            new = list(dict.fromkeys(chunks))
-        for chunk, ids in zip(new, self._encode(new) if new else [], strict=True):
-            self._at[chunk] = len(self._start)
-            self._start.append(len(self._pool))
-            self._count.append(len(ids))
-            self._pool.extend(ids)
-        return np.fromiter(map(self._at.__getitem__, chunks), np.int64, len(chunks))
+        known = len(self._at)
+        rows = np.fromiter(map(self._at.__getitem__, chunks), np.int64, len(chunks))
+        if len(self._at) > known:
+            found = self._encode(list(islice(self._at, known, None)))
+            for ids in found:
+                self._start.append(len(self._pool))
+                self._count.append(len(ids))
+                self._pool.extend(ids)
+            if self._decode:
+                self.texts += self._decode(found)
+        return rows
 
     def counts(self, rows: np.ndarray) -> np.ndarray:
         return np.array(self._count, dtype=np.int64)[rows]

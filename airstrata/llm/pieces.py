@@ -43,28 +43,45 @@ def _chunks(text: str) -> list[str]:
     return _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-def _encode_texts(texts: list[str], table: ChunkTable, begin: int, end: int) -> list[np.ndarray]:
+def _encode_texts(
+    texts: list[str], table: ChunkTable, begin: int, end: int
+) -> tuple[list[np.ndarray], list[list[int]]]:
+    """The ids of each text and the table rows of its chunks."""
     chunks = [_chunks(t) for t in texts]
     rows = table.find([c for doc in chunks for c in doc])
     flat, upto = table.ids(rows)
     stops = np.cumsum([len(doc) for doc in chunks])
     ends = np.concatenate([[0], upto])[stops] if len(rows) else np.zeros(len(texts), np.int64)
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    return [
+    ids = [
         np.concatenate([[begin], flat[a:z], [end]]).astype("<u4")
         for a, z in zip(begins, ends, strict=True)
     ]
-
-
-def encode(documents: DataFrame, model_path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_tokens, ids (little-endian unsigned 32-bit integers with begin and end id)."""
-    schema = T.StructType(
-        [
-            T.StructField(key, documents.schema[key].dataType),
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids", T.BinaryType()),
-        ]
-    )
+    return ids, [part.tolist() for part in np.split(rows, stops[:-1])]
+
+
+def encode(
+    documents: DataFrame,
+    model_path: str,
+    text: str = "text",
+    key: str = "doc_id",
+    decoded: bool = False,
+    most: int = 400_000,
+) -> DataFrame:
+    """key, n_tokens, ids (little-endian unsigned 32-bit integers with begin and end id).
+
+    With ``decoded`` also the text that the library's decode makes of the ids: each distinct
+    chunk's ids are decoded once, and the parts joined by position. A task's table starts
+    anew at ``most`` chunks.
+    """
+    fields = [
+        T.StructField(key, documents.schema[key].dataType),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids", T.BinaryType()),
+    ]
+    if decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
+    schema = T.StructType(fields)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
@@ -78,19 +95,24 @@ def encode(documents: DataFrame, model_path: str, text: str = "text", key: str =
             found = processor.encode([c[1:] for c in chunks], num_threads=1)
             return [ids or [lone] for ids in found]
 
-        table = ChunkTable(segment)
+        def spell(found: list[list[int]]) -> list[str]:
+            # every chunk begins with a marked piece, whose marker decode drops: it is a space
+            return [" " + part for part in processor.decode(found, num_threads=1)]
+
+        table = ChunkTable(segment, most, spell if decoded else None)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, z in text_slices(texts):
-                ids = _encode_texts(texts[a:z], table, processor.bos_id(), processor.eos_id())
-                yield pa.record_batch(
-                    [
-                        batch.column(0).slice(a, z - a),
-                        pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([x.tobytes() for x in ids], pa.binary()),
-                    ],
-                    names=[key, "n_tokens", "ids"],
-                )
+            for a, z in text_slices(texts, 500_000):
+                ids, rows = _encode_texts(texts[a:z], table, processor.bos_id(), processor.eos_id())
+                columns = [
+                    batch.column(0).slice(a, z - a),
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([x.tobytes() for x in ids], pa.binary()),
+                ]
+                if decoded:
+                    whole = ["".join(map(table.texts.__getitem__, part))[1:] for part in rows]
+                    columns.append(pa.array(whole, pa.string()))
+                yield pa.record_batch(columns, names=schema.names)
 
     return map_texts(documents.select(key, text), task, schema)
 
@@ -143,7 +165,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
 def digests(documents: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text."""
-    both = decode(encode(documents, model_path), model_path)
+    both = encode(documents, model_path, decoded=True)
     return both.select(
         "doc_id",
         "n_tokens",
