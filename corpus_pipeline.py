@@ -54,7 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256 of every document of the mixture."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    both = pieces.decode(pieces.encode(docs, model), model)
+    both = pieces.encode(docs, model, decoded=True)
     return both.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
