@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from array import array
 from collections.abc import Callable, Collection, Iterator, Sequence
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +32,24 @@ def map_texts(rows: DataFrame, task, schema) -> DataFrame:
     conf = rows.sparkSession.conf
     if not 0 < int(conf.get(name)) <= BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))
-    return rows.mapInArrow(task, schema)
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            _give_back()
+
+    return rows.mapInArrow(trimmed, schema)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: a Python worker waits for its next task, beside the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
 
 
 def text_key(text: Column) -> Column:

@@ -246,11 +246,15 @@ def taken_words(documents: DataFrame, config: MixConfig | None = None) -> DataFr
     )
 
 
-def mixed_documents(documents: DataFrame, config: MixConfig | None = None) -> DataFrame:
+def mixed_documents(
+    documents: DataFrame, config: MixConfig | None = None, whole: bool = False
+) -> DataFrame:
     """The mixture as documents: one row for each time a document is taken.
 
     A document that its source's target cuts keeps its first words up to the cut, with
-    n_chars (where that column exists) counted anew. Same columns as the input.
+    n_chars (where that column exists) counted anew. With ``whole`` it is taken whole if at
+    least half of its words are, else left out, so a source misses its target by half a
+    document at most. Same columns as the input.
     """
     placed, pieces = mix(documents, config)
     took = pieces.groupBy("source", "_start", "epoch", "doc_id", "_key").agg(F.sum("words").alias("_words"))
@@ -269,6 +273,8 @@ def mixed_documents(documents: DataFrame, config: MixConfig | None = None) -> Da
     ]
     rows = once.join(took, match).select("row", F.explode("_takes").alias("_words"))
     text = F.col("row.text")
+    if whole:
+        return rows.filter(2 * F.col("_words") >= word_count(text)).select("row.*")
     words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     first = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), "")
     cut = F.when(F.col("_words") < word_count(text), first).otherwise(text)

@@ -87,3 +87,18 @@ def test_nothing_to_take(spark):
     row = mixing.taken_words(documents(spark, [(1, None, *[None] * 6)])).first()
     assert (row["size"], row["target"], row["taken"]) == (0, 0.0, 0)
     assert mixing.mixed_documents(documents(spark, [(1, " ", *[None] * 6)])).count() == 0
+
+
+def test_whole_documents_miss_a_target_by_half_a_document_at_most(spark):
+    rows = odd_rows() + [(100 + i, text(i, 50 + 7 * i), None, f"s{i % 5}", 0, "", "", "") for i in range(60)]
+    total, target = goals(rows)
+    mixed = mixing.mixed_documents(documents(spark, rows), whole=True)
+    got = mixed.collect()
+    assert {r["text"] for r in got} <= {r[1] for r in rows}
+    words = defaultdict(int)
+    for r in got:
+        words[r["source"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+    longest = defaultdict(int)
+    for r, n in zip(rows, sizes(rows), strict=True):
+        longest[r[3]] = max(longest[r[3]], n)
+    assert all(abs(words[s] - target[s]) <= longest[s] / 2 + 1 for s in total)
