@@ -71,6 +71,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, on whatever file system they are."""
     files, target = _file_system(spark, pattern)

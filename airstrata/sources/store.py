@@ -15,22 +15,18 @@ from __future__ import annotations
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airstrata.schemas import PARTITIONED, TABLES
-from airstrata.session import delete_path, glob_paths
+from airstrata.session import delete_path, glob_paths, path_exists
 
 
 def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not path_exists(spark, path):
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 @dataclass(frozen=True)
