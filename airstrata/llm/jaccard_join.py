@@ -4,14 +4,15 @@ A document is the set of its runs of five words (words: white-space separated, i
 case; a text with fewer words is one shingle). Documents with the same set are one class.
 A class is embedded as 128 minwise values, one token per coordinate.
 
-The join runs a forest of random trees. In every node each coordinate is chosen with
+The join runs a forest of random trees. The root of each splits all classes by their value
+at a coordinate of its own. In every further node each coordinate is chosen with
 probability 1 / (0.8 * 128), by the hash of the node, and the classes of the node are split
 by their value there, once per chosen coordinate, so a path is a sequence of shared
 tokens. Nodes of up to ``bucket`` classes are compared; larger ones are split again, up to
 ``depth`` times. What is still large then holds near copies that no coordinate
 separates; it is compared too, in blocks that meet pairwise, so no bucket is dropped. The
 number of trees is the one that finds a pair at the threshold with probability ``recall``
-when its path needs two splits.
+when its path needs all ``depth`` splits.
 
 Buckets are compared by the share of equal coordinates, four standard deviations below
 the threshold, and give one edge per class. Within each group that these edges join, all
@@ -61,11 +62,11 @@ class JoinConfig:
 
     @property
     def trees(self) -> int:
-        """A pair shares threshold * COORDINATES tokens; a split keeps it by any of them."""
+        """A pair shares the root's coordinate with the threshold's chance; further splits keep it by any."""
         alive = 1.0
-        for _ in range(2):
-            alive = 1 - (1 - self.choice * alive) ** (self.threshold * COORDINATES)
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - alive))
+        for _ in range(self.depth - 1):
+            alive = 1 - (1 - self.choice * alive * self.threshold) ** COORDINATES
+        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.threshold * alive))
 
     @property
     def least_equal(self) -> int:
@@ -121,10 +122,10 @@ def _set_key(shingles: np.ndarray) -> bytes:
 
 
 def root_choices(config: JoinConfig) -> list[tuple[int, int]]:
-    """(tree, coordinate) chosen in the roots."""
+    """(tree, coordinate) of the roots: different coordinates, while there are as many as trees."""
     rng = np.random.Generator(np.random.Philox(config.seed + 1))
-    tree, coordinate = np.nonzero(rng.random((config.trees, COORDINATES)) < config.choice)
-    return list(zip(tree.tolist(), coordinate.tolist(), strict=True))
+    rounds = [rng.permutation(COORDINATES) for _ in range(0, config.trees, COORDINATES)]
+    return list(enumerate(np.concatenate(rounds)[: config.trees].tolist()))
 
 
 def embed(documents: DataFrame, config: JoinConfig) -> DataFrame:

@@ -6,14 +6,17 @@ nearly own the word in the training sample); learned transitions join neighbours
 backward gives each word its posterior. A document's language is the one with the largest
 mean posterior over all its words, which is its score.
 
-Chains are sentences: they end at ``. ! ?``, at a line feed, and after 512 words, so that
-chains of many documents run through the recursions side by side.
+Chains are sentences: they end at ``. ! ?`` and at a line feed. They run through the
+recursions side by side, long ones in parts of 512 words: products of a part's step matrices
+carry the forward and backward vectors over its ends, so posteriors are those of the whole
+chain. Runs of more than 64 letters are cut into words of 64, so all letters count.
 
 Training takes windows of at most ``window`` code points from ``per_label`` distinct texts of
 each label, or all it has, picked by the hash of the text, so copies neither count nor crowd
-out others. All are given to the driver: the bound of the sample is ``per_label`` windows for
-each of at most ``max_labels`` languages (the most frequent). Whole-document labels label words; some training chains join sentences of
-two documents, so that transitions also see switches.
+out others. All are given to the driver: the bound of the sample is ``windows`` in all, dealt
+evenly if there are so many labels that each gets less than ``per_label``; every label is
+learned, with one window at least. Whole-document labels label words; some training chains
+join sentences of two documents, so that transitions also see switches.
 
 Defined cases: a text that is null or has no letters is `und` with score 0, as is every
 text when nothing can be learned; ties go to the label first in order; a single label is
@@ -40,7 +43,7 @@ from airstrata.llm.common import held_out, map_texts, text_slices
 from airstrata.session import materialize
 
 UNKNOWN = "und"
-_TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
+_TOKEN = re.compile(r"[^\W\d_]{1,64}|[.!?\n]")
 _STOPS = {".", "!", "?", "\n"}
 _CHAIN = 512
 
@@ -49,7 +52,7 @@ _CHAIN = 512
 class CrfConfig:
     per_label: int = 400
     window: int = 600
-    max_labels: int = 64
+    windows: int = 80_000
     bits: int = 16
     epochs: int = 6
     batch: int = 256
@@ -69,7 +72,7 @@ class CrfModel:
 
 def word_features(word: str, lexicon: dict[str, int], bits: int) -> list[int]:
     """Hashed prefixes and suffixes up to 3, inner n-grams of 2 and 3, the word, its lexicon entry."""
-    marked = f"<{word[:64]}>"
+    marked = f"<{word}>"
     names = {f"p{marked[:k]}" for k in (2, 3, 4)} | {f"s{marked[-k:]}" for k in (2, 3, 4)}
     names |= {marked[i : i + 2] for i in range(1, len(marked) - 2)}
     names |= {marked[i : i + 3] for i in range(1, len(marked) - 3)}
@@ -89,19 +92,50 @@ def _steps(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, starts, reach
 
 
-def forward_backward(scores: np.ndarray, lengths: np.ndarray, model: CrfModel):
+def _carried(local: np.ndarray, lengths: np.ndarray, follows: np.ndarray, step: np.ndarray, first: np.ndarray):
+    """The vectors that enter each part of a chain at its first word and leave it behind its last."""
+    enter, leave = np.tile(first, (len(lengths), 1)), np.ones((len(lengths), len(first)))
+    cut = np.flatnonzero(follows | np.append(follows[1:], False))
+    if not len(cut):
+        return enter, leave
+    order, _, reach = _steps(lengths[cut])
+    starts = (np.cumsum(lengths) - lengths)[cut][order]
+    # product over a part of step times local scores, without the step to its first word
+    through = np.eye(len(first)) * local[starts][:, None, :]
+    for t, n in enumerate(reach[1:], 1):
+        now = (through[:n] @ step) * local[starts[:n] + t][:, None, :]
+        through[:n] = now / now.sum(axis=(1, 2), keepdims=True)
+    through = through[np.argsort(order)]
+    end = first
+    for k, product in zip(cut, through, strict=True):
+        if follows[k]:
+            enter[k] = end @ step
+        end = enter[k] @ product
+        end /= end.sum()
+    for k, product in zip(cut[::-1], through[::-1], strict=True):
+        if follows[k]:
+            back = step @ (product @ leave[k])
+            leave[k - 1] = back / back.sum()
+    return enter, leave
+
+
+def forward_backward(scores: np.ndarray, lengths: np.ndarray, model: CrfModel, follows: np.ndarray | None = None):
     """Posteriors of all words, and the summed posteriors of neighbouring label pairs.
 
-    ``scores`` holds the words of all chains end to end.
+    ``scores`` holds the words of all chains end to end. ``follows`` marks those of the given
+    lengths that go on with the chain before them.
     """
     local = np.exp(scores - scores.max(axis=1, keepdims=True))
     step, first = np.exp(model.transitions), np.exp(model.first)
-    _, starts, reach = _steps(lengths)
+    follows = np.zeros(len(lengths), bool) if follows is None else follows
+    enter, leave = _carried(local, lengths, follows, step, first)
+    order, starts, reach = _steps(lengths)
     alpha, beta = np.empty_like(local), np.ones_like(local)
+    beta[np.cumsum(lengths) - 1] = leave
     before = None
     for t, n in enumerate(reach):
         at = starts[:n] + t
-        now = (first if before is None else before[:n] @ step) * local[at]
+        now = (enter[order[:n]] if before is None else before[:n] @ step) * local[at]
         before = now / now.sum(axis=1, keepdims=True)
         alpha[at] = before
     pairs = np.zeros_like(step)
@@ -112,20 +146,35 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, model: CrfModel):
         total = (alpha[at - 1] * back).sum(axis=1, keepdims=True)
         pairs += (alpha[at - 1].T @ (ahead / total)) * step
         beta[at - 1] = back / back.sum(axis=1, keepdims=True)
+    at = (np.cumsum(lengths) - lengths)[follows]
+    ahead = local[at] * beta[at]
+    total = (alpha[at - 1] * (ahead @ step.T)).sum(axis=1, keepdims=True)
+    pairs += (alpha[at - 1].T @ (ahead / total)) * step
     posterior = alpha * beta
     return posterior / posterior.sum(axis=1, keepdims=True), pairs
 
 
-def _chains(text: str) -> list[list[str]]:
-    chains, now = [], []
+def _parts(text: str) -> tuple[list[list[str]], list[bool]]:
+    """The words of a text's chains in parts of at most 512, and which parts go on with the one before."""
+    parts, follows, now, on = [], [], [], False
     for token in _TOKEN.findall(text.lower()):
-        if token in _STOPS or len(now) == _CHAIN:
-            if now:
-                chains.append(now)
-            now = []
-        if token not in _STOPS:
+        stop = token in _STOPS
+        if now and (stop or len(now) == _CHAIN):
+            parts.append(now)
+            follows.append(on)
+            now, on = [], not stop
+        if stop:
+            on = False
+        else:
             now.append(token)
-    return [*chains, now] if now else chains
+    if now:
+        parts.append(now)
+        follows.append(on)
+    return parts, follows
+
+
+def _chains(text: str) -> list[list[str]]:
+    return _parts(text)[0]
 
 
 def sample(documents: DataFrame, config: CrfConfig) -> list[tuple[str, str]]:
@@ -136,22 +185,23 @@ def sample(documents: DataFrame, config: CrfConfig) -> list[tuple[str, str]]:
     start = F.floor(F.pmod(F.shiftright(hashed, 20), F.lit(1 << 20)) / float(1 << 20)
                     * F.greatest(F.length(text) - config.window, F.lit(0)))
     window = F.substring(text, (start + 1).cast("int"), F.lit(config.window))
-    # rows and distinct texts of each label; copies share a hash and count once
-    texts = known.groupBy("lang", hashed.alias("h")).agg(F.count("*").alias("_n"))
+    # distinct texts of each label; copies share a hash and count once
+    texts = known.select("lang", hashed.alias("h")).distinct()
     texts = materialize(texts, "text-hashes")
-    counts = texts.groupBy("lang").agg(F.sum("_n").alias("_n"), F.count("*").alias("_texts"))
-    counts = counts.orderBy(F.col("_n").desc(), "lang").limit(config.max_labels).collect()
+    counts = texts.groupBy("lang").agg(F.count("*").alias("_texts"))
+    counts = counts.collect()
     if not counts:
         return []
+    per_label = max(1, min(config.per_label, config.windows // len(counts)))
     # a bound on the hashes that lets at least per_label texts of a label through, but for chance
     # of far less than 1e-9; the smallest per_label of those are taken
-    rates = {r["lang"]: (config.per_label + 8 * math.sqrt(config.per_label) + 40) / r["_texts"] for r in counts}
+    rates = {r["lang"]: (per_label + 8 * math.sqrt(per_label) + 40) / r["_texts"] for r in counts}
     bounds = F.create_map(*[F.lit(x) for lang, rate in rates.items() for x in (lang, min(rate, 1.0))])
     chance = F.pmod(F.xxhash64(hashed), F.lit(1 << 40)) / float(1 << 40)
     few = texts.withColumn("u", F.pmod(F.xxhash64("h"), F.lit(1 << 40)) / float(1 << 40))
     few = few.filter(F.col("u") < F.element_at(bounds, F.col("lang"))).select("lang", "u", "h")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("u", "h"))
-    last = few.withColumn("_place", place).filter(F.col("_place") <= config.per_label)
+    last = few.withColumn("_place", place).filter(F.col("_place") <= per_label)
     last = last.groupBy("lang").agg(F.max("u").alias("u")).collect()
     bounds = F.create_map(*[F.lit(x) for r in last for x in (r["lang"], r["u"])])
     chosen = known.filter(chance <= F.element_at(bounds, F.col("lang"))).select("lang", hashed.alias("h"), window.alias("t"))
@@ -245,17 +295,18 @@ class _Emissions:
 def _posteriors(texts: list[str], model: CrfModel, emissions: _Emissions):
     """The words of all texts, their posteriors, and the number of words of each text."""
     words: list[str] = []
-    lengths, sizes = [], []
+    lengths, follows, sizes = [], [], []
     for text in texts:
-        chains = _chains(text)
+        chains, on = _parts(text)
         lengths += map(len, chains)
+        follows += on
         before = len(words)
         for chain in chains:
             words += chain
         sizes.append(len(words) - before)
     if not words:
         return words, np.zeros((0, len(model.labels))), np.array(sizes)
-    posterior, _ = forward_backward(emissions.of(words).astype(float), np.array(lengths), model)
+    posterior, _ = forward_backward(emissions.of(words).astype(float), np.array(lengths), model, np.array(follows))
     return words, posterior, np.array(sizes)
 
 

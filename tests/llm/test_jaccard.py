@@ -83,3 +83,23 @@ def test_trees_reach_the_recall():
     config = join.JoinConfig()
     assert config.trees == join.JoinConfig(recall=0.9999).trees > join.JoinConfig(recall=0.9).trees
     assert 0 < config.least_equal < config.threshold * join.COORDINATES
+    assert config.trees == join.JoinConfig(depth=4).trees > join.JoinConfig(depth=2).trees
+    roots = join.root_choices(config)
+    assert len(roots) == len({t for t, _ in roots}) == len({c for _, c in roots}) == config.trees
+
+
+def test_recall_at_the_threshold_by_splits():
+    import numpy as np
+
+    config, rng, pairs = join.JoinConfig(), np.random.default_rng(6), 4000
+    tokens = rng.integers(0, 1 << 16, (pairs, join.COORDINATES)).astype(np.uint64)
+    shared = rng.random((pairs, join.COORDINATES)) < config.threshold
+    tree, at = np.array(join.root_choices(config)).T
+    pair, root = np.nonzero(shared[:, at])
+    nodes = join._mix(tokens[pair, at[root]] + join._mix((tree[root] * join.COORDINATES + at[root]).astype(np.uint64)))
+    column, bound = np.arange(join.COORDINATES, dtype=np.uint64), np.uint64(int(config.choice * 2**64))
+    for splits in range(1, config.depth + 1):
+        assert len(np.unique(pair)) >= 0.999 * pairs, splits
+        chance = join._mix(nodes[:, None] ^ join._mix(column + np.uint64(1 << 40)))
+        row, col = np.nonzero((chance < bound) & shared[pair])
+        nodes, pair = join._mix(chance[row, col] + tokens[pair[row], col]), pair[row]

@@ -78,6 +78,38 @@ def test_long_chains_are_cut_not_dropped():
     assert crf._chains("Ab1c! 12 _x_\né") == [["ab", "c"], ["x"], ["é"]]
 
 
+def test_parts_of_a_chain_give_the_posteriors_of_the_whole():
+    model, rng = small_model(), np.random.default_rng(4)
+    scores = 3 * rng.normal(size=(1400, 3))
+    whole, pairs = crf.forward_backward(scores, np.array([30, 1300, 70]), model)
+    lengths, follows = np.array([30, 512, 512, 276, 1, 69]), np.array([0, 0, 1, 1, 0, 1], bool)
+    got, got_pairs = crf.forward_backward(scores, lengths, model, follows)
+    assert np.allclose(got, whole) and np.allclose(got_pairs, pairs)
+
+
+def test_parts_know_which_chain_they_belong_to():
+    parts, follows = crf._parts("a " * 512 + ". b " + "c " * 512 + "! ? d")
+    assert [len(p) for p in parts] == [512, 512, 1, 1] and follows == [False, False, True, False]
+
+
+def test_all_letters_of_a_long_run_count():
+    assert crf._chains("x" * 150 + " y") == [["x" * 64, "x" * 64, "x" * 22, "y"]]
+    rows = [("x", "aaab " * 20), ("y", "zzzw " * 20)] * 10
+    model = crf.train(rows, crf.CrfConfig(epochs=8, batch=16))
+    words, posterior, sizes = crf._posteriors(["q" * 64 + "aaab" * 30, "q" * 64 + "zzzw" * 30], model, crf._Emissions(model))
+    ends = np.cumsum(sizes)
+    assert [posterior[e - n : e].mean(axis=0).argmax() for e, n in zip(ends, sizes, strict=True)] == [0, 1]
+
+
+def test_every_label_is_learned(spark):
+    rows = [(None, f"wort{k:03d} rede{k:03d} satz{j}", f"l{k:03d}") for k in range(90) for j in range(4)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = crf.sample(given, crf.CrfConfig())
+    assert len(found) == 360 and len({label for label, _ in found}) == 90
+    few = crf.sample(given, crf.CrfConfig(windows=180))
+    assert len(few) == 180 and len({label for label, _ in few}) == 90
+
+
 def test_copies_do_not_crowd_out_their_label(spark):
     rows = [(k, f"common words of this language {k}", "en") for k in range(600)]
     # a label that is 99.9% copies of one text, and one that has few texts
