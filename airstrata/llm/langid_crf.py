@@ -26,6 +26,7 @@ empty table gives no rows. Other columns, and any clashing names, stay as they a
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
@@ -70,17 +71,39 @@ class CrfModel:
     bits: int
 
 
+def _hash(name: str) -> int:
+    return zlib.crc32(name.encode())
+
+
+class _Grams(dict):
+    """Hashes of short n-grams, each worked out once; starts anew beyond ``most`` of them."""
+
+    def __init__(self, most: int = 200_000):
+        self._most = most
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= self._most:
+            self.clear()
+        found = self[gram] = _hash(gram)
+        return found
+
+
+_GRAMS = _Grams()
+
+
 def word_features(word: str, lexicon: dict[str, int], bits: int) -> list[int]:
     """Hashed prefixes and suffixes up to 3, inner n-grams of 2 and 3, the word, its lexicon entry."""
     marked = f"<{word}>"
-    names = {f"p{marked[:k]}" for k in (2, 3, 4)} | {f"s{marked[-k:]}" for k in (2, 3, 4)}
-    names |= {marked[i : i + 2] for i in range(1, len(marked) - 2)}
-    names |= {marked[i : i + 3] for i in range(1, len(marked) - 3)}
-    names.add(f"w{marked}")
+    grams = [f"p{marked[:2]}", f"p{marked[:3]}", f"p{marked[:4]}"]
+    grams += [f"s{marked[-2:]}", f"s{marked[-3:]}", f"s{marked[-4:]}"]
+    grams += [marked[i : i + 2] for i in range(1, len(marked) - 2)]
+    grams += [marked[i : i + 3] for i in range(1, len(marked) - 3)]
+    # a name counts once, in a fixed order, so that sums of weights agree between runs
+    hashes = [*map(_GRAMS.__getitem__, dict.fromkeys(grams)), _hash(f"w{marked}")]
     if word in lexicon:
-        names.add(f"lex{lexicon[word]}")
+        hashes.append(_hash(f"lex{lexicon[word]}"))
     mask = (1 << bits) - 1
-    return [zlib.crc32(n.encode()) & mask for n in names]
+    return [h & mask for h in hashes]
 
 
 def _steps(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,7 +291,7 @@ def train(rows: list[tuple[str, str]], config: CrfConfig) -> CrfModel:
 class _Emissions:
     """Scores of the distinct words a task has met, at most ``most`` at a time."""
 
-    def __init__(self, model: CrfModel, most: int = 150_000):
+    def __init__(self, model: CrfModel, most: int = 400_000):
         self._model, self._most = model, most
         self._at: dict[str, int] = {}
         self._rows = np.zeros((1024, len(model.labels)), np.float32)
@@ -282,7 +305,7 @@ class _Emissions:
             model, n = self._model, len(self._at)
             found = [word_features(w, model.lexicon, model.bits) for w in new]
             sizes = np.array([len(f) for f in found])
-            flat = np.fromiter((f for fs in found for f in fs), np.int64, sizes.sum())
+            flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, sizes.sum())
             if n + len(new) > len(self._rows):
                 grown = np.zeros((2 * (n + len(new)), len(model.labels)), np.float32)
                 grown[:n] = self._rows[:n]
