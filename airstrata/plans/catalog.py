@@ -26,6 +26,7 @@ from airstrata.operators.ordering import dense_rank_desc, dense_rank_desc_within
 from airstrata.operators.upsert import allocate_keys
 from airstrata.plans import surface
 from airstrata.plans.medallion import (
+    FOLDABLE,
     as_of,
     finish,
     gold,
@@ -400,6 +401,20 @@ def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).fact
 
 
+def folded_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact appended in four batches, by quarter: three folded in two steps, one replayed, one left."""
+    store = Store(spark, scratch_path(spark, "folded"))
+    name, fact = "silver/fact_aqi", silver(spark, sf_dir).fact
+    quarters = {q: fact.filter(F.quarter("measured_at") == q) for q in (1, 2, 3, 4)}
+    for batch, rows in quarters.items():
+        store.append(name, rows, batch)
+    for upto in (2, 3):
+        store.fold(name, upto, FOLDABLE[name])
+    store.append(name, quarters[2], 2)
+    store.expire_folded(name)
+    return store.appended(name)
+
+
 def fact_minute_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact event times: readings off the hour find no row in the hour dimension."""
     s = silver(spark, sf_dir)
@@ -738,6 +753,7 @@ QUERIES: dict[str, Query] = {
     "fact_dedup": fact_dedup,
     "aqi_category_null_label": aqi_category_null_label,
     "fact_build": fact_build,
+    "folded_fact": folded_fact,
     "fact_minute_drop": fact_minute_drop,
     "daily_summary": _mart(marts.daily_summary),
     "city_ranking": _mart(marts.city_ranking),

@@ -177,6 +177,27 @@ def batch_at(store: Store, moment) -> int | None:
     return log.filter(F.col("loaded_at") <= F.lit(moment).cast("timestamp_ntz")).agg(F.max("batch")).first()[0]
 
 
+# appended tables with a folder per batch, and the order their folded rows are stored in
+FOLDABLE = {
+    "silver/measurement": (),
+    "silver/fact_aqi": ("date_key", "city_key", "station_key", "time_key"),
+}
+
+
+def fold_batches(store: Store, upto: int) -> None:
+    """Fold the silver batches up to ``upto``, all of which must have been loaded.
+
+    Earlier moments stay readable, as rows keep their batch. ``Store.expire_folded`` deletes
+    the old folders once no reader uses them.
+    """
+    log = store.appended("control/batch_log")
+    loaded = None if log is None else log.agg(F.max("batch")).first()[0]
+    if loaded is None or upto > loaded:
+        raise ValueError(f"batch {upto} is not loaded yet, the last one is {loaded}")
+    for name, order in FOLDABLE.items():
+        store.fold(name, upto, order)
+
+
 @dataclass(frozen=True)
 class Moment:
     """All layers as they were at a moment: the silver star and the marts by name."""

@@ -554,3 +554,5 @@ ORACLE_SQL = {
   FROM station""",
     "stream_daily_summary": MART_SQL["daily_summary"],
 }
+# however the batches are stored, the rows are the same
+ORACLE_SQL["folded_fact"] = ORACLE_SQL["fact_build"]

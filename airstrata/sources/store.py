@@ -8,6 +8,8 @@ again.
 A partitioned table is replaced part by part: a version holds the parts it rewrites, and a
 small table beside it says which version each part is in. Other parts keep their files.
 Parts are months, years or hash buckets, so there are few of them whatever the data.
+
+Old batches of an appended table can be folded into one set of files each time.
 """
 
 from __future__ import annotations
@@ -163,17 +165,67 @@ class Store:
 
     def appended(self, name: str, upto: int | None = None) -> DataFrame | None:
         """All batches of an append-only table, or those up to ``upto``."""
+        table = self._batches(name, upto)
+        return None if table is None else table.drop("batch_id", "load")
+
+    def _batches(self, name: str, upto: int | None = None) -> DataFrame | None:
+        """Folded batches, and the folders of those behind the last fold, with batch_id."""
         schema = TABLES.get(name)
         if schema is not None:
             schema += ", batch_id int"
-        table = read_if_exists(self.spark, self.path(name), schema)
-        if table is None:
-            return None
-        if upto is not None:
-            table = table.filter(F.col("batch_id") <= upto)
-        return table.drop("batch_id", "load")
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        folds, table = self.folds(name), None
+        # a fold begins behind the one before it
+        wanted = [v for v, last in zip(folds, [None, *folds]) if None in (upto, last) or last < upto]
+        if wanted:
+            table = reader.parquet(*[self._version_path(f"{name}.folded", v) for v in wanted])
+        if not folds:
+            table = read_if_exists(self.spark, self.path(name), schema)
+        elif (upto is None or upto > folds[-1]) and glob_paths(self.spark, f"{self.path(name)}/batch_id=*"):
+            behind = reader.parquet(self.path(name)).filter(F.col("batch_id") > folds[-1])
+            table = table.unionByName(behind)
+        if table is None or upto is None:
+            return table
+        return table.filter(F.col("batch_id") <= upto)
 
     def batch(self, name: str, batch_id: int, schema: str) -> DataFrame:
         """One batch of an append-only table, empty if it was never written."""
+        fold = next((v for v in self.folds(name) if v >= batch_id), None)
+        if fold is not None:
+            rows = self.spark.read.schema(f"{schema}, batch_id int").parquet(self._version_path(f"{name}.folded", fold))
+            return rows.filter(F.col("batch_id") == batch_id).drop("batch_id")
         table = read_if_exists(self.spark, f"{self.path(name)}/batch_id={batch_id}", schema)
         return self.spark.createDataFrame([], schema) if table is None else table.drop("load")
+
+    def folds(self, name: str) -> list[int]:
+        """The last batch of each completed fold of an append-only table, ascending."""
+        return self.versions(f"{name}.folded")
+
+    def fold(self, name: str, upto: int, sort_by: Sequence[str] = ()) -> DataFrame | None:
+        """Put the batches up to ``upto`` that no fold holds yet into one set of files.
+
+        Every row is rewritten once, however often the table is folded, and keeps its batch
+        number. Readers go over to the new files with Spark's mark of a successful write and
+        pass over the folders from then on, so a batch replayed later, which writes its own
+        folder again, does not count twice. A fold that died is run again. ``sort_by`` is that
+        of ``replace``. The folders stay for readers under way, until ``expire_folded``.
+        """
+        folds = self.folds(name)
+        if folds and folds[-1] >= upto:
+            return None
+        if glob_paths(self.spark, f"{self.path(name)}/batch_id=*/load=*"):
+            raise ValueError(f"the batches of {name} are made of several loads, which are not folded")
+        rows = self._batches(name, upto)
+        if rows is None:
+            return None
+        if folds:
+            rows = rows.filter(F.col("batch_id") > folds[-1])
+        # without an order, adaptive execution joins small files and splits large ones
+        return self.replace(f"{name}.folded", rows if sort_by else rows.hint("rebalance"), upto, sort_by)
+
+    def expire_folded(self, name: str) -> None:
+        """Delete the folders of folded batches."""
+        folds = self.folds(name)
+        for path in glob_paths(self.spark, f"{self.path(name)}/batch_id=*") if folds else []:
+            if int(path.split("/batch_id=")[-1]) <= folds[-1]:
+                delete_path(self.spark, path)
