@@ -123,6 +123,31 @@ def tagged_csv(csv_raw: DataFrame, city_map: DataFrame) -> DataFrame:
     )
 
 
+def unread_api_values(api_raw: DataFrame) -> DataFrame:
+    """reason, n_rows: readings and times of accepted documents that hold no number or time.
+
+    The counterpart of ``unread_values`` for documents; a JSON null counts as missing.
+    """
+    readings = ", ".join(f"{key}: struct<v: variant>" for key in DOCUMENT_KEYS.values())
+    kind = (
+        "struct<aqi: double, idx: decimal(38,0), time: struct<iso: string>, city: struct<name: string>, "
+        f"iaqi: struct<{readings}>>"
+    )
+    body = F.coalesce(doc_child(F.col("raw_payload"), "$.data"), F.col("raw_payload"))
+    docs = api_raw.select(F.explode(F.array(F.try_variant_get(body, "$", kind))).alias("doc"))
+    kept = docs.filter("doc.aqi IS NOT NULL AND try_cast(doc.idx AS int) IS NOT NULL AND doc.city.name IS NOT NULL")
+
+    def lost(value):
+        there = value.isNotNull() & ~F.is_variant_null(value)
+        return F.count_if(there & F.try_variant_get(value, "$", "double").isNull())
+
+    found = {f"{name}_not_numeric": lost(F.col(f"doc.iaqi.{key}.v")) for name, key in DOCUMENT_KEYS.items()}
+    at = F.col("doc.time.iso")
+    found["time_not_parsed"] = F.count_if(at.isNotNull() & try_timestamp(F.left(at, F.lit(19))).isNull())
+    counts = [F.struct(F.lit(reason).alias("reason"), n.alias("n_rows")) for reason, n in found.items()]
+    return kept.agg(F.array(*counts).alias("found")).select(F.inline("found")).filter("n_rows > 0")
+
+
 def unread_values(csv_raw: DataFrame) -> DataFrame:
     """reason, n_rows: texts of accepted records that hold no number or time.
 

@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 from airstrata.config import GateConfig, RunConfig
 from airstrata.functions.levels import aqi_category
 from airstrata.operators import marts, quality, snapshots
-from airstrata.operators.conform import conform_api, conform_city, conform_csv, tagged, unread_values
+from airstrata.operators.conform import (
+    conform_api,
+    conform_city,
+    conform_csv,
+    tagged,
+    unread_api_values,
+    unread_values,
+)
 from airstrata.operators.dimensions import (
     dim_date,
     dim_time,
@@ -653,6 +660,22 @@ def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.unionByName(unread_values(csv).select(F.lit("value").alias("layer"), "reason", "n_rows"))
 
 
+def api_unread_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a reading that is no number on errors, and no time on signups."""
+    kind = F.col("event_type")
+    reading = F.when(kind == "error", "-").otherwise(F.col("value").cast("string"))
+    iso = F.when(kind == "signup", "soon").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    body = F.struct(
+        F.lit(50).alias("aqi"),
+        F.lit(1).alias("idx"),
+        F.struct(iso.alias("iso")).alias("time"),
+        F.struct(kind.alias("name")).alias("city"),
+        F.struct(F.struct(reading.alias("v")).alias("pm25")).alias("iaqi"),
+    )
+    texts = given.table(spark, sf_dir, "events").select(F.to_json(body).alias("value"))
+    return unread_api_values(documents.parse_documents(texts))
+
+
 def run_stream(spark: SparkSession, sf_dir: str) -> Store:
     """Both streaming jobs over everything that has landed."""
     store = new_store(spark, sf_dir, "stream")
@@ -779,6 +802,7 @@ QUERIES: dict[str, Query] = {
     "gated_run": gated_run,
     "batch_run": batch_run,
     "reject_counts": reject_counts,
+    "api_unread_values": api_unread_values,
     "run_report": run_report,
     "asof_star": asof_star,
     "star_slice_sql": star_slice_sql,

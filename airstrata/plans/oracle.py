@@ -420,6 +420,10 @@ ORACLE_SQL = {
     UNION ALL SELECT 'value', 'time_not_parsed', count(*)
     FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal BETWEEN -700 AND -500
     ) WHERE n_rows > 0""",
+    "api_unread_values": """SELECT * FROM (
+    SELECT 'pm25_not_numeric' AS reason, count(*) AS n_rows FROM events WHERE event_type = 'error'
+    UNION ALL SELECT 'time_not_parsed', count(*) FROM events WHERE event_type = 'signup'
+    ) WHERE n_rows > 0""",
     "run_report": _with(*SILVER)
     + """SELECT * FROM (
     SELECT 'conform' AS step, 'rows' AS metric, (SELECT count(*) FROM api) + (SELECT count(*) FROM orders) AS n_rows

@@ -5,7 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from airstrata.operators.conform import conform_api, tagged_api
+from airstrata.operators.conform import conform_api, tagged_api, unread_api_values
 from airstrata.sources import documents
 
 NOW = datetime(2026, 1, 1)
@@ -151,3 +151,22 @@ def test_peek_is_ordered_and_limited(spark):
         ("c0", 6.0),
         ("c0", 9.0),
     ]
+
+
+def test_unread_readings_of_accepted_documents_are_counted(spark):
+    odd = {"pm25": {"v": "-"}, "pm10": {"v": None}, "h": {"v": "7.5"}, "t": {}, "w": {"v": [1]}}
+    bodies = [
+        wrapped(iaqi=odd),
+        body(iaqi=odd, time={"iso": "soon"}),
+        wrapped(iaqi={}, time={}),
+        wrapped(aqi="-", iaqi=odd),  # refused, so its readings do not count
+        wrapped(idx=None, iaqi=odd),
+    ]
+    texts = spark.createDataFrame([(json.dumps(b),) for b in bodies], "value string")
+    found = unread_api_values(documents.parse_documents(texts)).collect()
+    assert {r["reason"]: r["n_rows"] for r in found} == {
+        "pm25_not_numeric": 2,
+        "wind_not_numeric": 2,
+        "time_not_parsed": 1,
+    }
+    assert unread_api_values(documents.parse_documents(texts.limit(0))).count() == 0
