@@ -9,7 +9,7 @@ import pytest
 
 from airstrata.config import GateConfig, RunConfig
 from airstrata.functions.exact import with_exact
-from airstrata.operators import marts
+from airstrata.operators import marts, rollups
 from airstrata.operators.marts import Partials
 from airstrata.plans import surface
 from airstrata.plans.medallion import as_of, gold, run_medallion, setup, star
@@ -103,6 +103,23 @@ def test_one_scan_gives_the_partials_of_separate_scans(spark):
         assert rows(left.select(*right.columns)) == rows(right)
 
 
+def test_station_grains_are_dealt_in_tasks_of_bounded_size(spark, store, monkeypatch):
+    small = star_of(spark, full_rows(8))
+    want = {name: rows(getattr(Partials.of(small, 5), name)) for name in Partials.KEYS}
+    marts_then = {name: rows(m) for name, m in marts.build_marts(small, store, 1, 5, at=LOAD).items()}
+    monkeypatch.setattr(rollups, "MERGED_ROWS", 3)
+    asked, repartition = [], type(small.fact).repartition
+    monkeypatch.setattr(type(small.fact), "repartition", lambda f, *a: asked.append(a[0]) or repartition(f, *a))
+    many = Partials.scanned(small, 5)
+    for name, found in want.items():
+        columns = getattr(Partials.of(small, 5), name).columns
+        assert rows(getattr(many, name).select(*columns)) == found, name
+    # months and days of stations: no task merges more than its share
+    assert len(asked) == 2 and min(asked) >= small.fact.count() / 3
+    assert many.rows == len(want["station_month"])
+    assert {n: rows(m) for n, m in marts.build_marts(small, store, 2, 5, many, LOAD).items()} == marts_then
+
+
 def test_all_marts_read_the_fact_once(spark):
     small = star_of(spark, full_rows(4))
     fine = Partials.scanned(small, 5)
