@@ -8,9 +8,10 @@ The join runs a forest of random trees. The root of each splits all classes by t
 at a coordinate of its own. In every further node each coordinate is chosen with
 probability 1 / (0.8 * 128), by the hash of the node, and the classes of the node are split
 by their value there, once per chosen coordinate, so a path is a sequence of shared
-tokens. Nodes of up to ``bucket`` classes are compared; larger ones are split again, up to
-``depth`` times. What is still large then holds near copies that no coordinate
-separates; it is compared too, in blocks that meet pairwise, so no bucket is dropped. The
+tokens. Nodes of up to ``bucket`` classes are compared. Of larger ones parts are compared
+first; where that joins all but ``apart`` classes, as in a group of near copies, these few
+are compared with the whole node. Others are split again, up to ``depth`` times. What is
+still large then is compared too, in blocks that meet pairwise, so no bucket is dropped. The
 number of trees is the one that finds a pair at the threshold with probability ``recall``
 when its path needs all ``depth`` splits.
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airstrata.llm.common import map_texts, text_key, text_slices
-from airstrata.llm.links import dealt_rows, exact_groups, forest, in_blocks, whole_tasks
+from airstrata.llm.links import BLOCK, components, dealt_rows, exact_groups, forest, in_blocks, whole_tasks
 from airstrata.operators.ordering import global_index
 from airstrata.session import materialize
 
@@ -55,6 +56,8 @@ class JoinConfig:
     bucket: int = 120
     depth: int = 4
     seed: int = 5
+    #: so many classes of a large node may be in no component with the others for it to be settled
+    apart: int = 480
 
     @property
     def choice(self) -> float:
@@ -222,23 +225,68 @@ def _bucket_edges(rows: DataFrame, config: JoinConfig) -> DataFrame:
     return dealt_rows(rows, ["id", "tokens", "side", "lone"]).mapInArrow(task, "a long, b long")
 
 
+def _parted(rows: DataFrame) -> DataFrame:
+    """Large nodes in parts of about BLOCK rows, each compared by itself: a first look at who is joined."""
+    blocks = F.ceil(F.col("_size") / BLOCK)
+    rows = rows.withColumn("task", F.xxhash64("node", F.pmod(F.xxhash64("node", "id"), blocks)))
+    return rows.withColumn("side", F.lit(0)).withColumn("lone", F.lit(True))
+
+
+def _with_rest(large: DataFrame, joined: DataFrame) -> DataFrame:
+    """Adds apart (not in the component with most rows of the node) and rest (how many rows are)."""
+    rows = large.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    held = rows.groupBy("node", "component").agg(F.count("*").alias("_held"))
+    most = held.groupBy("node").agg(F.max(F.struct("_held", "component")).alias("_most"))
+    rows = rows.join(most, "node").withColumn("apart", F.col("component") != F.col("_most.component"))
+    return rows.withColumn("rest", F.col("_size") - F.col("_most._held")).drop("_most", "component")
+
+
+def _rest_tasks(rows: DataFrame) -> DataFrame:
+    """Each row that is apart with all of its node; the others, which are joined, once.
+
+    A part has as many rows as are apart, so a node makes about two rows for each of its own.
+    """
+    blocks = F.ceil(F.col("_size") / F.greatest(F.lit(BLOCK), "rest"))
+    own, everywhere = F.pmod(F.xxhash64("node", "id"), blocks), F.sequence(F.lit(0).cast("long"), blocks - 1)
+    once = rows.filter("NOT apart").withColumn("_block", own)
+    rows = once.union(rows.filter("apart").withColumn("_block", F.explode(everywhere)))
+    return rows.withColumn("task", F.xxhash64("node", "_block")).withColumn("side", F.lit(0)).withColumn("lone", F.lit(True))
+
+
 def candidate_edges(classes: DataFrame, config: JoinConfig) -> DataFrame:
-    """a, b: edges between classes (id, tokens, nodes) that met in a bucket of some tree."""
+    """a, b: edges between classes (id, tokens, nodes) that met in a bucket of some tree.
+
+    Only what the edges join counts, so classes that are joined already need not meet again.
+    Of a large node, parts are compared first. If all but ``apart`` of its classes are in one
+    component then, these few are compared with the whole node, which settles it: a group of
+    near copies costs each tree a few rows per class. Other large nodes are split.
+    """
     tokens = classes.select("id", "tokens")
     rows = classes.select("id", F.explode("nodes").alias("node"))
     edges = None
     for level in range(1, config.depth + 1):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("_size")).filter("_size > 1")
         if level > 1:
             rows = materialize(rows, "paths")
-            sizes = rows.groupBy("node").agg(F.count("*").alias("_size")).filter("_size > 1")
+        sizes = rows.groupBy("node").agg(F.count("*").alias("_size")).filter("_size > 1")
         met = materialize(rows.join(sizes, "node").join(tokens, "id"), "nodes")
-        small = met if level == config.depth else met.filter(F.col("_size") <= config.bucket)
-        # a large node of the last level is dealt in blocks; the same pair of classes may meet in many trees
-        found = materialize(_bucket_edges(in_blocks(small, "node", "id", F.col("_size")), config).distinct(), "met")
-        edges = found if edges is None else edges.union(found)
+        # the same pair of classes may meet in many trees
+        meet = lambda tasks: materialize(_bucket_edges(tasks, config).distinct(), "met")
+        dealt = ["task", "id", "tokens", "side", "lone"]
+        small = in_blocks(met.filter(F.col("_size") <= config.bucket), "node", "id", F.col("_size"))
         large = met.filter(F.col("_size") > config.bucket)
-        if level == config.depth or not large.limit(1).count():
+        found = meet(small.select(*dealt).union(_parted(large).select(*dealt)))
+        edges = found if edges is None else edges.union(found)
+        if not large.limit(1).count():
+            break
+        joined = components(edges)
+        large = materialize(_with_rest(large, joined), "large")
+        edges = joined.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        edges = edges.union(meet(_rest_tasks(large.filter(F.col("rest").between(1, config.apart)))))
+        large = large.filter(F.col("rest") > config.apart)
+        if not large.limit(1).count():
+            break
+        if level == config.depth:
+            edges = edges.union(meet(in_blocks(large, "node", "id", F.col("_size"))))
             break
         rows = _split(large, config)
     return edges

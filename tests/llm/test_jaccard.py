@@ -55,6 +55,36 @@ def test_against_brute_force(spark):
     assert all(r["kept"] == (r["doc_id"] == r["group_id"]) for r in found)
 
 
+def large_group():
+    """Near copies of one text, more than a bucket holds, and texts that share a passage with them."""
+    rng = random.Random(3)
+    base = words(5, 150, 5000)
+    rows = []
+    for _ in range(3 * links.BLOCK):
+        copy = list(base)
+        copy[rng.randrange(len(copy))] = f"e{rng.randrange(10**6)}"
+        rows.append(" ".join(copy))
+    rows += [" ".join(base[:60] + words(3000 + i, 40, 5000)) for i in range(60)]
+    rng.shuffle(rows)
+    return [(i, text, *[None] * 6) for i, text in enumerate(rows)]
+
+
+def test_a_group_of_near_copies_is_settled_without_splits(spark, monkeypatch):
+    made, split = [], join._split
+    monkeypatch.setattr(join, "_split", lambda rows, config: made.append(rows.count()) or split(rows, config))
+    rows = large_group()
+    found = join.near_duplicates(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["n_links"], r["group_id"]) for r in found) == sorted(brute(rows))
+    assert not made
+
+
+def test_large_nodes_settled_split_and_dealt_give_all_links(spark):
+    rows = near_copies()
+    for config in (join.JoinConfig(bucket=10, apart=20), join.JoinConfig(bucket=10, apart=0, depth=2)):
+        found = join.near_duplicates(documents(spark, rows), config).collect()
+        assert sorted((r["doc_id"], r["n_links"], r["group_id"]) for r in found) == sorted(brute(rows))
+
+
 def test_odd_rows(spark):
     rows = odd_rows()
     found = join.near_duplicates(documents(spark)).collect()
