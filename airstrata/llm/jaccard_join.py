@@ -232,13 +232,19 @@ def _parted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("side", F.lit(0)).withColumn("lone", F.lit(True))
 
 
-def _with_rest(large: DataFrame, joined: DataFrame) -> DataFrame:
-    """Adds apart (not in the component with most rows of the node) and rest (how many rows are)."""
-    rows = large.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _in_components(large: DataFrame, joined: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Adds component to the rows of large nodes: looked up once per class, not in every tree."""
+    held = large.groupBy("id").agg(F.collect_list(F.struct("node", "_size")).alias("_nodes"))
+    held = held.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")).join(tokens, "id")
+    rows = held.select("id", "tokens", "component", F.explode("_nodes").alias("_node"))
+    return rows.select("_node.node", "id", "_node._size", "tokens", "component")
+
+
+def _rest(rows: DataFrame) -> DataFrame:
+    """node, most (the component with most rows of the node), rest (how many rows are apart from it)."""
     held = rows.groupBy("node", "component").agg(F.count("*").alias("_held"))
-    most = held.groupBy("node").agg(F.max(F.struct("_held", "component")).alias("_most"))
-    rows = rows.join(most, "node").withColumn("apart", F.col("component") != F.col("_most.component"))
-    return rows.withColumn("rest", F.col("_size") - F.col("_most._held")).drop("_most", "component")
+    of = held.groupBy("node").agg(F.sum("_held").alias("_all"), F.max(F.struct("_held", "component")).alias("_most"))
+    return of.select("node", F.col("_most.component").alias("most"), (F.col("_all") - F.col("_most._held")).alias("rest"))
 
 
 def _rest_tasks(rows: DataFrame) -> DataFrame:
@@ -248,8 +254,8 @@ def _rest_tasks(rows: DataFrame) -> DataFrame:
     """
     blocks = F.ceil(F.col("_size") / F.greatest(F.lit(BLOCK), "rest"))
     own, everywhere = F.pmod(F.xxhash64("node", "id"), blocks), F.sequence(F.lit(0).cast("long"), blocks - 1)
-    once = rows.filter("NOT apart").withColumn("_block", own)
-    rows = once.union(rows.filter("apart").withColumn("_block", F.explode(everywhere)))
+    apart = F.col("component") != F.col("most")
+    rows = rows.withColumn("_block", F.explode(F.when(apart, everywhere).otherwise(F.array(own))))
     return rows.withColumn("task", F.xxhash64("node", "_block")).withColumn("side", F.lit(0)).withColumn("lone", F.lit(True))
 
 
@@ -279,12 +285,15 @@ def candidate_edges(classes: DataFrame, config: JoinConfig) -> DataFrame:
         if not large.limit(1).count():
             break
         joined = components(edges)
-        large = materialize(_with_rest(large, joined), "large")
+        large = materialize(_in_components(large.select("id", "node", "_size"), joined, tokens), "large")
+        nodes = materialize(_rest(large), "rest")
         edges = joined.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        edges = edges.union(meet(_rest_tasks(large.filter(F.col("rest").between(1, config.apart)))))
-        large = large.filter(F.col("rest") > config.apart)
-        if not large.limit(1).count():
+        settled = large.join(nodes.filter(F.col("rest").between(1, config.apart)), "node")
+        edges = edges.union(meet(_rest_tasks(settled).select(*dealt)))
+        unsettled = nodes.filter(F.col("rest") > config.apart)
+        if not unsettled.limit(1).count():
             break
+        large = large.join(unsettled.select("node"), "node", "left_semi")
         if level == config.depth:
             edges = edges.union(meet(in_blocks(large, "node", "id", F.col("_size"))))
             break

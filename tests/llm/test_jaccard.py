@@ -78,6 +78,23 @@ def test_a_group_of_near_copies_is_settled_without_splits(spark, monkeypatch):
     assert not made
 
 
+def test_components_are_looked_up_once_per_class_not_in_every_tree(spark, monkeypatch):
+    frame, made = type(spark.range(0)), []
+    plain = frame.join
+
+    def counted(self, other, on=None, how=None):
+        out = plain(self, other, on, how)
+        if isinstance(on, str) and (on, how) == ("id", "left"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(frame, "join", counted)
+    rows = large_group()
+    found = join.near_duplicates(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["n_links"], r["group_id"]) for r in found) == sorted(brute(rows))
+    assert len(made) >= 3 and max(made) <= len(rows)
+
+
 def test_large_nodes_settled_split_and_dealt_give_all_links(spark):
     rows = near_copies()
     for config in (join.JoinConfig(bucket=10, apart=20), join.JoinConfig(bucket=10, apart=0, depth=2)):
