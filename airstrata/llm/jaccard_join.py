@@ -232,10 +232,10 @@ def _parted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("side", F.lit(0)).withColumn("lone", F.lit(True))
 
 
-def _in_components(large: DataFrame, joined: DataFrame, tokens: DataFrame) -> DataFrame:
+def _in_components(large: DataFrame, joined: DataFrame) -> DataFrame:
     """Adds component to the rows of large nodes: looked up once per class, not in every tree."""
-    held = large.groupBy("id").agg(F.collect_list(F.struct("node", "_size")).alias("_nodes"))
-    held = held.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")).join(tokens, "id")
+    held = large.groupBy("id").agg(F.collect_list(F.struct("node", "_size")).alias("_nodes"), F.first("tokens").alias("tokens"))
+    held = held.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = held.select("id", "tokens", "component", F.explode("_nodes").alias("_node"))
     return rows.select("_node.node", "id", "_node._size", "tokens", "component")
 
@@ -285,7 +285,7 @@ def candidate_edges(classes: DataFrame, config: JoinConfig) -> DataFrame:
         if not large.limit(1).count():
             break
         joined = components(edges)
-        large = materialize(_in_components(large.select("id", "node", "_size"), joined, tokens), "large")
+        large = materialize(_in_components(large, joined), "large")
         nodes = materialize(_rest(large), "rest")
         edges = joined.select(F.col("id").alias("a"), F.col("component").alias("b"))
         settled = large.join(nodes.filter(F.col("rest").between(1, config.apart)), "node")
